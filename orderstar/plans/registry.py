@@ -404,3 +404,234 @@ def comparable_features(f: DataFrame) -> DataFrame:
 @register("customer_features", O.over_pipeline(f"SELECT {_FEATURE_SQL_COLS} FROM features", "features"))
 def q_customer_features(spark, d):
     return comparable_features(_features(spark, d))
+
+
+# ------------------------------------------------------------------ upsert
+# target = customers with balance below 5000 (tracked as created 2001-01-01, updated 2001-02-01);
+# source = customers with balance from 2500 on, segment and balance changed; both overlap on [2500, 5000).
+
+from orderstar.operators import merge as M  # noqa: E402
+from orderstar.session import scratch_path  # noqa: E402
+
+_T_CREATED, _T_UPDATED = "2001-01-01 00:00:00", "2001-02-01 00:00:00"
+_UPSERT_KEYS = ["customer_id"]
+_UPSERT_COLS = ["customer_id", "customer_name", "segment", "balance"]
+
+
+def _upsert_target(spark, d, tracked: bool = True) -> DataFrame:
+    c = fx.table(spark, d, "customer").filter(F.col("c_acctbal") < 5000)
+    t = c.select((F.col("c_custkey") + 1).cast("int").alias("customer_id"), F.col("c_name").alias("customer_name"),
+                 F.col("c_mktsegment").alias("segment"), F.col("c_acctbal").cast("decimal(18,2)").alias("balance"))
+    if tracked:
+        t = t.withColumn("created_ts", F.lit(_T_CREATED).cast("timestamp")).withColumn(
+            "update_ts", F.lit(_T_UPDATED).cast("timestamp"))
+    return t
+
+
+def _upsert_source(spark, d) -> DataFrame:
+    c = fx.table(spark, d, "customer").filter(F.col("c_acctbal") >= 2500)
+    return c.select((F.col("c_custkey") + 1).cast("int").alias("customer_id"), F.col("c_name").alias("customer_name"),
+                    F.lower("c_mktsegment").alias("segment"),
+                    (F.col("c_acctbal").cast("decimal(18,2)") + 100).cast("decimal(18,2)").alias("balance"))
+
+
+def _tracked_out(df: DataFrame) -> DataFrame:
+    return df.select(*_UPSERT_COLS, ts_str("created_ts"), ts_str("update_ts"))
+
+
+_SQL_T = f"""SELECT CAST(c_custkey + 1 AS INTEGER) AS customer_id, c_name AS customer_name, c_mktsegment AS segment,
+    CAST(c_acctbal AS DECIMAL(18,2)) AS balance, TIMESTAMP '{_T_CREATED}' AS created_ts, TIMESTAMP '{_T_UPDATED}' AS update_ts
+    FROM customer WHERE c_acctbal < 5000"""
+_SQL_S = """SELECT CAST(c_custkey + 1 AS INTEGER) AS customer_id, c_name AS customer_name, lower(c_mktsegment) AS segment,
+    CAST(CAST(c_acctbal AS DECIMAL(18,2)) + 100 AS DECIMAL(18,2)) AS balance FROM customer WHERE c_acctbal >= 2500"""
+_NOW = O.FIXTURE_NOW_SQL
+
+
+def _merge_sql(legacy: bool) -> str:
+    created_old = "CAST(NULL AS TIMESTAMP)" if legacy else "t.created_ts"
+    t_created = "CAST(NULL AS VARCHAR)" if legacy else "CAST(t.created_ts AS VARCHAR)"
+    t_updated = "CAST(NULL AS VARCHAR)" if legacy else "CAST(t.update_ts AS VARCHAR)"
+    return O.with_ctes([("t", _SQL_T), ("s", _SQL_S)], f"""
+    SELECT t.customer_id, t.customer_name, t.segment, t.balance, {t_created} AS created_ts, {t_updated} AS update_ts
+    FROM t WHERE NOT EXISTS (SELECT 1 FROM s WHERE s.customer_id = t.customer_id)
+    UNION ALL
+    SELECT s.customer_id, s.customer_name, s.segment, s.balance,
+           CAST(CASE WHEN t.customer_id IS NOT NULL THEN {created_old} ELSE {_NOW} END AS VARCHAR) AS created_ts,
+           CAST({_NOW} AS VARCHAR) AS update_ts
+    FROM s LEFT JOIN t ON s.customer_id = t.customer_id""")
+
+
+@register("upsert_bootstrap", O.with_ctes([("s", _SQL_S)],
+    f"SELECT *, CAST({_NOW} AS VARCHAR) AS created_ts, CAST({_NOW} AS VARCHAR) AS update_ts FROM s"))
+def q_upsert_bootstrap(spark, d):
+    return _tracked_out(M.upsert(None, _upsert_source(spark, d), _UPSERT_KEYS, now=fx.FIXTURE_NOW))
+
+
+@register("upsert_legacy_target", _merge_sql(legacy=True))
+def q_upsert_legacy_target(spark, d):
+    return _tracked_out(M.upsert(_upsert_target(spark, d, tracked=False), _upsert_source(spark, d), _UPSERT_KEYS,
+                                 now=fx.FIXTURE_NOW))
+
+
+@register("upsert_new_keys", O.with_ctes([("t", _SQL_T), ("s", _SQL_S)],
+    "SELECT * FROM s WHERE NOT EXISTS (SELECT 1 FROM t WHERE t.customer_id = s.customer_id)"))
+def q_upsert_new_keys(spark, d):
+    return M.new_rows(_upsert_source(spark, d), _upsert_target(spark, d), _UPSERT_KEYS)
+
+
+@register("upsert_existing_keys", O.with_ctes([("t", _SQL_T), ("s", _SQL_S)],
+    "SELECT * FROM s WHERE EXISTS (SELECT 1 FROM t WHERE t.customer_id = s.customer_id)"))
+def q_upsert_existing_keys(spark, d):
+    return M.existing_rows(_upsert_source(spark, d), _upsert_target(spark, d), _UPSERT_KEYS)
+
+
+@register("upsert_untouched", O.with_ctes([("t", _SQL_T), ("s", _SQL_S)],
+    "SELECT customer_id, customer_name, segment, balance, CAST(created_ts AS VARCHAR) AS created_ts, "
+    "CAST(update_ts AS VARCHAR) AS update_ts FROM t WHERE NOT EXISTS (SELECT 1 FROM s WHERE s.customer_id = t.customer_id)"))
+def q_upsert_untouched(spark, d):
+    return _tracked_out(M.untouched_rows(_upsert_target(spark, d), _upsert_source(spark, d), _UPSERT_KEYS))
+
+
+@register("upsert_merge", _merge_sql(legacy=False))
+def q_upsert_merge(spark, d):
+    """Target written as parquet, merged, published to a new version path, read back."""
+    base = scratch_path(spark, "upsert")
+    _upsert_target(spark, d).write.parquet(f"{base}/v1")
+    merged = M.upsert_parquet(spark, _upsert_source(spark, d), f"{base}/v1", f"{base}/v2", _UPSERT_KEYS,
+                              now=fx.FIXTURE_NOW)
+    return _tracked_out(merged)
+
+
+# ------------------------------------------------------------------ sources and sinks
+
+from orderstar.operators.quality import dimension_reconcile, profile, row_counts, write_and_reconcile  # noqa: E402
+from orderstar.sources.files import ingest_csv, read_csv_tree, read_parquet  # noqa: E402
+from orderstar.sources.writers import write_partitioned  # noqa: E402
+
+
+@register("parquet_scan", "SELECT l_orderkey, l_linenumber, l_quantity, l_extendedprice FROM lineitem WHERE l_quantity >= 45")
+def q_parquet_scan(spark, d):
+    li = read_parquet(spark, f"{d.rstrip('/')}/lineitem.parquet")
+    return li.filter(F.col("l_quantity") >= 45).select("l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice")
+
+
+@register("sql_over_views", O.with_ctes(_HDR,
+    "SELECT channel, pay_type, COUNT(*) AS order_count, SUM(order_net_amount) AS net_amount FROM std_header GROUP BY channel, pay_type"))
+def q_sql_over_views(spark, d):
+    h = standardize_order_header(fx.raw_order_header(spark, d, "dirty"))
+    return spark.sql(
+        "SELECT channel, pay_type, COUNT(*) AS order_count, SUM(order_net_amount) AS net_amount "
+        "FROM {h} GROUP BY channel, pay_type", h=h)
+
+
+@register("csv_ingest", O.with_ctes(_HDR, "SELECT * FROM std_header"))
+def q_csv_ingest(spark, d):
+    path = fx.stage_csv(fx.raw_order_header(spark, d, "dirty"), scratch_path(spark, "raw_orders_header"))
+    return standardize_order_header(ingest_csv(spark, path))
+
+
+@register("csv_ingest_recursive", O.with_ctes(_HDR, "SELECT * FROM std_header"))
+def q_csv_ingest_recursive(spark, d):
+    """Header files at depth 0, 1 and 2 below the root, plus a non-matching (gzip) file that is skipped."""
+    root = scratch_path(spark, "raw_tree")
+    h = fx.raw_order_header(spark, d, "dirty")
+    y = F.coalesce(F.year("order_date"), F.lit(1995))
+    fx.stage_csv(h.filter(y >= 1999), f"{root}/l1/l2", mode="append")
+    fx.stage_csv(h.filter((y >= 1997) & (y < 1999)), f"{root}/l1", mode="append")
+    fx.stage_csv(h.filter(y < 1997), root, mode="append")
+    fx.stage_csv(fx.raw_customers(spark, d), f"{root}/l1", mode="append", compression="gzip")
+    return standardize_order_header(read_csv_tree(spark, root, "*.csv"))
+
+
+@register("bronze_audit_columns", """
+    SELECT CAST(o_orderkey + 1 AS INTEGER) AS order_id, TRUE AS has_ingestion_ts,
+           CAST(year(o_orderdate) AS VARCHAR) AS source_year FROM orders""")
+def q_bronze_audit_columns(spark, d):
+    root = scratch_path(spark, "raw_audit")
+    h = fx.raw_order_header(spark, d)
+    fx.stage_csv(h.withColumn("y", F.year("order_date")), root, ["y"])
+    b = ingest_csv(spark, root, "*.csv", now=fx.FIXTURE_NOW)
+    return b.select(F.col("order_id").try_cast("int").alias("order_id"),
+                    F.col("ingestion_timestamp").isNotNull().alias("has_ingestion_ts"),
+                    F.regexp_extract("source_file", r"y=([0-9]+)", 1).alias("source_year"))
+
+
+@register("partitioned_write", O.over_pipeline("SELECT * FROM fact_order_line", "fact_order_line"))
+def q_partitioned_write(spark, d):
+    path = scratch_path(spark, "fact_order_line")
+    write_partitioned(fixture_silver(spark, d).fact_order_line, path, ["period"])
+    from orderstar.operators.facts import FACT_ORDER_LINE_COLUMNS
+    return read_parquet(spark, path).select(*FACT_ORDER_LINE_COLUMNS)
+
+
+@register("partition_pruned_scan", O.over_pipeline(
+    f"SELECT order_line_key, order_id, period, line_net_amount FROM fact_order_line WHERE period >= {O.WINDOW_START}",
+    "fact_order_line"))
+def q_partition_pruned_scan(spark, d):
+    path = scratch_path(spark, "fact_order_line")
+    write_partitioned(fixture_silver(spark, d).fact_order_line, path, ["period"])
+    start = feat.window_start_period(fx.FIXTURE_AS_OF, feat.WINDOW_MONTHS)
+    return (read_parquet(spark, path).filter(F.col("period") >= start)
+            .select("order_line_key", "order_id", "period", "line_net_amount"))
+
+
+# ------------------------------------------------------------------ data quality
+
+
+@register("dq_row_counts", """
+    SELECT 'customer' AS table_name, COUNT(*) AS row_count FROM customer UNION ALL
+    SELECT 'orders', COUNT(*) FROM orders UNION ALL
+    SELECT 'lineitem', COUNT(*) FROM lineitem UNION ALL
+    SELECT 'part', COUNT(*) FROM part""")
+def q_dq_row_counts(spark, d):
+    return row_counts({t: fx.table(spark, d, t) for t in ("customer", "orders", "lineitem", "part")})
+
+
+@register("dq_dimension_reconcile", O.with_ctes(
+    [("raw_customers", O.raw_customers("dup")), ("std_customer", O.STD_CUSTOMER),
+     ("latest_customer", O.LATEST_CUSTOMER), ("dim_customer", O.DIM_CUSTOMER),
+     ("r", """SELECT (SELECT COUNT(*) FROM raw_customers) AS rows_in,
+                     (SELECT COUNT(DISTINCT TRY_CAST(customer_id AS INTEGER)) FROM raw_customers) AS distinct_keys,
+                     (SELECT COUNT(*) FROM raw_customers WHERE TRY_CAST(customer_id AS INTEGER) IS NULL) AS null_keys,
+                     (SELECT COUNT(*) FROM dim_customer WHERE customer_id = 0) AS unknown_members,
+                     (SELECT COUNT(*) FROM dim_customer) AS rows_out""")],
+    """SELECT rows_in, distinct_keys, null_keys, rows_in - distinct_keys - null_keys AS duplicates_removed,
+              unknown_members, rows_out, rows_out = distinct_keys + 1 AS ok FROM r"""))
+def q_dq_dimension_reconcile(spark, d):
+    raw = fx.raw_customers(spark, d, "dup")
+    return dimension_reconcile(raw, dim_customer(raw), "customer_id")
+
+
+@register("dq_write_reconcile", O.with_ctes(
+    [("raw_customers", O.raw_customers("dup")), ("std_customer", O.STD_CUSTOMER),
+     ("latest_customer", O.LATEST_CUSTOMER), ("dim_customer", O.DIM_CUSTOMER)],
+    "SELECT COUNT(*) AS rows_written, COUNT(*) AS rows_read, TRUE AS ok FROM dim_customer"))
+def q_dq_write_reconcile(spark, d):
+    return write_and_reconcile(dim_customer(fx.raw_customers(spark, d, "dup")), scratch_path(spark, "dim_customer"))
+
+
+_PROFILE_COLS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+
+
+@register("dq_profile", " UNION ALL ".join(
+    f"""SELECT '{c}' AS column_name, COUNT({c}) AS "count", ROUND(AVG({c}), 6) AS mean,
+               ROUND(STDDEV_SAMP({c}), 6) AS stddev, MIN({c}) AS "min", MAX({c}) AS "max" FROM lineitem"""
+    for c in _PROFILE_COLS))
+def q_dq_profile(spark, d):
+    p = profile(fx.table(spark, d, "lineitem"), _PROFILE_COLS)
+    return p.select("column_name", "count", r6("mean").alias("mean"), r6("stddev").alias("stddev"), "min", "max")
+
+
+# ------------------------------------------------------------------ end to end
+
+
+@register("medallion_end_to_end", ORACLE["customer_features"])
+def q_medallion_end_to_end(spark, d):
+    """Raw CSV landing zone -> bronze -> silver -> gold, through files; returns the gold table."""
+    from orderstar.plans.medallion import run_medallion
+
+    root = scratch_path(spark, "medallion")
+    fx.stage_landing_zone(spark, d, f"{root}/raw")
+    res = run_medallion(spark, f"{root}/raw", root, fixture_params(), calendar=fx.FIXTURE_CALENDAR,
+                        now=fx.FIXTURE_NOW, layout=fx.FIXTURE_LAYOUT)
+    return comparable_features(res.gold)

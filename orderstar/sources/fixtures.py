@@ -138,3 +138,38 @@ def raw_order_detail(spark: SparkSession, sf_dir: str, variant: str = "clean") -
         F.col("l_extendedprice").cast(MONEY).alias("line_net_amount"),
         F.col("o_totalprice").cast(MONEY).alias("order_net_amount_replicated"),
     )
+
+
+# ---------------------------------------------------------------- staged raw files (landing zone)
+
+# Layout of a staged fixture landing zone: Spark names its output files ``part-*.csv``, so each family
+# gets its own folder and is read recursively with ``*.csv``.
+FIXTURE_LAYOUT = {
+    "customer": ("customers.csv", None),
+    "product": ("products.csv", None),
+    "orders_header": ("orders_header", "*.csv"),
+    "orders_detail": ("orders_detail", "*.csv"),
+}
+
+
+def stage_csv(df: DataFrame, path: str, partition_by: list[str] | None = None, mode: str = "overwrite",
+              compression: str | None = None) -> str:
+    """Write ``df`` as header CSV files (one per task; nothing passes through the driver)."""
+    w = df.write.mode(mode).option("header", True)
+    if compression:
+        w = w.option("compression", compression)
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    w.csv(path)
+    return path
+
+
+def stage_landing_zone(spark: SparkSession, sf_dir: str, root: str, customers: str = "clean",
+                       products: str = "clean", header: str = "dirty", detail: str = "dirty") -> str:
+    """Raw CSV files for the four sources under ``root`` (headers nested one folder deep by year)."""
+    stage_csv(raw_customers(spark, sf_dir, customers), f"{root}/customers.csv")
+    stage_csv(raw_products(spark, sf_dir, products), f"{root}/products.csv")
+    h = raw_order_header(spark, sf_dir, header)
+    stage_csv(h.withColumn("y", F.coalesce(F.year("order_date"), F.lit(0))), f"{root}/orders_header", ["y"])
+    stage_csv(raw_order_detail(spark, sf_dir, detail), f"{root}/orders_detail")
+    return root
