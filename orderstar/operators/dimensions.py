@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from orderstar.functions.calendar import as_date_literal, calendar_attributes
 from orderstar.functions.keys import key_or_default
 from orderstar.operators.dedupe import keep_first, latest_per_key
+from orderstar.operators.sizing import broadcast_if_within
 from orderstar.operators.standardize import standardize_customer, standardize_product
 
 # The unknown ("dummy") members appended to each dimension, key 0.
@@ -118,10 +119,12 @@ def calendar_range_from(dates: DataFrame, date_col: str) -> tuple[dt.date, dt.da
     return dt.date(lo.year, 1, 1), dt.date(hi.year, 12, 31)
 
 
-def bounded_calendar(calendar: DataFrame, max_days: int = MAX_CALENDAR_DAYS) -> DataFrame:
-    """Broadcast the calendar when its row count is within ``max_days``; otherwise leave it to the planner."""
-    n = calendar.count()
-    return F.broadcast(calendar) if n <= max_days else calendar
+def bounded_calendar(
+    calendar: DataFrame, max_days: int = MAX_CALENDAR_DAYS, sized_by: DataFrame | None = None
+) -> DataFrame:
+    """Broadcast the calendar when its row count (or that of ``sized_by``, the calendar it was projected
+    from) is within ``max_days``; otherwise leave it to the planner."""
+    return broadcast_if_within(calendar, max_days, sized_by)
 
 
 __all__ = [

@@ -10,8 +10,9 @@ Plan shape for the line fact (the large one):
 * the ``amount > 0 OR units > 0`` filter sits right after that join (it needs both sides, so it cannot
   go lower) and before the product lookup, so the product join sees only surviving lines.
 * dimensions are joined by key only (the fact keeps the foreign key when the member exists, else NULL);
-  the calendar is broadcast behind a row-count check, customer and product are left to the planner / AQE,
-  which broadcasts them only when their measured size is small.
+  each key set is broadcast behind a row-count check (``max_broadcast_rows``) and shuffled beyond it.
+  With a broadcast customer lookup the headers keep their ``order_id`` partitioning from the dedupe, so
+  the line join reuses it (headers shuffle once instead of three times).
 """
 
 from __future__ import annotations
@@ -31,6 +32,7 @@ from orderstar.functions.keys import (
 )
 from orderstar.operators.dedupe import keep_first, latest_per_key
 from orderstar.operators.dimensions import bounded_calendar
+from orderstar.operators.sizing import MAX_BROADCAST_ROWS, broadcast_if_within
 from orderstar.operators.standardize import standardize_order_header, standardize_order_line
 
 
@@ -55,6 +57,7 @@ def fact_order(
     map_unmatched_to_unknown: bool = False,
     tie_breakers: Sequence[str | Column] | None = None,
     sort: bool = False,
+    max_broadcast_rows: int = MAX_BROADCAST_ROWS,
 ) -> DataFrame:
     """Order-grain fact: latest header per order, positive net amount only (filter *after* dedupe)."""
     h = latest_order_headers(bronze_header, tie_breakers).filter(F.col("order_net_amount") > 0)
@@ -70,7 +73,7 @@ def fact_order(
         "order_net_amount",
         "order_gross_amount",
     )
-    cus = dim_customer.select(F.col("customer_id").alias("customer_key"))
+    cus = broadcast_if_within(dim_customer.select(F.col("customer_id").alias("customer_key")), max_broadcast_rows, dim_customer)
     j = h.join(cus, h["customer_id"] == cus["customer_key"], "left")
     customer_key = F.col("customer_key")
     if map_unmatched_to_unknown:
@@ -89,7 +92,9 @@ def fact_order(
     return out.orderBy("order_id") if sort else out
 
 
-def enriched_headers(headers: DataFrame, dim_customer: DataFrame, dim_date: DataFrame) -> DataFrame:
+def enriched_headers(
+    headers: DataFrame, dim_customer: DataFrame, dim_date: DataFrame, max_broadcast_rows: int = MAX_BROADCAST_ROWS
+) -> DataFrame:
     """Order-grain lookups done once per order: customer key existence, calendar key, period."""
     h = headers.select(
         F.col("order_id").alias("h_order_id"),
@@ -100,8 +105,12 @@ def enriched_headers(headers: DataFrame, dim_customer: DataFrame, dim_date: Data
         F.col("currency").alias("h_currency"),
         F.col("order_net_amount").alias("h_order_net_amount"),
     )
-    cus = dim_customer.select(F.col("customer_id").alias("cus_customer_id"))
-    cal = bounded_calendar(dim_date.select(F.col("date").alias("dat_date"), F.col("date_id").alias("dat_date_id")))
+    cus = broadcast_if_within(
+        dim_customer.select(F.col("customer_id").alias("cus_customer_id")), max_broadcast_rows, dim_customer
+    )
+    cal = bounded_calendar(
+        dim_date.select(F.col("date").alias("dat_date"), F.col("date_id").alias("dat_date_id")), sized_by=dim_date
+    )
     return (
         h.join(cus, h["h_customer_id"] == cus["cus_customer_id"], "left")
         .join(cal, F.col("h_order_date") == F.col("dat_date"), "left")
@@ -137,12 +146,15 @@ def fact_order_line(
     map_unmatched_to_unknown: bool = False,
     header_tie_breakers: Sequence[str | Column] | None = None,
     line_tie_breakers: Sequence[str | Column] | None = None,
+    max_broadcast_rows: int = MAX_BROADCAST_ROWS,
 ) -> DataFrame:
     """Order-line fact with hashed key, dimension keys and ``period`` (yyyyMM of the header date)."""
-    headers = enriched_headers(latest_order_headers(bronze_header, header_tie_breakers), dim_customer, dim_date)
+    headers = enriched_headers(
+        latest_order_headers(bronze_header, header_tie_breakers), dim_customer, dim_date, max_broadcast_rows
+    )
     lines = latest_order_lines(bronze_detail, line_tie_breakers)
     kept = positive_line_filter(join_line_header(lines, headers))
-    pro = dim_product.select(F.col("product_id").alias("pro_product_id"))
+    pro = broadcast_if_within(dim_product.select(F.col("product_id").alias("pro_product_id")), max_broadcast_rows, dim_product)
     j = kept.join(pro, kept["product_id"] == pro["pro_product_id"], "left")
 
     order_id = first_non_null("h_order_id", "order_id", default=0)

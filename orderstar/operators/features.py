@@ -17,7 +17,8 @@ over each customer's orders. We compute the same numbers with a plan that holds
    of dated orders (NULL when ``k < 2``; orders without a calendar date contribute no gap, exactly as
    ``LAG`` + ``AVG`` skipping NULLs). No customer's orders are ever gathered into one task.
 
-``order_lag`` keeps the literal per-order ``LAG`` for callers that need the previous date itself.
+``order_lag`` gives the previous order date itself (the original ``LAG``), computed without a per-customer
+window over orders (see its docstring).
 """
 
 from __future__ import annotations
@@ -32,6 +33,7 @@ from pyspark.sql.types import DecimalType
 from orderstar.functions.calendar import as_date_literal, window_start_period
 from orderstar.functions.metrics import conditional_amount, days_to_month_end, safe_ratio
 from orderstar.operators.dimensions import bounded_calendar
+from orderstar.operators.sizing import broadcast_if_within, fits
 
 # The channel, payment type and promo flag the original features select on, and the
 # window length in calendar months.
@@ -87,7 +89,11 @@ def channel_window_filter(
 
 
 def _semi_side(keys: DataFrame, p: FeatureParams) -> DataFrame:
-    return F.broadcast(keys) if keys.count() <= p.max_broadcast_customers else keys
+    return broadcast_if_within(keys, p.max_broadcast_customers)
+
+
+def _date_lookup(dim_date: DataFrame) -> DataFrame:
+    return dim_date.select(F.col("date_id").alias("order_date_id"), F.col("date").alias("order_date"))
 
 
 def _order_grain(lines: DataFrame, p: FeatureParams) -> DataFrame:
@@ -101,7 +107,7 @@ def _order_grain(lines: DataFrame, p: FeatureParams) -> DataFrame:
 
 
 def _customer_grain(orders: DataFrame, dim_date: DataFrame) -> DataFrame:
-    cal = bounded_calendar(dim_date.select(F.col("date_id").alias("order_date_id"), F.col("date").alias("order_date")))
+    cal = bounded_calendar(_date_lookup(dim_date), sized_by=dim_date)
     dated = orders.join(cal, "order_date_id", "left")
     return dated.groupBy("customer_id").agg(
         F.max("order_date").alias("last_pedido_date"),
@@ -115,9 +121,9 @@ def _customer_grain(orders: DataFrame, dim_date: DataFrame) -> DataFrame:
     )
 
 
-def _category_variety(lines: DataFrame, dim_product: DataFrame) -> DataFrame:
+def _category_variety(lines: DataFrame, dim_product: DataFrame, p: FeatureParams) -> DataFrame:
     pairs = lines.select("customer_id", "product_id").distinct()  # partial distinct before the shuffle
-    pro = dim_product.select("product_id", "product_category")
+    pro = broadcast_if_within(dim_product.select("product_id", "product_category"), p.max_broadcast_customers, dim_product)
     return (
         pairs.join(pro, "product_id", "left")
         .groupBy("customer_id")
@@ -131,7 +137,7 @@ def _prepare(
     """Window lines, channel-filtered early when the channel's key set is small; else the keys to apply late."""
     lines = window_fact_lines(fact_lines, p).filter(F.col("customer_id").isNotNull())
     keys = channel_customers(dim_customer, p.channel)
-    if keys.count() <= p.max_broadcast_customers:
+    if fits(keys, p.max_broadcast_customers):
         return lines.join(F.broadcast(keys), "customer_id", "left_semi"), None
     return lines, keys
 
@@ -146,7 +152,7 @@ def customer_sales(
     """Customer-grain aggregates of the window (the first original CTE, plus gap inputs)."""
     lines, late_keys = _prepare(fact_lines, dim_customer, p)
     per_customer = _customer_grain(_order_grain(lines, p), dim_date)
-    out = per_customer.join(_category_variety(lines, dim_product), "customer_id", "left")
+    out = per_customer.join(_category_variety(lines, dim_product, p), "customer_id", "left")
     if late_keys is not None:
         out = out.join(late_keys, "customer_id", "left_semi")
     return out.withColumn("month_end_date", F.last_day(p.as_of_col))
@@ -184,7 +190,7 @@ def distinct_orders(
 ) -> DataFrame:
     """Distinct ``(customer_id, order_id, order_date)`` of the window (``GROUP BY ALL`` without aggregates)."""
     lines, late_keys = _prepare(fact_lines, dim_customer, p)
-    cal = bounded_calendar(dim_date.select(F.col("date_id").alias("order_date_id"), F.col("date").alias("order_date")))
+    cal = bounded_calendar(_date_lookup(dim_date), sized_by=dim_date)
     out = lines.select("customer_id", "order_id", "order_date_id").distinct()
     if late_keys is not None:
         out = out.join(late_keys, "customer_id", "left_semi")
@@ -194,11 +200,24 @@ def distinct_orders(
 def order_lag(
     fact_lines: DataFrame, dim_customer: DataFrame, dim_date: DataFrame, p: FeatureParams
 ) -> DataFrame:
-    """Each distinct order with the customer's previous order date (``LAG`` by date, then order id).
-
-    This is a per-customer window: its rows for one customer are processed by one task. Feature
-    computation does not use it (see the module docstring); it is offered for per-order analysis.
+    """Each distinct order with the customer's previous order date: ``LAG(order_date)`` over the
+    customer's orders sorted by date, then order id (NULL dates first).
+
+    No window runs over a customer's orders (a customer holding a third of all orders would be one task).
+    In that order the previous row of an order has the same date unless the order is the smallest order id
+    of its day; the smallest one gets the customer's previous *distinct* date. So the window runs over
+    distinct ``(customer, day)`` pairs only — at most one row per calendar day per customer — and a join
+    on ``(customer, date)`` puts the answer on every order. NULL-dated orders sort first and get NULL, as
+    does the first dated order (its predecessor, if any, is NULL-dated).
     """
     orders = distinct_orders(fact_lines, dim_customer, dim_date, p)
-    w = Window.partitionBy("customer_id").orderBy(F.col("order_date").asc_nulls_first(), F.col("order_id").asc_nulls_first())
-    return orders.withColumn("last_date", F.lag("order_date").over(w))
+    days = (
+        orders.filter(F.col("order_date").isNotNull())
+        .groupBy("customer_id", "order_date")
+        .agg(F.min("order_id").alias("first_order_id"))
+    )
+    w = Window.partitionBy("customer_id").orderBy("order_date")
+    days = days.withColumn("prev_date", F.lag("order_date").over(w))
+    j = orders.join(days, ["customer_id", "order_date"], "left")
+    last_date = F.when(F.col("order_id") > F.col("first_order_id"), F.col("order_date")).otherwise(F.col("prev_date"))
+    return j.select("customer_id", "order_id", "order_date", last_date.alias("last_date"))

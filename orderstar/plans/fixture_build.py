@@ -6,14 +6,17 @@ planned DataFrame, so each query executes as one Spark plan from the raw tables
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 
 from orderstar.operators.dimensions import dim_customer, dim_date, dim_product
 from orderstar.operators.facts import fact_order_line
 from orderstar.operators.features import FeatureParams
+from orderstar.session import scratch_path
 from orderstar.sources import fixtures as fx
+from orderstar.sources.files import read_parquet
+from orderstar.sources.writers import write_partitioned
 
 
 @dataclass
@@ -47,3 +50,15 @@ def fixture_silver(
     dc, dp = dim_customer(rc), dim_product(rp)
     dd = dim_date(spark, *fx.FIXTURE_CALENDAR, as_of=fx.FIXTURE_AS_OF)
     return Silver(rc, rp, rh, rd, dc, dp, dd, fact_order_line(rh, rd, dc, dp, dd))
+
+
+def fixture_gold_inputs(spark: SparkSession, sf_dir: str) -> Silver:
+    """``fixture_silver`` with the line fact written once, partitioned by ``period``, to the shared scratch
+    folder and read back — the silver/gold hand-off of the original. The gold plan scans the fact in two
+    branches (order grain, category variety); reading a table, each branch prunes partitions and columns
+    instead of recomputing the whole fact from the raw tables, and a lost executor recomputes only from
+    the written fact."""
+    s = fixture_silver(spark, sf_dir)
+    path = scratch_path(spark, "silver_fact_order_line")
+    write_partitioned(s.fact_order_line, path, ["period"])
+    return replace(s, fact_order_line=read_parquet(spark, path))

@@ -39,7 +39,7 @@ from orderstar.operators.standardize import (
     standardize_product,
 )
 from orderstar.plans import oracle as O
-from orderstar.plans.pipeline import fixture_params, fixture_silver
+from orderstar.plans.fixture_build import fixture_gold_inputs, fixture_params, fixture_silver
 from orderstar.sources import fixtures as fx
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -319,19 +319,19 @@ def q_fact_order_line(spark, d):
 
 
 def _features(spark, d) -> DataFrame:
-    s = fixture_silver(spark, d)
+    s = fixture_gold_inputs(spark, d)
     return feat.customer_features(s.fact_order_line, s.dim_customer, s.dim_product, s.dim_date, fixture_params())
 
 
 def _sales(spark, d) -> DataFrame:
-    s = fixture_silver(spark, d)
+    s = fixture_gold_inputs(spark, d)
     return feat.customer_sales(s.fact_order_line, s.dim_customer, s.dim_product, s.dim_date, fixture_params())
 
 
 @register("channel_window_filter", O.over_pipeline(
     "SELECT order_line_key, customer_id, order_id, period, line_net_amount FROM window_lines", "window_lines"))
 def q_channel_window_filter(spark, d):
-    s = fixture_silver(spark, d)
+    s = fixture_gold_inputs(spark, d)
     lines = feat.channel_window_filter(s.fact_order_line, s.dim_customer, fixture_params())
     return lines.select("order_line_key", "customer_id", "order_id", "period", "line_net_amount")
 
@@ -353,13 +353,13 @@ def q_group_by_all(spark, d):
 
 @register("distinct_orders", O.over_pipeline("SELECT * FROM distinct_orders", "distinct_orders"))
 def q_distinct_orders(spark, d):
-    s = fixture_silver(spark, d)
+    s = fixture_gold_inputs(spark, d)
     return feat.distinct_orders(s.fact_order_line, s.dim_customer, s.dim_date, fixture_params())
 
 
 @register("order_lag", O.over_pipeline("SELECT * FROM order_lag", "order_lag"))
 def q_order_lag(spark, d):
-    s = fixture_silver(spark, d)
+    s = fixture_gold_inputs(spark, d)
     return feat.order_lag(s.fact_order_line, s.dim_customer, s.dim_date, fixture_params())
 
 

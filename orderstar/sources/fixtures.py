@@ -14,6 +14,8 @@ Variants add the cases the clean fixtures lack, by projection only (no row is dr
 
 from __future__ import annotations
 
+import weakref
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
@@ -28,8 +30,17 @@ FIXTURE_CALENDAR = ("1995-01-01", "2001-12-31")
 FIXTURE_NOW = "2001-08-01 12:00:00"
 
 
+# The driver's tables are read-only, so one DataFrame per (session, file) is reused: the file listing and
+# footer read behind ``spark.read.parquet`` happen once per session instead of once per query.
+_tables: weakref.WeakKeyDictionary[SparkSession, dict[str, DataFrame]] = weakref.WeakKeyDictionary()
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    per_session = _tables.setdefault(spark, {})
+    if path not in per_session:
+        per_session[path] = spark.read.parquet(path)
+    return per_session[path]
 
 
 def _id(col: str) -> Column:
