@@ -40,7 +40,7 @@ def read_csv(spark: SparkSession, path: str, infer_schema: bool = False, **optio
             .csv(path)
         )
     except AnalysisException as e:
-        if "PATH_NOT_FOUND" in (e.getErrorClass() or ""):
+        if "PATH_NOT_FOUND" in (e.getCondition() or ""):
             raise _no_files(path) from e
         raise
     return _checked(df, path)
@@ -62,7 +62,7 @@ def read_csv_tree(
         )
     except AnalysisException as e:
         # no matching file: Spark cannot take a header / schema from nothing
-        if any(s in (e.getErrorClass() or "") for s in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")):
+        if any(s in (e.getCondition() or "") for s in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")):
             raise _no_files(root, file_pattern) from e
         raise
     return _checked(df, root, file_pattern)
