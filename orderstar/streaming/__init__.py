@@ -1,0 +1,5 @@
+"""Streaming: intentionally empty.
+
+The reference has no streaming at all: every read is a batch read, with no ``readStream``,
+``writeStream``, watermark or stateful operator. Nothing is invented here.
+"""
