@@ -11,7 +11,7 @@ over each customer's orders. We compute the same numbers with a plan that holds
 3. order grain: ``GROUP BY customer_id, order_id`` with map-side partial aggregation (sum, credit sum,
    promo flag, date key) — a hot order or customer collapses before the shuffle;
 4. customer grain: plain ``count/sum/min/max`` (again partial + final) instead of distinct counts;
-5. categories: distinct ``(customer, product)`` pairs -> product category -> distinct count;
+5. categories: product category looked up map-side (broadcast within the bound) -> distinct count;
 6. the mean gap between consecutive orders needs no window: along a customer's orders sorted by date the
    gaps telescope, so ``AVG(datediff(d_i, d_{i-1})) = (max(d) - min(d)) / (k - 1)`` with ``k`` the number
    of dated orders (NULL when ``k < 2``; orders without a calendar date contribute no gap, exactly as
@@ -122,13 +122,20 @@ def _customer_grain(orders: DataFrame, dim_date: DataFrame) -> DataFrame:
 
 
 def _category_variety(lines: DataFrame, dim_product: DataFrame, p: FeatureParams) -> DataFrame:
-    pairs = lines.select("customer_id", "product_id").distinct()  # partial distinct before the shuffle
-    pro = broadcast_if_within(dim_product.select("product_id", "product_category"), p.max_broadcast_customers, dim_product)
-    return (
-        pairs.join(pro, "product_id", "left")
-        .groupBy("customer_id")
-        .agg(F.count_distinct("product_category").alias("variedad_categorias_3m"))
-    )
+    """Distinct product categories per customer (NULL category not counted).
+
+    With a product lookup proven small, the category is looked up map-side on every line and only
+    ``(customer, category)`` pairs (partially de-duplicated) are shuffled before the per-customer count.
+    Beyond the bound, distinct ``(customer, product)`` pairs are formed first, so the shuffle join by
+    product moves pairs, not lines (a hot product's lines collapse map-side).
+    """
+    pro = dim_product.select("product_id", "product_category")
+    pairs = lines.select("customer_id", "product_id")
+    if fits(dim_product, p.max_broadcast_customers):
+        tagged = pairs.join(F.broadcast(pro), "product_id", "left")
+    else:
+        tagged = pairs.distinct().join(pro, "product_id", "left")
+    return tagged.groupBy("customer_id").agg(F.count_distinct("product_category").alias("variedad_categorias_3m"))
 
 
 def _prepare(
