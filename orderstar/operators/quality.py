@@ -30,12 +30,18 @@ def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
 
 
 def dimension_reconcile(
-    bronze: DataFrame, dim: DataFrame, key: str, unknown_key: int = 0, raw_key: str | None = None
+    bronze: DataFrame,
+    dim: DataFrame,
+    key: str,
+    unknown_key: int = 0,
+    raw_key: str | None = None,
+    strict: bool = False,
 ) -> DataFrame:
     """Rows in, distinct keys, NULL keys, duplicates removed, unknown members, rows out, ok.
 
     ``ok`` is ``rows_out = distinct non-NULL keys + 1`` (the original required ``rows_out - 1 = rows_in``,
-    which fails as soon as a duplicate is removed). One pass over the union of both inputs.
+    which fails as soon as a duplicate is removed; ``strict=True`` applies that original rule). One pass
+    over the union of both inputs.
     """
     raw_key = raw_key or key
     side = "__side"
@@ -57,7 +63,8 @@ def dimension_reconcile(
         (F.col("rows_in") - F.col("distinct_keys") - F.col("null_keys")).alias("duplicates_removed"),
         "unknown_members",
         "rows_out",
-        (F.col("rows_out") == F.col("distinct_keys") + 1).alias("ok"),
+        (F.col("rows_out") - 1 == F.col("rows_in") if strict else F.col("rows_out") == F.col("distinct_keys") + 1)
+        .alias("ok"),
     )
 
 

@@ -165,6 +165,17 @@ def test_dimension_reconcile_and_assert_ok(spark):
     assert_ok(dimension_reconcile(bronze, dim, "customer_id"))
     with pytest.raises(QualityError):
         assert_ok(dimension_reconcile(bronze, dim.filter("customer_id > 0"), "customer_id"))
+    # the original rule (rows out - 1 = rows in) fails as soon as dedupe removed a row
+    assert dimension_reconcile(bronze, dim, "customer_id", strict=True).collect()[0]["ok"] is False
+
+
+def test_cast_failures_counts_unparsable_values(spark):
+    from orderstar.operators.quality import cast_failures
+
+    raw = spark.createDataFrame([("1", "2001-01-01", " x "), ("a", "bad", None), (None, None, "y")],
+                                "id string, d string, t string")
+    r = cast_failures(raw, [("id", "id", "int"), ("d", "d", "date"), ("t", "t", "text")]).collect()[0]
+    assert (r["id"], r["d"], r["t"]) == (1, 1, 0)
 
 
 def test_write_reconcile_profile_counts(spark, tmp_root):
