@@ -66,11 +66,15 @@ def test_upsert_bootstrap_and_legacy_target(spark):
 
 def test_upsert_rejects_bad_source_keys(spark):
     dup = spark.createDataFrame([(1, "x"), (1, "y")], "k int, v string")
-    with pytest.raises(M.DuplicateKeyError):
-        M.upsert(_target(spark), dup, ["k"], now=NOW)
+    with pytest.raises(Exception, match="duplicate key"):
+        M.upsert(_target(spark), dup, ["k"], now=NOW).collect()
     nul = spark.createDataFrame([(None, "x")], "k int, v string")
-    with pytest.raises(M.DuplicateKeyError):
-        M.upsert(_target(spark), nul, ["k"], now=NOW)
+    with pytest.raises(Exception, match="NULL key"):
+        M.upsert(_target(spark), nul, ["k"], now=NOW).collect()
+    with pytest.raises(M.DuplicateKeyError):  # first load: checked before returning
+        M.upsert(None, dup, ["k"], now=NOW)
+    # without validation a NULL-key source row is simply inserted (it never matches)
+    assert M.upsert(_target(spark), nul, ["k"], now=NOW, validate=False).count() == 4
     with pytest.raises(ValueError):
         M.upsert(_target(spark), spark.createDataFrame([(9, "x", 1)], "k int, v string, extra int"), ["k"], now=NOW)
 
