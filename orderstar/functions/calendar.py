@@ -37,7 +37,8 @@ def as_timestamp_literal(value: dt.datetime | str | Column | None) -> Column:
     if isinstance(value, Column):
         return value
     if isinstance(value, str):
-        value = dt.datetime.fromisoformat(value)
+        # parsed by Spark in the session time zone, so it prints back unchanged whatever the zone
+        return F.lit(dt.datetime.fromisoformat(value).isoformat(sep=" ")).cast("timestamp")
     return F.lit(value).cast("timestamp")
 
 
