@@ -7,6 +7,10 @@ Plan shape for the line fact (the large one):
   the line grain — the lines never get shuffled by ``customer_id``.
 * lines: standardise -> one per ``(order_id, line_id)``; then ``lines LEFT JOIN headers`` on
   ``order_id`` (sort-merge at scale; AQE splits a hot ``order_id`` on the line side).
+  This shuffles lines twice. Deduplicating after the join would reuse the ``order_id`` partitioning and
+  save one, but the window would then sit on the join's output and require that partitioning. AQE would
+  not split a hot order (the split would force another shuffle), and exact duplicates would no longer be
+  cut map-side. We keep the two shuffles.
 * the ``amount > 0 OR units > 0`` filter sits right after that join (it needs both sides, so it cannot
   go lower) and before the product lookup, so the product join sees only surviving lines.
 * dimensions are joined by key only (the fact keeps the foreign key when the member exists, else NULL);
