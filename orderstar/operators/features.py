@@ -131,8 +131,9 @@ def _category_variety(lines: DataFrame, dim_product: DataFrame, p: FeatureParams
     """
     pro = dim_product.select("product_id", "product_category")
     pairs = lines.select("customer_id", "product_id")
-    if fits(dim_product, p.max_broadcast_customers):
-        tagged = pairs.join(F.broadcast(pro), "product_id", "left")
+    lookup = broadcast_if_within(pro, p.max_broadcast_customers, dim_product)
+    if lookup is not pro:  # broadcast: look the category up map-side on every line
+        tagged = pairs.join(lookup, "product_id", "left")
     else:
         tagged = pairs.distinct().join(pro, "product_id", "left")
     return tagged.groupBy("customer_id").agg(F.count_distinct("product_category").alias("variedad_categorias_3m"))

@@ -16,9 +16,16 @@ import weakref
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-# Up to this many rows of narrow key columns (a few tens of MB) are broadcast.
+# Up to this many rows of narrow key columns (a few tens of MB) are broadcast ...
 MAX_BROADCAST_ROWS = 2_000_000
+# ... and never more than this many estimated bytes (rows x estimated row width of the broadcast side).
+MAX_BROADCAST_BYTES = 256 * 1024 * 1024
+
+# Estimated in-memory bytes per value, by type (strings: an assumed average; other types: 16).
+_WIDTH = {T.BooleanType: 1, T.ByteType: 1, T.ShortType: 2, T.IntegerType: 4, T.DateType: 4, T.FloatType: 4,
+          T.LongType: 8, T.DoubleType: 8, T.TimestampType: 8, T.TimestampNTZType: 8, T.StringType: 48}
 
 _row_counts: weakref.WeakKeyDictionary[DataFrame, int] = weakref.WeakKeyDictionary()
 
@@ -36,7 +43,19 @@ def fits(df: DataFrame, max_rows: int) -> bool:
     return row_count(df) <= max_rows
 
 
-def broadcast_if_within(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS, sized_by: DataFrame | None = None) -> DataFrame:
+def row_width(df: DataFrame) -> int:
+    """Estimated bytes per row of ``df`` (8 bytes of row overhead plus a per-type width)."""
+    return 8 + sum(_WIDTH.get(type(f.dataType), 16) for f in df.schema.fields)
+
+
+def broadcast_if_within(
+    df: DataFrame,
+    max_rows: int = MAX_BROADCAST_ROWS,
+    sized_by: DataFrame | None = None,
+    max_bytes: int = MAX_BROADCAST_BYTES,
+) -> DataFrame:
     """``broadcast(df)`` when ``sized_by`` (default ``df``; it must have at least ``df``'s rows) has at most
-    ``max_rows`` rows, else ``df`` unchanged."""
-    return F.broadcast(df) if fits(df if sized_by is None else sized_by, max_rows) else df
+    ``max_rows`` rows and those rows, at ``df``'s estimated width, fit in ``max_bytes``; else ``df``
+    unchanged (the planner keeps a shuffle join)."""
+    n = row_count(df if sized_by is None else sized_by)
+    return F.broadcast(df) if n <= max_rows and n * row_width(df) <= max_bytes else df

@@ -209,9 +209,11 @@ def test_broadcast_only_within_the_bound(spark):
     try:
         within = big.join(broadcast_if_within(small, 10), "k")
         beyond = big.join(broadcast_if_within(small, 9), "k")
+        too_wide = big.join(broadcast_if_within(small, 10, max_bytes=10 * 8), "k")  # 10 rows x 16 bytes > 80
         assert "BroadcastHashJoin" in plan_of(within)
-        assert "BroadcastHashJoin" not in plan_of(beyond) and "SortMergeJoin" in plan_of(beyond)
-        assert within.count() == beyond.count() == 10
+        for plan in (plan_of(beyond), plan_of(too_wide)):
+            assert "BroadcastHashJoin" not in plan and "SortMergeJoin" in plan
+        assert within.count() == beyond.count() == too_wide.count() == 10
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
