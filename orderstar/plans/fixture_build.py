@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from orderstar.operators.dimensions import dim_customer, dim_date, dim_product
 from orderstar.operators.facts import fact_order_line
-from orderstar.operators.features import FeatureParams
+from orderstar.operators.features import FeatureParams, window_fact_lines
 from orderstar.session import scratch_path
 from orderstar.sources import fixtures as fx
 from orderstar.sources.files import read_parquet
@@ -52,13 +52,18 @@ def fixture_silver(
     return Silver(rc, rp, rh, rd, dc, dp, dd, fact_order_line(rh, rd, dc, dp, dd))
 
 
-def fixture_gold_inputs(spark: SparkSession, sf_dir: str) -> Silver:
-    """``fixture_silver`` with the line fact written once, partitioned by ``period``, to the shared scratch
-    folder and read back — the silver/gold hand-off of the original. The gold plan scans the fact in two
-    branches (order grain, category variety); reading a table, each branch prunes partitions and columns
-    instead of recomputing the whole fact from the raw tables, and a lost executor recomputes only from
-    the written fact."""
+def fixture_gold_inputs(spark: SparkSession, sf_dir: str, params: FeatureParams | None = None) -> Silver:
+    """``fixture_silver`` with the line fact written once to the shared scratch folder, partitioned by
+    ``period``, and read back. This is the silver/gold hand-off of the original, where gold reads a
+    written table.
+
+    The gold plan scans the fact in two branches (order grain, category variety). Reading a table, each
+    branch prunes partitions and columns instead of recomputing the fact from the raw tables, and a lost
+    executor recomputes only from the written fact. Only the window the gold operators read is written:
+    ``period >= start`` (the same filter they apply) is pushed into the fact's plan. There it becomes an
+    inner join with the headers of the window, so only those lines are joined and written.
+    """
     s = fixture_silver(spark, sf_dir)
     path = scratch_path(spark, "silver_fact_order_line")
-    write_partitioned(s.fact_order_line, path, ["period"])
+    write_partitioned(window_fact_lines(s.fact_order_line, params or fixture_params()), path, ["period"])
     return replace(s, fact_order_line=read_parquet(spark, path))
