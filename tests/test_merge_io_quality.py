@@ -235,3 +235,21 @@ def test_fact_schema_and_pruned_gold_scan(spark, tmp_root):
     plan = plan_of(window_fact_lines(read_parquet(spark, tmp_root), fixture_params()).select("order_id"))
     assert "PartitionFilters: [isnotnull(period" in plan and "(period" in plan
     assert "ReadSchema: struct<order_id:int>" in plan
+
+
+def test_fact_order_line_plan_shape(spark):
+    """Lines shuffle by (order_id, line_id) for dedupe and by order_id for the header join; headers shuffle
+    once (their dedupe partitioning is reused by the join, the customer / calendar lookups are broadcast);
+    the only sort-merge join is line LEFT JOIN header."""
+    import re
+
+    from orderstar.plans.fixture_build import fixture_silver
+    from tests.conftest import SF_SMALL
+
+    plan = plan_of(fixture_silver(spark, SF_SMALL).fact_order_line)
+    physical = plan.split("\n\n")[0]
+    assert physical.count("SortMergeJoin") == 1
+    exchanges = re.findall(r"Arguments: hashpartitioning\(([^)]*)\)", plan)
+    keys = sorted(re.sub(r"#\d+", "", e).rsplit(",", 1)[0] for e in exchanges)
+    # two dimension dedupes, headers once, lines twice
+    assert keys == ["customer_id", "order_id", "order_id", "order_id, line_id", "product_id"]
