@@ -157,3 +157,23 @@ def test_window_and_channel_filter(spark, views):
     assert all(r["period"] >= 200106 for r in lines.collect())
     orders = distinct_orders(f, dc, dd, P)
     assert orders.count() == spark.sql(LITERAL.split("), lag AS")[0] + ") SELECT * FROM o").count()
+
+
+def test_feature_totals_add_up(spark, views):
+    """Line -> features: monetary totals and order counts reconcile with the channel's window lines."""
+    from pyspark.sql import functions as F
+
+    f, dc, dp, dd = views
+    feats = customer_features(f, dc, dp, dd, P)
+    lines = channel_window_filter(f, dc, P)
+    got = feats.agg(F.sum("ventas_total_3m").alias("t"), F.sum("frecuencia_pedidos_3m").alias("n")).first()
+    want = lines.agg(F.sum("line_net_amount").alias("t"),
+                     F.count_distinct("customer_id", "order_id").alias("n")).first()
+    assert (got["t"], got["n"]) == (want["t"], want["n"])
+
+
+def test_channel_filter_is_a_semi_join(spark, views):
+    f, dc, dp, dd = views
+    lines = channel_window_filter(f, dc, P)
+    plan = spark._jvm.PythonSQLUtils.explainString(lines._jdf.queryExecution(), "formatted")
+    assert "LeftSemi" in plan and "LeftOuter" not in plan

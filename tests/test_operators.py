@@ -213,3 +213,27 @@ def test_null_period_goes_to_default_partition(spark, tmp_root):
     back = spark.read.parquet(tmp_root)
     assert back.filter(F.col("period").isNull()).count() == 1
     assert back.count() == 5
+
+
+from hypothesis import HealthCheck, given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(data=st.lists(st.tuples(st.integers(0, 5), st.integers(0, 3), st.sampled_from(["a", "b", None])),
+                     min_size=1, max_size=25),
+       parts=st.integers(1, 6), seed=st.integers(0, 10_000))
+def test_dedupe_properties(spark, data, parts, seed):
+    """One row per key; the survivor does not depend on input order or partition count."""
+    import random
+
+    shuffled = list(data)
+    random.Random(seed).shuffle(shuffled)
+    a = spark.createDataFrame(data, "k int, ts int, v string")
+    b = spark.createDataFrame(shuffled, "k int, ts int, v string").repartition(parts)
+    ra = rows(latest_per_key(a, ["k"], "ts"), "k")
+    rb = rows(latest_per_key(b, ["k"], "ts"), "k")
+    assert ra == rb
+    assert [r["k"] for r in ra] == sorted({k for k, _, _ in data})
+    for r in ra:  # the survivor carries its key's latest timestamp
+        assert r["ts"] == max(t for k, t, _ in data if k == r["k"])
