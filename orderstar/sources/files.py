@@ -1,7 +1,8 @@
 """Raw file readers (CSV, parquet) and bronze audit columns.
 
 * CSV columns are read as strings by header name (no ``inferSchema`` pass over the data); typing happens
-  in standardisation with ``try_cast``. ``infer_schema=True`` restores inference when wanted.
+  in standardisation with ``try_cast``. ``schema=`` gives an explicit schema (also no pass);
+  ``infer_schema=True`` restores inference when wanted.
 * Many files: ``recursiveFileLookup`` + ``pathGlobFilter`` read every matching file at any depth (a
   ``**`` inside a Hadoop glob only spans one level).
 * A read that matches no file raises ``FileNotFoundError`` (checked with ``inputFiles()``, which works on
@@ -15,6 +16,7 @@ import datetime as dt
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from orderstar.functions.calendar import as_timestamp_literal
 
@@ -30,15 +32,18 @@ def _checked(df: DataFrame, path: str, pattern: str | None = None) -> DataFrame:
     return df
 
 
-def read_csv(spark: SparkSession, path: str, infer_schema: bool = False, **options) -> DataFrame:
+def _reader(spark: SparkSession, infer_schema: bool, schema: StructType | str | None, options: dict):
+    r = spark.read.option("header", True).options(**options)
+    # an explicit schema needs no pass over the data; otherwise strings, or inference when asked
+    return r.schema(schema) if schema is not None else r.option("inferSchema", infer_schema)
+
+
+def read_csv(
+    spark: SparkSession, path: str, infer_schema: bool = False, schema: StructType | str | None = None, **options
+) -> DataFrame:
     """One CSV file (or directory) with a header row."""
     try:
-        df = (
-            spark.read.option("header", True)
-            .option("inferSchema", infer_schema)
-            .options(**options)
-            .csv(path)
-        )
+        df = _reader(spark, infer_schema, schema, options).csv(path)
     except AnalysisException as e:
         if "PATH_NOT_FOUND" in (e.getCondition() or ""):
             raise _no_files(path) from e
@@ -47,17 +52,20 @@ def read_csv(spark: SparkSession, path: str, infer_schema: bool = False, **optio
 
 
 def read_csv_tree(
-    spark: SparkSession, root: str, file_pattern: str, infer_schema: bool = False, **options
+    spark: SparkSession,
+    root: str,
+    file_pattern: str,
+    infer_schema: bool = False,
+    schema: StructType | str | None = None,
+    **options,
 ) -> DataFrame:
     """Every CSV under ``root`` (any depth) whose file name matches ``file_pattern``, e.g.
     ``"*orders_header*.csv"``."""
     try:
         df = (
-            spark.read.option("header", True)
-            .option("inferSchema", infer_schema)
+            _reader(spark, infer_schema, schema, options)
             .option("recursiveFileLookup", True)
             .option("pathGlobFilter", file_pattern)
-            .options(**options)
             .csv(root)
         )
     except AnalysisException as e:
@@ -91,11 +99,12 @@ def ingest_csv(
     file_pattern: str | None = None,
     now: dt.datetime | str | Column | None = None,
     infer_schema: bool = False,
+    schema: StructType | str | None = None,
 ) -> DataFrame:
     """Bronze ingest: CSV file (or every matching file under a folder) plus audit columns."""
     raw = (
-        read_csv_tree(spark, path, file_pattern, infer_schema)
+        read_csv_tree(spark, path, file_pattern, infer_schema, schema)
         if file_pattern
-        else read_csv(spark, path, infer_schema)
+        else read_csv(spark, path, infer_schema, schema)
     )
     return with_audit_columns(raw, now)

@@ -253,3 +253,11 @@ def test_fact_order_line_plan_shape(spark):
     keys = sorted(re.sub(r"#\d+", "", e).rsplit(",", 1)[0] for e in exchanges)
     # two dimension dedupes, headers once, lines twice
     assert keys == ["customer_id", "order_id", "order_id", "order_id, line_id", "product_id"]
+
+
+def test_csv_explicit_schema(spark, tmp_root):
+    spark.createDataFrame([(1, "2001-01-02")], "id int, d string").write.option("header", True).csv(tmp_root)
+    df = read_csv(spark, tmp_root, schema="id INT, d DATE")
+    assert df.dtypes == [("id", "int"), ("d", "date")]
+    assert df.first()["d"] == dt.date(2001, 1, 2)
+    assert read_csv(spark, tmp_root).dtypes == [("id", "string"), ("d", "string")]
