@@ -123,3 +123,18 @@ def assert_ok(report: DataFrame, column: str = "ok") -> None:
     bad = report.filter(~F.col(column)).limit(5).collect()
     if bad:
         raise QualityError(f"data-quality check failed: {[r.asDict() for r in bad]}")
+
+
+def assert_all_ok(reports: Mapping[str, DataFrame], column: str = "ok") -> None:
+    """``assert_ok`` for many reports in one Spark job: their ``(report, ok)`` rows are unioned, so the
+    report aggregates run as parallel stages of that job instead of one job each."""
+    if not reports:
+        return
+    parts = [df.select(F.lit(name).alias("report"), F.col(column).alias("ok"), F.to_json(F.struct("*")).alias("row"))
+             for name, df in reports.items()]
+    union = parts[0]
+    for part in parts[1:]:
+        union = union.unionByName(part)
+    bad = union.filter(~F.col("ok")).limit(5).collect()
+    if bad:
+        raise QualityError(f"data-quality check failed: {[(r['report'], r['row']) for r in bad]}")

@@ -169,6 +169,12 @@ def test_dimension_reconcile_and_assert_ok(spark):
     assert_ok(dimension_reconcile(bronze, dim, "customer_id"))
     with pytest.raises(QualityError):
         assert_ok(dimension_reconcile(bronze, dim.filter("customer_id > 0"), "customer_id"))
+    from orderstar.operators.quality import assert_all_ok
+
+    good = dimension_reconcile(bronze, dim, "customer_id")
+    assert_all_ok({"a": good, "b": good})
+    with pytest.raises(QualityError, match="'b'"):
+        assert_all_ok({"a": good, "b": dimension_reconcile(bronze, dim.filter("customer_id > 0"), "customer_id")})
     # the original rule (rows out - 1 = rows in) fails as soon as dedupe removed a row
     assert dimension_reconcile(bronze, dim, "customer_id", strict=True).collect()[0]["ok"] is False
 
