@@ -1,17 +1,20 @@
 """Session helpers: a local session for tests / bench, and the shared scratch folder.
 
 Scratch data (lineage cuts, staged raw files, table versions written by the registered queries) goes
-under the folder the cluster names in ``spark.checkpoint.dir``. Only when that is unset (local tests)
-do we create one and register it as the checkpoint directory.
+under the folder the cluster names in ``spark.checkpoint.dir``. Only on a local master, when that is unset,
+a temporary folder of the process is used.
 """
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
+_local_root: str | None = None
+
 
 def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str = "orderstar") -> SparkSession:
     """Local session used by tests and ``bench.py`` (never called by library operators)."""
@@ -50,13 +53,22 @@ def _configured_checkpoint_dir(spark: SparkSession) -> str | None:
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """Shared scratch folder: ``spark.checkpoint.dir`` if set, else a new local one (tests only)."""
+    """Shared scratch folder: ``spark.checkpoint.dir`` if set.
+
+    A local master has no other machine, so there (tests, bench) a temporary folder of this process serves.
+    On a cluster a folder of the driver's machine would lose the executors' files: without
+    ``spark.checkpoint.dir`` this raises. The session's settings are never changed.
+    """
     root = _configured_checkpoint_dir(spark)
     if root:
         return root.rstrip("/")
-    root = tempfile.mkdtemp(prefix="orderstar-ckpt-")
-    spark.sparkContext.setCheckpointDir(root)
-    return _configured_checkpoint_dir(spark).rstrip("/")
+    master = spark.conf.get("spark.master", "")
+    if not re.fullmatch(r"local(\[[^\]]*\])?", master):
+        raise RuntimeError(f"set spark.checkpoint.dir to a folder that driver and executors share (master is {master!r})")
+    global _local_root
+    if _local_root is None:
+        _local_root = tempfile.mkdtemp(prefix="orderstar-scratch-")
+    return _local_root
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
