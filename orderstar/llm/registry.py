@@ -6,10 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from orderstar.llm import suffix_intervals
+from orderstar.llm import jaccard_join, suffix_intervals
 from orderstar.llm.sparkops import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op5_jaccard_join": lambda spark, sf_dir: jaccard_join.similar_classes(documents(spark, sf_dir)),
     "op10_suffix_intervals": lambda spark, sf_dir: suffix_intervals.digest(documents(spark, sf_dir)),
 }
 
