@@ -6,12 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from orderstar.llm import jaccard_join, suffix_intervals
+from orderstar.llm import jaccard_join, quality_rules, suffix_intervals, token_files
 from orderstar.llm.sparkops import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_quality_rules": lambda spark, sf_dir: quality_rules.digest(documents(spark, sf_dir)),
+    "op4_token_files": lambda spark, sf_dir: token_files.digest(documents(spark, sf_dir)),
     "op5_jaccard_join": lambda spark, sf_dir: jaccard_join.similar_classes(documents(spark, sf_dir)),
     "op10_suffix_intervals": lambda spark, sf_dir: suffix_intervals.digest(documents(spark, sf_dir)),
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op1_quality_rules": quality_rules.SQL,
+}
