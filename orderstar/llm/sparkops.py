@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gc
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,7 +24,16 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
+def reachable(spark: SparkSession) -> None:
+    """Lets Python workers import this package where it is not installed but lies at the same path (a local
+    session, a shared folder); elsewhere the entry has no effect."""
+    root, env = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
+    if root not in env.get("PYTHONPATH", "").split(":"):
+        env["PYTHONPATH"] = ":".join(filter(None, (root, env.get("PYTHONPATH"))))
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    reachable(spark)
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
