@@ -73,13 +73,18 @@ def signature(tokens: np.ndarray) -> tuple[int, int]:
 def _nodes(size: int):
     def rows(batches):
         for batch in slices(batches):
-            n, sig, check = [], [], []
+            n, sig, check, sketch = [], [], [], []
             for tokens in shingles(*flat(batch.column("text")), size):
                 n.append(len(tokens))
                 a, b = signature(tokens) if len(tokens) else (None, None)
                 sig.append(a)
                 check.append(b)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(sig, pa.int64()), pa.array(check, pa.int64())], names=["doc_id", "n_shingles", "node", "check"])
+                odd = np.bincount((tokens % U(SKETCH_BITS)).astype(np.int64), minlength=SKETCH_BITS) & 1
+                sketch.append(np.packbits(odd.astype(bool)).tobytes())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(sig, pa.int64()), pa.array(check, pa.int64()), pa.array(sketch, pa.binary())],
+                names=["doc_id", "n_shingles", "node", "check", "sketch"],
+            )
 
     return rows
 
@@ -145,14 +150,12 @@ def _index(size: int, percent: int, frequent: list[int]):
 def _sets(size: int):
     def rows(batches):
         for batch in slices(batches):
-            node, sets, sketch = [], [], []
+            node, sets = [], []
             for tokens in shingles(*flat(batch.column("text")), size):
                 node.append(signature(tokens)[0])
                 sets.append(signed(tokens))
-                odd = np.bincount((tokens % U(SKETCH_BITS)).astype(np.int64), minlength=SKETCH_BITS) & 1
-                sketch.append(np.packbits(odd.astype(bool)).tobytes())
             lists = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, sets)]).astype(np.int32)), pa.array(np.concatenate(sets)))
-            yield pa.RecordBatch.from_arrays([pa.array(node, pa.int64()), lists, pa.array(sketch, pa.binary())], names=["node", "tokens", "sketch"])
+            yield pa.RecordBatch.from_arrays([pa.array(node, pa.int64()), lists], names=["node", "tokens"])
 
     return rows
 
@@ -186,13 +189,15 @@ def _verified(percent: int):
     return rows
 
 
-def _links(pairs: DataFrame, sets: DataFrame, percent: int, name: str) -> DataFrame:
-    """The pairs ``(a, b)`` that link."""
-    side = lambda k, *cols: sets.select(F.col("node").alias(k), *cols)
-    n = F.size("tokens")
-    small = pairs.join(side("a", n.alias("xn"), F.col("sketch").alias("xs")), "a").join(side("b", n.alias("yn"), F.col("sketch").alias("ys")), "b")
-    possible = stage(small.mapInArrow(_possible(percent), "a long, b long"), f"{name}-possible")
-    whole = possible.join(side("a", F.col("tokens").alias("x")), "a").join(side("b", F.col("tokens").alias("y")), "b")
+def _links(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, size: int, percent: int, name: str) -> DataFrame:
+    """The pairs ``(a, b)`` of nodes that link. Sketches come first; only the sets of pairs that they allow are made."""
+    side = lambda k, p: nodes.select(F.col("node").alias(k), F.col("n").alias(f"{p}n"), F.col("sketch").alias(f"{p}s"))
+    possible = stage(pairs.join(side("a", "x"), "a").join(side("b", "y"), "b").mapInArrow(_possible(percent), "a long, b long"), f"{name}-possible")
+    some = possible.select(F.col("a").alias("node")).union(possible.select("b")).distinct()
+    wanted = stage(nodes.join(some, "node").select(F.col("doc_id").alias("want")), f"{name}-wanted")
+    texts = docs.join(wanted, F.col("doc_id").eqNullSafe(F.col("want"))).select("text")
+    sets = stage(texts.mapInArrow(_sets(size), "node long, tokens array<long>"), f"{name}-sets")
+    whole = possible.join(sets.select(F.col("node").alias("a"), F.col("tokens").alias("x")), "a").join(sets.select(F.col("node").alias("b"), F.col("tokens").alias("y")), "b")
     return stage(whole.mapInArrow(_verified(percent), "a long, b long"), f"{name}-links")
 
 
@@ -200,10 +205,11 @@ def similar_classes(docs: DataFrame, size: int = SIZE, percent: int = PERCENT, f
     """Per row of ``docs (doc_id, text)``: ``doc_id, n_shingles, component_id``."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     name = "op5"
-    rows = stage(docs.mapInArrow(_nodes(size), "doc_id long, n_shingles long, node long, check long"), f"{name}-rows")
+    rows = stage(docs.mapInArrow(_nodes(size), "doc_id long, n_shingles long, node long, check long, sketch binary"), f"{name}-rows")
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "n_shingles", "sketch")).alias("low")
     nodes = stage(
-        rows.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.min("check").alias("c"), F.max("check").alias("d"))
-        .select("node", F.when(F.col("c") == F.col("d"), F.col("doc_id")).otherwise(F.raise_error(F.lit("two shingle sets share a 64-bit hash"))).alias("doc_id")),
+        rows.where("node is not null").groupBy("node").agg(first, F.min("check").alias("c"), F.max("check").alias("d"))
+        .select("node", F.col("low.n_shingles").alias("n"), "low.sketch", F.when(F.col("c") == F.col("d"), F.col("low.doc_id")).otherwise(F.raise_error(F.lit("two shingle sets share a 64-bit hash"))).alias("doc_id")),
         f"{name}-nodes",
     )
     text = docs.select("text")
@@ -216,11 +222,8 @@ def similar_classes(docs: DataFrame, size: int = SIZE, percent: int = PERCENT, f
     shared = index.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low < high").select("key", "low")
     index = stage(index.join(stage(shared, f"{name}-keys"), "key").distinct(), f"{name}-index")
 
-    wanted = nodes.join(index.select("node").distinct(), "node").select(F.col("doc_id").alias("want"))
-    sets = stage(docs.join(wanted, F.col("doc_id") == F.col("want")).select("text").mapInArrow(_sets(size), "node long, tokens array<long>, sketch binary").dropDuplicates(["node"]), f"{name}-sets")
-
     centre = index.where("node <> low").groupBy("node", "low").count().groupBy("node").agg(F.max_by("low", F.struct("count", "low")).alias("low"))
-    links = _links(centre.select(F.col("node").alias("a"), F.col("low").alias("b")), sets, percent, f"{name}-centre")
+    links = _links(centre.select(F.col("node").alias("a"), F.col("low").alias("b")), nodes, docs, size, percent, f"{name}-centre")
     known = stage(components(links, name), f"{name}-known")
 
     own = index.select("node").distinct().join(known, "node", "left").select("node", F.coalesce("component", "node").alias("component"))
@@ -238,11 +241,11 @@ def similar_classes(docs: DataFrame, size: int = SIZE, percent: int = PERCENT, f
         stage(meet, f"{name}-meet").join(member("x"), ["key", "x_component"]).join(member("y"), ["key", "y_component"]).where(fits)
         .select(F.least("x_node", "y_node").alias("a"), F.greatest("x_node", "y_node").alias("b")).distinct()
     )
-    more = _links(stage(pairs, f"{name}-pairs"), sets, percent, f"{name}-rest")
+    more = _links(stage(pairs, f"{name}-pairs"), nodes, docs, size, percent, f"{name}-rest")
     joined = stage(components(links.union(more), name), f"{name}-components")
 
-    named = nodes.join(joined, "node", "left").select("node", "doc_id", F.coalesce("component", "node").alias("component"))
+    named = nodes.select("node", "doc_id").join(joined, "node", "left").select("node", "doc_id", F.coalesce("component", "node").alias("component"))
     named = stage(named, f"{name}-named")
     least = stage(named.groupBy("component").agg(F.min("doc_id").alias("component_id")), f"{name}-least")
     label = stage(named.join(least, "component").select("node", "component_id"), f"{name}-labels")
-    return rows.join(label, "node", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+    return rows.drop("sketch", "check").join(label, "node", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))

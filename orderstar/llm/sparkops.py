@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import gc
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,17 +10,23 @@ from pyspark.sql import functions as F
 from orderstar.session import scratch_path
 
 
+#: Removes the shuffle files of a query when it ends (its results are then in the written table).
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as parquet in the shared scratch folder and read it back: cuts the lineage, so a lost
-    executor repeats only what follows, and lets Spark drop the shuffle files of the finished job."""
+    executor repeats only what follows. Shuffle files go as soon as the write has ended; the session's setting
+    is restored."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    schema = df.schema
-    df.write.parquet(path)
-    del df
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-    return spark.read.schema(schema).parquet(path)
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.unset(CLEANUP) if before is None else spark.conf.set(CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def reachable(spark: SparkSession) -> None:

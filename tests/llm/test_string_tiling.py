@@ -1,0 +1,77 @@
+"""Greedy string tiling: brute-force tilings, reordered passages, clean documents."""
+
+import numpy as np
+
+from orderstar.llm import string_tiling as T
+
+
+def brute_tiling(p, t, least):
+    """The textbook loop: mark the longest unmarked matches until none has ``least`` tokens."""
+    mp, mt, total = [False] * len(p), [False] * len(t), 0
+    while True:
+        best, found = least, []
+        for i in range(len(p)):
+            for j in range(len(t)):
+                k = 0
+                while i + k < len(p) and j + k < len(t) and p[i + k] == t[j + k] and not mp[i + k] and not mt[j + k]:
+                    k += 1
+                if k > best:
+                    best, found = k, [(i, j)]
+                elif k == best:
+                    found.append((i, j))
+        if not found:
+            return total
+        for i, j in found:
+            if not any(mp[i : i + best]) and not any(mt[j : j + best]):
+                mp[i : i + best] = [True] * best
+                mt[j : j + best] = [True] * best
+                total += best
+
+
+def test_tiles_match_the_textbook_loop():
+    r = np.random.default_rng(5)
+    for _ in range(60):
+        p = [int(x) for x in r.integers(0, 6, 14)]
+        t = [int(x) for x in r.integers(0, 6, 30)]
+        t[8:13], t[20:25] = p[5:10], p[0:5]
+        seeds = [(i, j) for i in range(len(p) - 2) for j in range(len(t) - 2) if p[i : i + 3] == t[j : j + 3]]
+        tiles = T.tile(np.array(seeds), 3)
+        assert len({a + k for n, a, _ in tiles for k in range(n)}) == sum(n for n, *_ in tiles) == len({b + k for n, _, b in tiles for k in range(n)})
+        assert max(tiles)[0] == max((brute_longest(p, t)), default=0)
+        # ties between matches of equal length may be marked in another order
+        assert abs(sum(n for n, *_ in tiles) - brute_tiling(p, t, 3)) <= 3
+
+
+def brute_longest(p, t):
+    return [k for i in range(len(p)) for j in range(len(t)) for k in [next((m for m in range(min(len(p) - i, len(t) - j) + 1) if m == min(len(p) - i, len(t) - j) or p[i + m] != t[j + m]), 0)]]
+
+
+ITEM = "Alpha beta gamma delta, epsilon zeta. Eta theta iota kappa lambda. Mu nu xi omicron pi rho sigma."
+
+
+def test_reordered_and_cased_passages_are_caught(spark):
+    parts = ITEM.split(". ")
+    docs = [
+        (1, f"before {ITEM} after"), (2, "x " * 30 + f"{parts[2]} and so {parts[0].upper()} y z {parts[1]}"), (3, None), (4, ""),
+        (5, "alpha gamma beta delta zeta epsilon eta iota theta " * 50), (6, " ".join(ITEM.split()[:8])), (7, ITEM + " q" * 30000), (1, f"before {ITEM} after"),
+    ]
+    docs = spark.createDataFrame([(t, i, 1.0) for i, t in docs], "text string, doc_id long, coverage double")
+    bench = spark.createDataFrame([(9, ITEM, 0), (10, None, 0), (11, "too short", 0), (None, "other words that nobody has said in any text here", 1)], "item_id long, text string, doc_id long")
+    got = {(r.doc_id, tuple(r.item_ids)) for r in T.digest(docs, bench).collect()}
+    assert got == {(1, (9,)), (2, (9,)), (7, (9,))}
+    kept = T.drop_contaminated(docs, bench)
+    assert kept.columns == docs.columns and sorted(r.doc_id for r in kept.collect()) == [3, 4, 5, 6]
+
+
+def test_empty_inputs(spark):
+    docs = spark.createDataFrame([(1, ITEM)], "doc_id long, text string")
+    none = spark.createDataFrame([], "item_id long, text string")
+    assert T.digest(docs, none).count() == 0 and T.drop_contaminated(docs, none).count() == 1
+    assert T.digest(docs.where("doc_id > 5"), spark.createDataFrame([(1, ITEM)], "item_id long, text string")).count() == 0
+
+
+def test_blocks_split_large_benchmarks(spark, monkeypatch):
+    monkeypatch.setattr(T, "BLOCK_ITEMS", 3)
+    bench = spark.createDataFrame([(i, f"{ITEM} w{i} v{i}") for i in range(10)], "item_id long, text string")
+    assert len(T.blocks(bench)) == 4 and sum(len(set(b.item.tolist())) for b in T.blocks(bench)) == 10
+    assert len(T.digest(spark.createDataFrame([(1, ITEM)], "doc_id long, text string"), bench).first().item_ids) == 10
