@@ -22,7 +22,7 @@ SPACE[[0x20, *range(0x09, 0x0E)]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[0x41:0x5B] += 0x20
 #: Bytes of text handled at once; a single longer document is handled alone.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 
 _powers: tuple[np.ndarray, np.ndarray] = (np.ones(1, U), np.ones(1, U))
 
