@@ -1,8 +1,8 @@
 """Toxicity by maximum-scoring segments.
 
 *Model.* Labelled documents give log-odds for words and for word beginnings of 4 to 7 characters, with an
-informative Dirichlet prior; a feature counts where its log-odds are ``MIN_Z`` standard errors above 0. A word
-scores the largest lower bound among its features, every other word scores ``-GAP``. The background distribution
+informative Dirichlet prior; near copies count once, and a feature counts where its surplus is far from chance. A word
+scores the largest of its features' log-odds less a standard error, every other word scores ``-GAP``. The background distribution
 of word scores in clean documents gives the extreme-value parameters: ``lam`` solves ``E[exp(lam * s)] = 1`` and
 ``K`` is matched to the best segments of clean documents.
 
@@ -38,8 +38,11 @@ FIT_ROWS = 20_000
 FEATURES = 20_000
 PREFIXES = (4, 5, 6, 7)
 MIN_TOXIC = 3
-MIN_Z = 3.0
-PRIOR = 500.0
+#: A feature counts from this likelihood-ratio statistic on (far beyond chance among millions of words), and where
+#: its log-odds less their standard error reach MIN_WEIGHT.
+MIN_SURPRISE = 30.0
+MIN_WEIGHT = 2.5
+PRIOR = 1.0
 GAP = 0.5
 THRESHOLD = 0.7
 #: Word scores are counted in bins of half a unit.
@@ -209,15 +212,21 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Model:
         return Model()
     nt, nc = total[1] * 2 / 3, total[0] * 2 / 3
     counts = lexicon.mapInArrow(_counts, "key long, t long, c long").groupBy("key").agg(F.sum("t").alias("t"), F.sum("c").alias("c")).where(F.col("t") >= MIN_TOXIC)
-    a = F.lit(PRIOR) * (F.col("t") + F.col("c")) / F.lit(nt + nc) / 100
-    odds = F.log((F.col("t") + a) / nt) - F.log((F.col("c") + a) / nc)
-    error = F.sqrt(1 / (F.col("t") + a) + 1 / (F.col("c") + a))
-    top = counts.select("key", odds.alias("d"), error.alias("e")).where(F.col("d") > MIN_Z * F.col("e")).orderBy(F.desc(F.col("d") / F.col("e")), "key").limit(FEATURES).collect()
+    # the prior gives a feature the pseudo-counts PRIOR, split between the classes as all documents are
+    at, ac = PRIOR * nt / (nt + nc), PRIOR * nc / (nt + nc)
+    t, c = F.col("t"), F.col("c")
+    odds = F.log((t + at) / (nt + PRIOR)) - F.log((c + ac) / (nc + PRIOR))
+    error = F.sqrt(1 / (t + at) + 1 / (c + ac))
+    both = t + c
+    fits = lambda n, share: F.when(n > 0, n * F.log(n / (both * share))).otherwise(0.0)
+    surprise = 2 * (fits(t, nt / (nt + nc)) + fits(c, nc / (nt + nc)))
+    strong = counts.select("key", odds.alias("d"), error.alias("e"), surprise.alias("g")).where((F.col("g") >= MIN_SURPRISE) & (F.col("d") - F.col("e") >= MIN_WEIGHT))
+    top = strong.orderBy(F.desc("g"), "key").limit(FEATURES).collect()
     if not top:
         return Model()
     keys = np.array([r.key for r in top], np.int64).view(U)
     order = np.argsort(keys)
-    weights = np.clip([r.d - r.e for r in top], 0.1, BINS / 2 - 0.5)
+    weights = np.clip([r.d - r.e for r in top], MIN_WEIGHT, BINS / 2 - 0.5)
     model = Model(keys[order], weights[order])
     rows = known.where(third).select("text", "toxic").mapInArrow(_calibration(model), "best double, n long, hist array<long>, sums array<double>, toxic int").collect()
     clean = [r for r in rows if not r.toxic and r.n]
