@@ -8,7 +8,6 @@ Layers:
   facts, features, upsert, data quality).
 * ``orderstar.plans``     — composite jobs (the bronze -> silver -> gold run), registered queries and
   their SQL oracles.
-* ``orderstar.streaming`` — empty: the original has no streaming, so none is added.
 
 Every operator takes its clock (``as_of`` / ``now``), calendar range and keys as arguments and sets no
 session configuration.

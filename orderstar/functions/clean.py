@@ -2,7 +2,8 @@
 
 Raw files are dirty; ``CAST`` raises under ANSI mode (Spark 4 default) and returns NULL otherwise, so we
 use ``try_cast`` everywhere: a value that does not parse becomes NULL and is counted by
-``operators.quality.cast_failures`` instead of failing the whole job. ``VARCHAR(n)`` lengths in the
+``operators.quality.cast_failures`` instead of failing the whole job. Rows whose *key* does not parse are not
+merged into one NULL key: ``operators.standardize`` sets them aside. ``VARCHAR(n)`` lengths in the
 original SQL are not enforced by Spark (no truncation), so text columns are plain trimmed strings.
 """
 
@@ -17,6 +18,7 @@ MONEY = DecimalType(18, 2)
 
 KIND_TYPES: dict[str, DataType | str] = {
     "int": "int",
+    "bigint": "bigint",
     "double": "double",
     "date": "date",
     "timestamp": "timestamp",

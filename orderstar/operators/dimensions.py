@@ -12,7 +12,14 @@ from orderstar.functions.calendar import as_date_literal, calendar_attributes
 from orderstar.functions.keys import key_or_default
 from orderstar.operators.dedupe import keep_first, latest_per_key
 from orderstar.operators.sizing import broadcast_if_within
-from orderstar.operators.standardize import standardize_customer, standardize_product
+from orderstar.operators.standardize import (
+    CUSTOMER_SPEC,
+    PRODUCT_SPEC,
+    parsed_rows,
+    standardize_customer,
+    standardize_product,
+    widen_ids,
+)
 
 # The unknown ("dummy") members appended to each dimension, key 0.
 CUSTOMER_UNKNOWN: Mapping[str, object] = {
@@ -33,14 +40,17 @@ PRODUCT_UNKNOWN: Mapping[str, object] = {
     "product_brand": "Sin Marca",
 }
 
-# A calendar is one row per day; this bound (100 years) is what we accept to broadcast it.
-MAX_CALENDAR_DAYS = 36_600
+# A calendar is one row per day, and a Spark date lies in the years 1 to 9999: every calendar is within this
+# bound (two narrow columns, under 100 MB), so its lookup never becomes a shuffle join on the date.
+MAX_CALENDAR_DAYS = 3_652_059
+# Days per partition of a generated calendar (one file for any usual range).
+CALENDAR_DAYS_PER_PARTITION = 400_000
 
 
 def union_unknown_member(df: DataFrame, member: Mapping[str, object]) -> DataFrame:
     """Append one literal row, typed like ``df`` (``UNION ALL`` with the dummy member)."""
     spark = df.sparkSession
-    row = spark.range(1).select(
+    row = spark.range(0, 1, 1, 1).select(
         *[F.lit(member.get(f.name)).cast(f.dataType).alias(f.name) for f in df.schema.fields]
     )
     return df.unionByName(row)
@@ -64,9 +74,11 @@ def dim_customer(
     tie_breakers: Sequence[str | Column] | None = None,
     drop_null_keys: bool = True,
     sort: bool = False,
+    id_type: str = "int",
 ) -> DataFrame:
-    """Latest row per customer (by ``entry_date``) plus the unknown member."""
-    std = standardize_customer(bronze)
+    """Latest row per customer (by ``entry_date``) plus the unknown member. Rows whose id does not parse are not
+    members (see ``standardize.rejected_rows``)."""
+    std = standardize_customer(parsed_rows(bronze, widen_ids(CUSTOMER_SPEC, id_type), ["customer_id"]), id_type)
     latest = latest_per_key(std, ["customer_id"], "entry_date", tie_breakers)
     return _finish_dimension(latest, "customer_id", CUSTOMER_UNKNOWN, drop_null_keys, sort)
 
@@ -76,9 +88,10 @@ def dim_product(
     tie_breakers: Sequence[str | Column] | None = None,
     drop_null_keys: bool = True,
     sort: bool = False,
+    id_type: str = "int",
 ) -> DataFrame:
-    """One row per product (deterministic tie-break) plus the unknown member."""
-    std = standardize_product(bronze)
+    """One row per product (deterministic tie-break) plus the unknown member; unparsed ids as in ``dim_customer``."""
+    std = standardize_product(parsed_rows(bronze, widen_ids(PRODUCT_SPEC, id_type), ["product_id"]), id_type)
     latest = keep_first(std, ["product_id"], [], tie_breakers)
     return _finish_dimension(latest, "product_id", PRODUCT_UNKNOWN, drop_null_keys, sort)
 
@@ -99,6 +112,7 @@ def dim_date(
     start: dt.date | str,
     end: dt.date | str,
     as_of: dt.date | str | Column | None = None,
+    sort: bool = False,
 ) -> DataFrame:
     """Calendar dimension, one row per day in ``[start, end]``, 20 attribute columns.
 
@@ -106,17 +120,21 @@ def dim_date(
     ``as_of`` drives ``is_today``; ``None`` means ``current_date()``.
     """
     n = calendar_days(start, end)
-    days = spark.range(n).select(
+    days = spark.range(0, n, 1, max(1, -(-n // CALENDAR_DAYS_PER_PARTITION))).select(
         F.date_add(F.lit(_to_date(start)), F.col("id").cast("int")).alias("date")
     )
-    return days.select(*calendar_attributes("date", as_of))
+    out = days.select(*calendar_attributes("date", as_of))
+    return out.orderBy("date") if sort else out
 
 
 def calendar_range_from(dates: DataFrame, date_col: str) -> tuple[dt.date, dt.date]:
-    """(first day of the first year, last day of the last year) covering ``date_col`` — one scalar job."""
-    row = dates.agg(F.min(date_col).alias("lo"), F.max(date_col).alias("hi")).first()
-    lo, hi = _to_date(row["lo"]), _to_date(row["hi"])
-    return dt.date(lo.year, 1, 1), dt.date(hi.year, 12, 31)
+    """(first day of the first year, last day of the last year) covering ``date_col`` — one scalar job.
+
+    Without any date it is the current year. Years beyond 9999, which Python dates cannot hold, are left out."""
+    year = F.year(date_col)
+    row = dates.filter((year >= 1) & (year <= 9999)).agg(F.min(year).alias("lo"), F.max(year).alias("hi")).first()
+    this = dt.date.today().year
+    return dt.date(row["lo"] or this, 1, 1), dt.date(row["hi"] or this, 12, 31)
 
 
 def bounded_calendar(

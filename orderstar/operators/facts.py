@@ -6,11 +6,10 @@ Plan shape for the line fact (the large one):
   their customer / calendar lookups are done here, at *order* grain, which is several times smaller than
   the line grain — the lines never get shuffled by ``customer_id``.
 * lines: standardise -> one per ``(order_id, line_id)``; then ``lines LEFT JOIN headers`` on
-  ``order_id`` (sort-merge at scale; AQE splits a hot ``order_id`` on the line side).
-  This shuffles lines twice. Deduplicating after the join would reuse the ``order_id`` partitioning and
-  save one, but the window would then sit on the join's output and require that partitioning. AQE would
-  not split a hot order (the split would force another shuffle), and exact duplicates would no longer be
-  cut map-side. We keep the two shuffles.
+  ``order_id`` (sort-merge at scale). This shuffles lines twice. AQE splits a hot ``order_id`` on the line side
+  when the headers come from a written table (``headers=``, as the medallion run does): both join inputs
+  are then a sort directly over an exchange. In the one-plan form the headers reuse their dedupe
+  partitioning instead, which saves their second shuffle and gives the split up.
 * the ``amount > 0 OR units > 0`` filter sits right after that join (it needs both sides, so it cannot
   go lower) and before the product lookup, so the product join sees only surviving lines.
 * dimensions are joined by key only (the fact keeps the foreign key when the member exists, else NULL);
@@ -37,21 +36,34 @@ from orderstar.functions.keys import (
 from orderstar.operators.dedupe import keep_first, latest_per_key
 from orderstar.operators.dimensions import bounded_calendar
 from orderstar.operators.sizing import MAX_BROADCAST_ROWS, broadcast_if_within
-from orderstar.operators.standardize import standardize_order_header, standardize_order_line
+from orderstar.operators.standardize import (
+    ORDER_HEADER_SPEC,
+    ORDER_LINE_SPEC,
+    parsed_rows,
+    standardize_order_header,
+    standardize_order_line,
+    widen_ids,
+)
 
 
 def latest_order_headers(
-    bronze_header: DataFrame, tie_breakers: Sequence[str | Column] | None = None
+    bronze_header: DataFrame, tie_breakers: Sequence[str | Column] | None = None, id_type: str = "int"
 ) -> DataFrame:
-    """Standardised headers, the latest ``order_date`` per ``order_id`` (cast first, then dedupe)."""
-    return latest_per_key(standardize_order_header(bronze_header), ["order_id"], "order_date", tie_breakers)
+    """Standardised headers, the latest ``order_date`` per ``order_id`` (cast first, then dedupe).
+
+    Rows whose order id does not parse, or does not fit ``id_type``, are left to ``standardize.rejected_rows``:
+    they would all share the key NULL."""
+    raw = parsed_rows(bronze_header, widen_ids(ORDER_HEADER_SPEC, id_type), ["order_id"])
+    return latest_per_key(standardize_order_header(raw, id_type), ["order_id"], "order_date", tie_breakers)
 
 
 def latest_order_lines(
-    bronze_detail: DataFrame, tie_breakers: Sequence[str | Column] | None = None
+    bronze_detail: DataFrame, tie_breakers: Sequence[str | Column] | None = None, id_type: str = "int"
 ) -> DataFrame:
-    """Standardised lines, one per ``(order_id, line_id)`` (deterministic among exact-key duplicates)."""
-    std = standardize_order_line(bronze_detail)
+    """Standardised lines, one per ``(order_id, line_id)`` (deterministic among exact-key duplicates); rows with
+    an unparsed order or line id are rejects, as for headers."""
+    raw = parsed_rows(bronze_detail, widen_ids(ORDER_LINE_SPEC, id_type), ["order_id", "line_id"])
+    std = standardize_order_line(raw, id_type)
     return keep_first(std, ["order_id", "line_id"], [F.col("line_id").desc()], tie_breakers)
 
 
@@ -62,9 +74,15 @@ def fact_order(
     tie_breakers: Sequence[str | Column] | None = None,
     sort: bool = False,
     max_broadcast_rows: int = MAX_BROADCAST_ROWS,
+    id_type: str = "int",
+    headers: DataFrame | None = None,
 ) -> DataFrame:
-    """Order-grain fact: latest header per order, positive net amount only (filter *after* dedupe)."""
-    h = latest_order_headers(bronze_header, tie_breakers).filter(F.col("order_net_amount") > 0)
+    """Order-grain fact: latest header per order, positive net amount only (filter *after* dedupe).
+
+    ``headers``: already deduplicated headers (``bronze_header`` is then not read)."""
+    if headers is None:
+        headers = latest_order_headers(bronze_header, tie_breakers, id_type)
+    h = headers.filter(F.col("order_net_amount") > 0)
     h = h.select(
         # The hash uses the un-defaulted values; concat_ws skips NULL parts.
         hash_key(["order_id", "customer_id", "order_date", "channel", "pay_type", "currency"]).alias("order_key"),
@@ -93,7 +111,13 @@ def fact_order(
         "order_net_amount",
         "order_gross_amount",
     )
-    return out.orderBy("order_id") if sort else out
+    return sorted_by_ranges(out, "order_id") if sort else out
+
+
+def sorted_by_ranges(df: DataFrame, *keys: str) -> DataFrame:
+    """Sorted layout for a large table: rows ranged by ``keys`` into partitions, each sorted (files in order, no
+    further merge step)."""
+    return df.repartitionByRange(*keys).sortWithinPartitions(*keys)
 
 
 def enriched_headers(
@@ -134,11 +158,14 @@ def positive_line_filter(joined: DataFrame) -> DataFrame:
     return joined.filter((F.col("h_order_net_amount") > 0) | (F.col("qty_units") > 0))
 
 
-FACT_ORDER_LINE_COLUMNS = (
-    "order_line_key", "order_id", "line_id", "product_id", "customer_id", "order_date_id", "period",
-    "channel", "pay_type", "currency", "promo_flag", "qty_units", "unit_price", "line_net_amount",
-    "order_net_amount_replicated",
-)
+#: Declared schema of the line fact (ids are ``bigint`` when it is built with that ``id_type``).
+FACT_ORDER_LINE_SCHEMA = {
+    "order_line_key": "string", "order_id": "int", "line_id": "int", "product_id": "int", "customer_id": "int",
+    "order_date_id": "int", "period": "int", "channel": "string", "pay_type": "string", "currency": "string",
+    "promo_flag": "int", "qty_units": "int", "unit_price": "decimal(18,2)", "line_net_amount": "decimal(18,2)",
+    "order_net_amount_replicated": "decimal(18,2)",
+}
+FACT_ORDER_LINE_COLUMNS = tuple(FACT_ORDER_LINE_SCHEMA)
 
 
 def fact_order_line(
@@ -151,12 +178,17 @@ def fact_order_line(
     header_tie_breakers: Sequence[str | Column] | None = None,
     line_tie_breakers: Sequence[str | Column] | None = None,
     max_broadcast_rows: int = MAX_BROADCAST_ROWS,
+    id_type: str = "int",
+    headers: DataFrame | None = None,
 ) -> DataFrame:
-    """Order-line fact with hashed key, dimension keys and ``period`` (yyyyMM of the header date)."""
-    headers = enriched_headers(
-        latest_order_headers(bronze_header, header_tie_breakers), dim_customer, dim_date, max_broadcast_rows
-    )
-    lines = latest_order_lines(bronze_detail, line_tie_breakers)
+    """Order-line fact with hashed key, dimension keys and ``period`` (yyyyMM of the header date).
+
+    ``headers``: already deduplicated headers, best read from a written table (``bronze_header`` is then not
+    read). Each side of the line join is then a sort directly over an exchange, which lets AQE split a hot order."""
+    if headers is None:
+        headers = latest_order_headers(bronze_header, header_tie_breakers, id_type)
+    headers = enriched_headers(headers, dim_customer, dim_date, max_broadcast_rows)
+    lines = latest_order_lines(bronze_detail, line_tie_breakers, id_type)
     kept = positive_line_filter(join_line_header(lines, headers))
     pro = broadcast_if_within(dim_product.select(F.col("product_id").alias("pro_product_id")), max_broadcast_rows, dim_product)
     j = kept.join(pro, kept["product_id"] == pro["pro_product_id"], "left")

@@ -33,7 +33,7 @@ from pyspark.sql.types import DecimalType
 from orderstar.functions.calendar import as_date_literal, window_start_period
 from orderstar.functions.metrics import conditional_amount, days_to_month_end, safe_ratio
 from orderstar.operators.dimensions import bounded_calendar
-from orderstar.operators.sizing import broadcast_if_within, fits
+from orderstar.operators.sizing import broadcast_if_within
 
 # The channel, payment type and promo flag the original features select on, and the
 # window length in calendar months.
@@ -145,8 +145,9 @@ def _prepare(
     """Window lines, channel-filtered early when the channel's key set is small; else the keys to apply late."""
     lines = window_fact_lines(fact_lines, p).filter(F.col("customer_id").isNotNull())
     keys = channel_customers(dim_customer, p.channel)
-    if fits(keys, p.max_broadcast_customers):
-        return lines.join(F.broadcast(keys), "customer_id", "left_semi"), None
+    side = broadcast_if_within(keys, p.max_broadcast_customers)
+    if side is not keys:
+        return lines.join(side, "customer_id", "left_semi"), None
     return lines, keys
 
 

@@ -10,7 +10,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
-from pyspark.sql.types import NumericType
+from pyspark.sql.types import MapType, NumericType, VariantType
 
 from orderstar.functions.clean import typed
 
@@ -36,17 +36,21 @@ def dimension_reconcile(
     unknown_key: int = 0,
     raw_key: str | None = None,
     strict: bool = False,
+    max_null_keys: int | None = 0,
+    id_type: str = "int",
 ) -> DataFrame:
     """Rows in, distinct keys, NULL keys, duplicates removed, unknown members, rows out, ok.
 
-    ``ok`` is ``rows_out = distinct non-NULL keys + 1`` (the original required ``rows_out - 1 = rows_in``,
-    which fails as soon as a duplicate is removed; ``strict=True`` applies that original rule). One pass
-    over the union of both inputs.
+    ``null_keys`` counts the source rows without a usable key (missing, unparsed or too large for
+    ``id_type``): they are not in the dimension, so ``ok`` allows ``max_null_keys`` of them at most (``None``: any).
+    Besides, ``ok`` needs ``rows_out = distinct non-NULL keys + 1`` (the original required
+    ``rows_out - 1 = rows_in``, which fails as soon as a duplicate is removed; ``strict=True`` applies that
+    original rule). One pass over the union of both inputs.
     """
     raw_key = raw_key or key
     side = "__side"
-    both = bronze.select(typed(raw_key, "int").alias("k"), F.lit(0).alias(side)).unionByName(
-        dim.select(F.col(key).cast("int").alias("k"), F.lit(1).alias(side))
+    both = bronze.select(typed(raw_key, id_type).alias("k"), F.lit(0).alias(side)).unionByName(
+        dim.select(F.col(key).cast(id_type).alias("k"), F.lit(1).alias(side))
     )
     b, d = F.col(side) == 0, F.col(side) == 1
     agg = both.agg(
@@ -63,8 +67,10 @@ def dimension_reconcile(
         (F.col("rows_in") - F.col("distinct_keys") - F.col("null_keys")).alias("duplicates_removed"),
         "unknown_members",
         "rows_out",
-        (F.col("rows_out") - 1 == F.col("rows_in") if strict else F.col("rows_out") == F.col("distinct_keys") + 1)
-        .alias("ok"),
+        (
+            (F.col("rows_out") - 1 == F.col("rows_in") if strict else F.col("rows_out") == F.col("distinct_keys") + 1)
+            & (F.lit(True) if max_null_keys is None else F.col("null_keys") <= max_null_keys)
+        ).alias("ok"),
     )
 
 
@@ -90,23 +96,29 @@ def write_and_reconcile(df: DataFrame, path: str, mode: str = "errorifexists", *
 
 
 def profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """Long-form column profile ``(column_name, count, mean, stddev, min, max)`` of numeric columns.
-
-    The original used ``describe()`` (strings, wide). This is one aggregation over ``df`` — every column's
-    statistics in the same pass — reshaped to one row per column with ``stack``.
-    """
-    numeric = [f.name for f in df.schema.fields if isinstance(f.dataType, NumericType)]
-    cols = [c for c in (columns or numeric) if c in numeric]
+    """Long-form column profile ``(column_name, count, mean, stddev, min, max)``, like ``describe()``.
+
+    One aggregation over ``df`` covers every column (or ``columns``; an unknown name raises). ``min`` and ``max`` are
+    taken in the column's own type and given as text, so large integers and decimals stay exact; ``mean``
+    and ``stddev`` are NULL for columns that are not numeric, ``min`` and ``max`` for types without an order."""
+    types = {f.name: f.dataType for f in df.schema.fields}
+    chosen = list(types if columns is None else columns)
+    if unknown := [c for c in chosen if c not in types]:
+        raise ValueError(f"no such columns: {unknown}")
+    if not chosen:
+        raise ValueError("a profile needs at least one column")
     aggs = []
-    for i, c in enumerate(cols):
-        x = F.col(c).cast("double")
-        aggs += [F.count(x).alias(f"n{i}"), F.avg(x).alias(f"a{i}"), F.stddev_samp(x).alias(f"s{i}"),
-                 F.min(x).alias(f"lo{i}"), F.max(x).alias(f"hi{i}")]
-    wide = df.agg(*aggs)
-    stack_args = ", ".join(f"'{c}', n{i}, a{i}, s{i}, lo{i}, hi{i}" for i, c in enumerate(cols))
-    return wide.selectExpr(
-        f"stack({len(cols)}, {stack_args}) AS (column_name, count, mean, stddev, min, max)"
-    )
+    for i, c in enumerate(chosen):
+        x = F.col("`" + c.replace("`", "``") + "`")
+        number = x.cast("double") if isinstance(types[c], NumericType) else F.lit(None).cast("double")
+        ordered = not isinstance(types[c], (MapType, VariantType))
+        low, high = (F.min(x).cast("string"), F.max(x).cast("string")) if ordered else (F.lit(None).cast("string"),) * 2
+        aggs += [F.count(x).alias(f"n{i}"), F.avg(number).alias(f"a{i}"), F.stddev_samp(number).alias(f"s{i}"), low.alias(f"lo{i}"), high.alias(f"hi{i}")]
+    rows = [
+        F.struct(F.lit(c).alias("column_name"), *(F.col(f"{p}{i}").alias(n) for p, n in (("n", "count"), ("a", "mean"), ("s", "stddev"), ("lo", "min"), ("hi", "max"))))
+        for i, c in enumerate(chosen)
+    ]
+    return df.agg(*aggs).select(F.explode(F.array(*rows)).alias("r")).select("r.*")
 
 
 def cast_failures(raw: DataFrame, spec: Sequence[tuple[str, str, str]]) -> DataFrame:
@@ -118,6 +130,23 @@ def cast_failures(raw: DataFrame, spec: Sequence[tuple[str, str, str]]) -> DataF
     return raw.agg(*aggs)
 
 
+def schema_report(df: DataFrame, declared: Mapping[str, str]) -> DataFrame:
+    """``(column_name, declared, ok)``: each declared column against the type ``df`` has; columns that are not declared
+    are listed with a NULL declaration and fail."""
+    types = dict(df.dtypes)
+    rows = [(c, t, types.get(c) == t) for c, t in declared.items()] + [(c, None, False) for c in types if c not in declared]
+    parts = [F.struct(F.lit(c).alias("column_name"), F.lit(t).cast("string").alias("declared"), F.lit(ok).alias("ok")) for c, t, ok in rows]
+    return df.sparkSession.range(0, 1, 1, 1).select(F.explode(F.array(*parts)).alias("r")).select("r.*")
+
+
+def cast_failure_report(raw: DataFrame, spec: Sequence[tuple[str, str, str]], keys: Sequence[str] = (), max_key_failures: int = 0) -> DataFrame:
+    """``(column_name, failures, is_key, ok)`` per standardised column: ``ok`` is false where a key column has more
+    than ``max_key_failures`` values that did not parse (their rows are rejected, not loaded)."""
+    wide = cast_failures(raw, spec)
+    rows = F.array(*(F.struct(F.lit(out).alias("column_name"), F.col(out).alias("failures"), F.lit(out in keys).alias("is_key")) for out, _, _ in spec))
+    return wide.select(F.explode(rows).alias("r")).select("r.*", (~F.col("r.is_key") | (F.col("r.failures") <= max_key_failures)).alias("ok"))
+
+
 def assert_ok(report: DataFrame, column: str = "ok") -> None:
     """Raise ``QualityError`` if any report row is not ok (collects the report — a handful of rows)."""
     bad = report.filter(~F.col(column)).limit(5).collect()

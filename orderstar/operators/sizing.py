@@ -23,9 +23,10 @@ MAX_BROADCAST_ROWS = 2_000_000
 # ... and never more than this many estimated bytes (rows x estimated row width of the broadcast side).
 MAX_BROADCAST_BYTES = 256 * 1024 * 1024
 
-# Estimated in-memory bytes per value, by type (strings: an assumed average; other types: 16).
+# In-memory bytes per value, by type (other types: 16). The bytes of strings are measured, see ``broadcast_if_within``;
+# each also takes an offset word.
 _WIDTH = {T.BooleanType: 1, T.ByteType: 1, T.ShortType: 2, T.IntegerType: 4, T.DateType: 4, T.FloatType: 4,
-          T.LongType: 8, T.DoubleType: 8, T.TimestampType: 8, T.TimestampNTZType: 8, T.StringType: 48}
+          T.LongType: 8, T.DoubleType: 8, T.TimestampType: 8, T.TimestampNTZType: 8, T.StringType: 16}
 
 _row_counts: weakref.WeakKeyDictionary[DataFrame, int] = weakref.WeakKeyDictionary()
 
@@ -55,7 +56,17 @@ def broadcast_if_within(
     max_bytes: int = MAX_BROADCAST_BYTES,
 ) -> DataFrame:
     """``broadcast(df)`` when ``sized_by`` (default ``df``; it must have at least ``df``'s rows) has at most
-    ``max_rows`` rows and those rows, at ``df``'s estimated width, fit in ``max_bytes``; else ``df``
-    unchanged (the planner keeps a shuffle join)."""
+    ``max_rows`` rows and those rows, with ``df``'s fixed width and the measured bytes of its strings, fit in
+    ``max_bytes``; else ``df`` unchanged (the planner keeps a shuffle join)."""
     n = row_count(df if sized_by is None else sized_by)
-    return F.broadcast(df) if n <= max_rows and n * row_width(df) <= max_bytes else df
+    small = n <= max_rows and n * row_width(df) + (string_bytes(df) if n <= max_rows else 0) <= max_bytes
+    return F.broadcast(df) if small else df
+
+
+def string_bytes(df: DataFrame) -> int:
+    """Bytes of all string values of ``df`` (one aggregate; none where it has no string column)."""
+    names = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
+    if not names:
+        return 0
+    total = sum((F.coalesce(F.sum(F.octet_length(c)), F.lit(0)) for c in names[1:]), F.coalesce(F.sum(F.octet_length(names[0])), F.lit(0)))
+    return int(df.agg(total.alias("n")).first()["n"])

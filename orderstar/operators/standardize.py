@@ -10,7 +10,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from orderstar.functions.clean import typed
 
@@ -61,6 +62,32 @@ ORDER_LINE_SPEC: Spec = (
 )
 
 
+def widen_ids(spec: Spec, id_type: str = "int") -> Spec:
+    """``spec`` with its ``*_id`` columns of kind ``int`` read as ``id_type`` (``"bigint"`` for ids beyond INT)."""
+    if id_type not in ("int", "bigint"):
+        raise ValueError(f"id_type must be 'int' or 'bigint', not {id_type!r}")
+    return tuple((out, raw, id_type if kind == "int" and out.endswith("_id") else kind) for out, raw, kind in spec)
+
+
+def unparsed_key(spec: Spec, keys: Sequence[str]) -> Column:
+    """TRUE where a raw value of a key column is present but does not parse (or does not fit its type)."""
+    bad = F.lit(False)
+    for out, raw, kind in spec:
+        if out in keys:
+            bad = bad | (F.col(raw).isNotNull() & typed(raw, kind).isNull())
+    return bad
+
+
+def parsed_rows(raw: DataFrame, spec: Spec, keys: Sequence[str]) -> DataFrame:
+    """Raw rows whose keys parse (a missing key counts as parsed: it is NULL at the source)."""
+    return raw.filter(~unparsed_key(spec, keys))
+
+
+def rejected_rows(raw: DataFrame, spec: Spec, keys: Sequence[str]) -> DataFrame:
+    """The raw rows that :func:`parsed_rows` leaves out, unchanged, for the reject table."""
+    return raw.filter(unparsed_key(spec, keys))
+
+
 def standardize(df: DataFrame, spec: Spec) -> DataFrame:
     """Project ``df`` through ``spec``: one typed, trimmed, renamed column per entry."""
     missing = [raw for _, raw, _ in spec if raw not in df.columns]
@@ -69,17 +96,26 @@ def standardize(df: DataFrame, spec: Spec) -> DataFrame:
     return df.select(*[typed(raw, kind).alias(out) for out, raw, kind in spec])
 
 
-def standardize_customer(df: DataFrame) -> DataFrame:
-    return standardize(df, CUSTOMER_SPEC)
+def standardize_customer(df: DataFrame, id_type: str = "int") -> DataFrame:
+    return standardize(df, widen_ids(CUSTOMER_SPEC, id_type))
+
+
+def standardize_product(df: DataFrame, id_type: str = "int") -> DataFrame:
+    return standardize(df, widen_ids(PRODUCT_SPEC, id_type))
 
 
-def standardize_product(df: DataFrame) -> DataFrame:
-    return standardize(df, PRODUCT_SPEC)
+def standardize_order_header(df: DataFrame, id_type: str = "int") -> DataFrame:
+    return standardize(df, widen_ids(ORDER_HEADER_SPEC, id_type))
 
 
-def standardize_order_header(df: DataFrame) -> DataFrame:
-    return standardize(df, ORDER_HEADER_SPEC)
+def standardize_order_line(df: DataFrame, id_type: str = "int") -> DataFrame:
+    return standardize(df, widen_ids(ORDER_LINE_SPEC, id_type))
 
 
-def standardize_order_line(df: DataFrame) -> DataFrame:
-    return standardize(df, ORDER_LINE_SPEC)
+#: Spec and dedupe key of each source.
+SOURCES: dict[str, tuple[Spec, tuple[str, ...]]] = {
+    "customer": (CUSTOMER_SPEC, ("customer_id",)),
+    "product": (PRODUCT_SPEC, ("product_id",)),
+    "orders_header": (ORDER_HEADER_SPEC, ("order_id",)),
+    "orders_detail": (ORDER_LINE_SPEC, ("order_id", "line_id")),
+}

@@ -16,7 +16,12 @@ from orderstar.operators.features import FeatureParams, window_fact_lines
 from orderstar.session import scratch_path
 from orderstar.sources import fixtures as fx
 from orderstar.sources.files import read_parquet
-from orderstar.sources.writers import write_partitioned
+from orderstar.sources.writers import write_partitioned, write_table
+
+# The fact's columns that some gold query reads.
+GOLD_FACT_COLUMNS = (
+    "order_line_key", "order_id", "product_id", "customer_id", "order_date_id", "period", "pay_type", "promo_flag", "line_net_amount",
+)
 
 
 @dataclass
@@ -42,28 +47,40 @@ def fixture_silver(
     products: str = "clean",
     header: str = "dirty",
     detail: str = "dirty",
+    calendar: tuple[str, str] = fx.FIXTURE_CALENDAR,
 ) -> Silver:
     rc = fx.raw_customers(spark, sf_dir, customers)
     rp = fx.raw_products(spark, sf_dir, products)
     rh = fx.raw_order_header(spark, sf_dir, header)
     rd = fx.raw_order_detail(spark, sf_dir, detail)
     dc, dp = dim_customer(rc), dim_product(rp)
-    dd = dim_date(spark, *fx.FIXTURE_CALENDAR, as_of=fx.FIXTURE_AS_OF)
+    dd = dim_date(spark, *calendar, as_of=fx.FIXTURE_AS_OF)
     return Silver(rc, rp, rh, rd, dc, dp, dd, fact_order_line(rh, rd, dc, dp, dd))
 
 
-def fixture_gold_inputs(spark: SparkSession, sf_dir: str, params: FeatureParams | None = None) -> Silver:
-    """``fixture_silver`` with the line fact written once to the shared scratch folder, partitioned by
-    ``period``, and read back. This is the silver/gold hand-off of the original, where gold reads a
-    written table.
+def fixture_gold_inputs(spark: SparkSession, sf_dir: str, params: FeatureParams | None = None, **variants) -> Silver:
+    """``fixture_silver`` with the dimensions and the line fact written once to the shared scratch folder and read
+    back: the silver/gold hand-off of the original, where gold reads written tables.
 
     The gold plan scans the fact in two branches (order grain, category variety). Reading a table, each
     branch prunes partitions and columns instead of recomputing the fact from the raw tables, and a lost
-    executor recomputes only from the written fact. Only the window the gold operators read is written:
-    ``period >= start`` (the same filter they apply) is pushed into the fact's plan. There it becomes an
-    inner join with the headers of the window, so only those lines are joined and written.
+    executor recomputes only from the written tables. Only the window the gold operators read is written, with
+    the columns they read: ``period >= start`` (the same filter they apply) is pushed into the fact's plan. There
+    it becomes an inner join with the headers of the window, so only those lines are joined and written.
+
+    The gold queries of a session share one hand-off for each folder, window and variant (the driver's tables
+    are read-only).
     """
-    s = fixture_silver(spark, sf_dir)
-    path = scratch_path(spark, "silver_fact_order_line")
-    write_partitioned(window_fact_lines(s.fact_order_line, params or fixture_params()), path, ["period"])
-    return replace(s, fact_order_line=read_parquet(spark, path))
+    p = params or fixture_params()
+    held = spark.__dict__.setdefault("_orderstar_gold_inputs", {})
+    key = (sf_dir, str(p.as_of), p.months, tuple(sorted(variants.items())))
+    if key not in held:
+        s = fixture_silver(spark, sf_dir, **variants)
+        root = scratch_path(spark, "silver")
+        for name in ("dim_customer", "dim_product", "dim_date"):
+            write_table(getattr(s, name), f"{root}/{name}")
+        s = replace(s, **{n: read_parquet(spark, f"{root}/{n}") for n in ("dim_customer", "dim_product", "dim_date")})
+        fact = fact_order_line(s.raw_header, s.raw_detail, s.dim_customer, s.dim_product, s.dim_date)
+        write_partitioned(window_fact_lines(fact, p).select(*GOLD_FACT_COLUMNS), f"{root}/fact_order_line", ["period"])
+        held[key] = replace(s, fact_order_line=read_parquet(spark, f"{root}/fact_order_line"))
+    return held[key]

@@ -8,11 +8,12 @@ columns are aliased identically on both sides; decimal ratios and doubles are co
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderstar.functions.calendar import as_date_literal
+from orderstar.functions.calendar import as_date_literal, as_timestamp_literal
 from orderstar.functions.keys import date_key, hash_key, key_or_default, period_key
 from orderstar.operators import features as feat
 from orderstar.operators.dedupe import keep_first, latest_per_key
@@ -25,6 +26,7 @@ from orderstar.operators.dimensions import (
     union_unknown_member,
 )
 from orderstar.operators.facts import (
+    FACT_ORDER_LINE_SCHEMA,
     enriched_headers,
     fact_order,
     join_line_header,
@@ -33,6 +35,8 @@ from orderstar.operators.facts import (
     positive_line_filter,
 )
 from orderstar.operators.standardize import (
+    ORDER_LINE_SPEC,
+    rejected_rows,
     standardize_customer,
     standardize_order_header,
     standardize_order_line,
@@ -411,6 +415,14 @@ def q_customer_features(spark, d):
 # source = customers with balance from 2500 on, segment and balance changed; both overlap on [2500, 5000).
 
 from orderstar.operators import merge as M  # noqa: E402
+from orderstar.operators.quality import (  # noqa: E402
+    cast_failure_report,
+    dimension_reconcile,
+    profile,
+    row_counts,
+    schema_report,
+    write_and_reconcile,
+)
 from orderstar.session import scratch_path  # noqa: E402
 
 _T_CREATED, _T_UPDATED = "2001-01-01 00:00:00", "2001-02-01 00:00:00"
@@ -429,7 +441,11 @@ def _upsert_target(spark, d, tracked: bool = True) -> DataFrame:
 
 
 def _upsert_source(spark, d) -> DataFrame:
-    c = fx.table(spark, d, "customer").filter(F.col("c_acctbal") >= 2500)
+    return _upsert_rows(spark, d).filter(F.col("balance") >= 2600)
+
+
+def _upsert_rows(spark, d) -> DataFrame:
+    c = fx.table(spark, d, "customer")
     return c.select((F.col("c_custkey") + 1).cast("int").alias("customer_id"), F.col("c_name").alias("customer_name"),
                     F.lower("c_mktsegment").alias("segment"),
                     (F.col("c_acctbal").cast("decimal(18,2)") + 100).cast("decimal(18,2)").alias("balance"))
@@ -461,10 +477,12 @@ def _merge_sql(legacy: bool) -> str:
     FROM s LEFT JOIN t ON s.customer_id = t.customer_id""")
 
 
-@register("upsert_bootstrap", O.with_ctes([("s", _SQL_S)],
+@register("upsert_bootstrap", O.with_ctes([("s", _SQL_S.split(" WHERE ")[0])],
     f"SELECT *, CAST({_NOW} AS VARCHAR) AS created_ts, CAST({_NOW} AS VARCHAR) AS update_ts FROM s"))
 def q_upsert_bootstrap(spark, d):
-    return _tracked_out(M.upsert(None, _upsert_source(spark, d), _UPSERT_KEYS, now=fx.FIXTURE_NOW))
+    """First load of the whole table, through a target path that does not exist yet."""
+    base = scratch_path(spark, "bootstrap")
+    return _tracked_out(M.upsert_parquet(spark, _upsert_rows(spark, d), f"{base}/none", f"{base}/v1", _UPSERT_KEYS, now=fx.FIXTURE_NOW))
 
 
 @register("upsert_legacy_target", _merge_sql(legacy=True))
@@ -502,9 +520,69 @@ def q_upsert_merge(spark, d):
     return _tracked_out(merged)
 
 
+@register("upsert_partitioned", _merge_sql(legacy=False))
+def q_upsert_partitioned(spark, d):
+    """The target partitioned by segment; the batch changes the segment of its keys, so keys move partition."""
+    path = f"{scratch_path(spark, 'upsert_partitioned')}/target"
+    _upsert_target(spark, d).write.partitionBy("segment").parquet(path)
+    M.upsert_partitions(spark, _upsert_source(spark, d), path, _UPSERT_KEYS, ["segment"], now=fx.FIXTURE_NOW)
+    return _tracked_out(spark.read.parquet(path))
+
+
+@register("upsert_merge_shuffled", _merge_sql(legacy=False))
+def q_upsert_merge_shuffled(spark, d):
+    """The merge beyond the broadcast bound."""
+    merged = M.upsert(_upsert_target(spark, d), _upsert_source(spark, d), _UPSERT_KEYS, now=fx.FIXTURE_NOW, max_broadcast_rows=0)
+    return _tracked_out(merged)
+
+
+# ------------------------------------------------------------------ keys that do not parse
+
+
+def _lines_with_bad_ids(spark, d) -> DataFrame:
+    """Order lines whose ids are text: ``A<id>`` on returned lines, beyond INT on line 7."""
+    x = fx.raw_order_detail(spark, d, "dirty")
+    order = F.col("order_id").cast("string")
+    bad = F.when(F.col("qty_units") == 0, F.concat(F.lit("A"), order)).when(F.col("line_id") == 7, F.concat(F.lit("9"), F.lpad(order, 10, "0")))
+    return x.withColumn("order_id", bad.otherwise(order))
+
+
+_BAD_LINES = f"""SELECT * REPLACE (CASE WHEN qty_units = 0 THEN 'A' || CAST(order_id AS VARCHAR)
+                                  WHEN line_id = 7 THEN '9' || lpad(CAST(order_id AS VARCHAR), 10, '0')
+                                  ELSE CAST(order_id AS VARCHAR) END AS order_id) FROM ({O.raw_order_detail("dirty")})"""
+
+
+@register("reject_unparsed_lines", O.with_ctes([("bad", _BAD_LINES)],
+    "SELECT order_id, line_id, line_net_amount FROM bad WHERE qty_units = 0 OR line_id = 7"))
+def q_reject_unparsed_lines(spark, d):
+    rejected = rejected_rows(_lines_with_bad_ids(spark, d), ORDER_LINE_SPEC, ["order_id", "line_id"])
+    return rejected.select("order_id", "line_id", "line_net_amount")
+
+
+@register("cast_failure_report", O.with_ctes([("bad", _BAD_LINES)], " UNION ALL ".join(
+    f"SELECT '{out}' AS column_name, count(*) FILTER ({raw} IS NOT NULL AND "
+    f"TRY_CAST({raw} AS {'INTEGER' if kind == 'int' else 'DECIMAL(18,2)'}) IS NULL) AS failures, "
+    f"{out in ('order_id', 'line_id')} AS is_key, {out not in ('order_id', 'line_id')} OR failures = 0 AS ok FROM bad"
+    for out, raw, kind in ORDER_LINE_SPEC)))
+def q_cast_failure_report(spark, d):
+    return cast_failure_report(_lines_with_bad_ids(spark, d), ORDER_LINE_SPEC, ["order_id", "line_id"])
+
+
+_BIG = 3_000_000_000
+
+
+@register("dedupe_bigint_ids", O.with_ctes(
+    [("raw_order_header", f"SELECT * REPLACE (order_id + {_BIG} AS order_id) FROM ({O.raw_order_header('dup')})"),
+     ("std_header", O.STD_HEADER.replace("TRY_CAST(order_id AS INTEGER)", "order_id")), ("latest_header", O.LATEST_HEADER)],
+    "SELECT * FROM latest_header"))
+def q_dedupe_bigint_ids(spark, d):
+    big = fx.raw_order_header(spark, d, "dup").withColumn("order_id", F.col("order_id").cast("bigint") + F.lit(_BIG))
+    h = latest_order_headers(big, id_type="bigint")
+    return h.withColumn("customer_id", F.col("customer_id").cast("int"))
+
+
 # ------------------------------------------------------------------ sources and sinks
 
-from orderstar.operators.quality import dimension_reconcile, profile, row_counts, write_and_reconcile  # noqa: E402
 from orderstar.sources.files import ingest_csv, read_csv_tree, read_parquet  # noqa: E402
 from orderstar.sources.writers import write_partitioned  # noqa: E402
 
@@ -599,7 +677,7 @@ def q_dq_row_counts(spark, d):
               unknown_members, rows_out, rows_out = distinct_keys + 1 AS ok FROM r"""))
 def q_dq_dimension_reconcile(spark, d):
     raw = fx.raw_customers(spark, d, "dup")
-    return dimension_reconcile(raw, dim_customer(raw), "customer_id")
+    return dimension_reconcile(raw, dim_customer(raw), "customer_id", max_null_keys=None)
 
 
 @register("dq_write_reconcile", O.with_ctes(
@@ -610,28 +688,104 @@ def q_dq_write_reconcile(spark, d):
     return write_and_reconcile(dim_customer(fx.raw_customers(spark, d, "dup")), scratch_path(spark, "dim_customer"))
 
 
-_PROFILE_COLS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+def _profile_sql(table: str, columns: dict[str, bool]) -> str:
+    return " UNION ALL ".join(
+        f"""SELECT '{c}' AS column_name, COUNT({c}) AS "count",
+        {f"ROUND(AVG({c}), 6)" if number else "CAST(NULL AS DOUBLE)"} AS mean,
+        {f"ROUND(STDDEV_SAMP({c}), 6)" if number else "CAST(NULL AS DOUBLE)"} AS stddev,
+        CAST(MIN({c}) AS VARCHAR) AS "min", CAST(MAX({c}) AS VARCHAR) AS "max" FROM {table}"""
+        for c, number in columns.items())
 
 
-@register("dq_profile", " UNION ALL ".join(
-    f"""SELECT '{c}' AS column_name, COUNT({c}) AS "count", ROUND(AVG({c}), 6) AS mean,
-               ROUND(STDDEV_SAMP({c}), 6) AS stddev, MIN({c}) AS "min", MAX({c}) AS "max" FROM lineitem"""
-    for c in _PROFILE_COLS))
+_LINE_COLS = {c: c not in ("l_returnflag", "l_linestatus", "l_shipdate") for c in (
+    "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
+    "l_returnflag", "l_linestatus", "l_shipdate")}
+_NATION_COLS = {"n_nationkey": True, "n_name": False, "n_regionkey": True}
+
+
+@register("dq_profile", _profile_sql("lineitem", _LINE_COLS) + " UNION ALL " + _profile_sql("nation", _NATION_COLS))
 def q_dq_profile(spark, d):
-    p = profile(fx.table(spark, d, "lineitem"), _PROFILE_COLS)
+    p = profile(fx.table(spark, d, "lineitem").select(*_LINE_COLS)).unionByName(profile(fx.table(spark, d, "nation").select(*_NATION_COLS)))
     return p.select("column_name", "count", r6("mean").alias("mean"), r6("stddev").alias("stddev"), "min", "max")
 
 
+_SCHEMA_SQL = " UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, '{t}' AS declared, TRUE AS ok, count({c}) AS present FROM fact_order_line"
+    for c, t in FACT_ORDER_LINE_SCHEMA.items())
+
+
+@register("dq_schema_check", O.over_pipeline(_SCHEMA_SQL, "fact_order_line"))
+def q_dq_schema_check(spark, d):
+    """The line fact's columns against its declared schema, and how many values of each are present."""
+    fact = fixture_silver(spark, d).fact_order_line
+    counts = profile(fact).select("column_name", F.col("count").alias("present"))
+    return schema_report(fact, FACT_ORDER_LINE_SCHEMA).join(F.broadcast(counts), "column_name")
+
+
+@register("clock_defaults", "SELECT count(*) AS orders, TRUE AS today_once, TRUE AS stamped_now FROM orders")
+def q_clock_defaults(spark, d):
+    """Without a given clock the calendar and the audit stamp use the session's current date and time."""
+    o = fx.table(spark, d, "orders")
+    stamped = o.withColumn("at", as_timestamp_literal(None)).agg(
+        F.count(F.lit(1)).alias("orders"), (F.max(F.abs(F.unix_timestamp("at") - F.unix_timestamp(F.current_timestamp()))) < 60).alias("stamped_now"))
+    days = dim_date(spark, "2020-01-01", "2120-12-31").filter("is_today = 1")
+    today = days.agg(((F.count(F.lit(1)) == 1) & (F.min("date") == F.current_date())).alias("today_once"))
+    return stamped.join(F.broadcast(today)).select("orders", "today_once", "stamped_now")
+
+
+# ------------------------------------------------------------------ gold over a long window
+# 40 months up to mid 1999, a calendar that ends in 1998 (later orders have no calendar day), duplicates in customers,
+# products and headers: many customers have three or more orders, some on one day.
+
+_LONG = {"as_of": "1999-06-15", "months": 40, "calendar_end": "1998-12-31"}
+_LONG_VARIANT = {"customers": "dup", "products": "dup", "header": "dirty_dup"}
+
+
+def _long_inputs(spark, d, **bounds):
+    p = replace(fixture_params(), as_of=_LONG["as_of"], months=_LONG["months"], **bounds)
+    return fixture_gold_inputs(spark, d, p, calendar=(fx.FIXTURE_CALENDAR[0], _LONG["calendar_end"]), **_LONG_VARIANT), p
+
+
+def _long_sql(select: str, upto: str) -> str:
+    return O.at_window(O.over_pipeline(select, upto, **_LONG_VARIANT), **_LONG)
+
+
+def _long_features(spark, d, **bounds) -> DataFrame:
+    s, p = _long_inputs(spark, d, **bounds)
+    return comparable_features(feat.customer_features(s.fact_order_line, s.dim_customer, s.dim_product, s.dim_date, p))
+
+
+register("customer_features_long", _long_sql(f"SELECT {_FEATURE_SQL_COLS} FROM features", "features"))(_long_features)
+register("customer_features_long_shuffled", ORACLE["customer_features_long"])(
+    lambda spark, d: _long_features(spark, d, max_broadcast_customers=0))
+
+
+def _long_query(operator, **bounds):
+    def q(spark, d):
+        s, p = _long_inputs(spark, d, **bounds)
+        return operator(s.fact_order_line, s.dim_customer, s.dim_date, p)
+
+    return q
+
+
+for _suffix, _bounds in (("", {}), ("_shuffled", {"max_broadcast_customers": 0})):
+    register(f"distinct_orders_long{_suffix}", _long_sql("SELECT * FROM distinct_orders", "distinct_orders"))(_long_query(feat.distinct_orders, **_bounds))
+    register(f"order_lag_long{_suffix}", _long_sql("SELECT * FROM order_lag", "order_lag"))(_long_query(feat.order_lag, **_bounds))
+
+
 # ------------------------------------------------------------------ end to end
 
 
-@register("medallion_end_to_end", ORACLE["customer_features"])
+_DUP = {"customers": "dup", "products": "dup", "header": "dirty_dup"}
+
+
+@register("medallion_end_to_end", O.over_pipeline(f"SELECT {_FEATURE_SQL_COLS} FROM features", "features", **_DUP))
 def q_medallion_end_to_end(spark, d):
     """Raw CSV landing zone -> bronze -> silver -> gold, through files; returns the gold table."""
     from orderstar.plans.medallion import run_medallion
 
     root = scratch_path(spark, "medallion")
-    fx.stage_landing_zone(spark, d, f"{root}/raw")
+    fx.stage_landing_zone(spark, d, f"{root}/raw", **_DUP)
     res = run_medallion(spark, f"{root}/raw", root, fixture_params(), calendar=fx.FIXTURE_CALENDAR,
                         now=fx.FIXTURE_NOW, layout=fx.FIXTURE_LAYOUT)
     return comparable_features(res.gold)

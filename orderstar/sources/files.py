@@ -1,12 +1,13 @@
 """Raw file readers (CSV, parquet) and bronze audit columns.
 
-* CSV columns are read as strings by header name (no ``inferSchema`` pass over the data); typing happens
-  in standardisation with ``try_cast``. ``schema=`` gives an explicit schema (also no pass);
+* CSV columns are read as strings (no ``inferSchema`` pass over the data); typing happens in standardisation with
+  ``try_cast``. Spark maps CSV columns by position, so every file's header is checked against the schema
+  (``enforceSchema=false``): a file with other or reordered columns fails the read instead of swapping values. ``schema=`` gives an explicit schema (also no pass);
   ``infer_schema=True`` restores inference when wanted.
 * Many files: ``recursiveFileLookup`` + ``pathGlobFilter`` read every matching file at any depth (a
   ``**`` inside a Hadoop glob only spans one level).
-* A read that matches no file raises ``FileNotFoundError`` (checked with ``inputFiles()``, which works on
-  any Hadoop file system — no local ``os.path`` checks).
+* A read that matches no file raises ``FileNotFoundError`` (Spark cannot take a header from nothing, on any
+  Hadoop file system; no list of paths is built in the driver, no local ``os.path`` checks).
 """
 
 from __future__ import annotations
@@ -26,29 +27,29 @@ def _no_files(path: str, pattern: str | None = None) -> FileNotFoundError:
     return FileNotFoundError(f"no input files found: {where}")
 
 
-def _checked(df: DataFrame, path: str, pattern: str | None = None) -> DataFrame:
-    if not df.inputFiles():
-        raise _no_files(path, pattern)
-    return df
-
-
 def _reader(spark: SparkSession, infer_schema: bool, schema: StructType | str | None, options: dict):
-    r = spark.read.option("header", True).options(**options)
+    r = spark.read.option("header", True).option("enforceSchema", False).options(**options)
     # an explicit schema needs no pass over the data; otherwise strings, or inference when asked
     return r.schema(schema) if schema is not None else r.option("inferSchema", infer_schema)
 
 
+def _load(spark: SparkSession, path: str, infer_schema: bool, schema, options: dict, pattern: str | None = None) -> DataFrame:
+    try:
+        if schema is not None:
+            # with a schema Spark accepts an empty match: taking the first file's header shows that there is one
+            _reader(spark, False, None, options).csv(path)
+        return _reader(spark, infer_schema, schema, options).csv(path)
+    except AnalysisException as e:
+        if any(s in (e.getCondition() or "") for s in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")):
+            raise _no_files(path, pattern) from e
+        raise
+
+
 def read_csv(
     spark: SparkSession, path: str, infer_schema: bool = False, schema: StructType | str | None = None, **options
 ) -> DataFrame:
     """One CSV file (or directory) with a header row."""
-    try:
-        df = _reader(spark, infer_schema, schema, options).csv(path)
-    except AnalysisException as e:
-        if "PATH_NOT_FOUND" in (e.getCondition() or ""):
-            raise _no_files(path) from e
-        raise
-    return _checked(df, path)
+    return _load(spark, path, infer_schema, schema, options)
 
 
 def read_csv_tree(
@@ -60,20 +61,9 @@ def read_csv_tree(
     **options,
 ) -> DataFrame:
     """Every CSV under ``root`` (any depth) whose file name matches ``file_pattern``, e.g.
-    ``"*orders_header*.csv"``."""
-    try:
-        df = (
-            _reader(spark, infer_schema, schema, options)
-            .option("recursiveFileLookup", True)
-            .option("pathGlobFilter", file_pattern)
-            .csv(root)
-        )
-    except AnalysisException as e:
-        # no matching file: Spark cannot take a header / schema from nothing
-        if any(s in (e.getCondition() or "") for s in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")):
-            raise _no_files(root, file_pattern) from e
-        raise
-    return _checked(df, root, file_pattern)
+    ``"*orders_header*.csv"``; all of them need the same header."""
+    tree = {"recursiveFileLookup": True, "pathGlobFilter": file_pattern}
+    return _load(spark, root, infer_schema, schema, options | tree, file_pattern)
 
 
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:

@@ -8,14 +8,13 @@ Variants add the cases the clean fixtures lack, by projection only (no row is dr
 
 * ``dup``   — the table is unioned with an altered, older copy of itself (duplicate keys; some copy
   rows get a NULL key);
+* ``dirty_dup`` — both, for order headers;
 * ``dirty`` — order headers with NULL customer, NULL date, non-positive amount, or an id that no line
   references (its lines become orphans); order lines with zero units or an unknown product.
 """
 
 from __future__ import annotations
 
-import weakref
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
@@ -32,12 +31,12 @@ FIXTURE_NOW = "2001-08-01 12:00:00"
 
 # The driver's tables are read-only, so one DataFrame per (session, file) is reused: the file listing and
 # footer read behind ``spark.read.parquet`` happen once per session instead of once per query.
-_tables: weakref.WeakKeyDictionary[SparkSession, dict[str, DataFrame]] = weakref.WeakKeyDictionary()
+# (Kept on the session object itself, so they go with it.)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    per_session = _tables.setdefault(spark, {})
+    per_session = spark.__dict__.setdefault("_orderstar_tables", {})
     if path not in per_session:
         per_session[path] = spark.read.parquet(path)
     return per_session[path]
@@ -71,8 +70,8 @@ def raw_customers(spark: SparkSession, sf_dir: str, variant: str = "clean") -> D
                 F.date_add(F.lit(base).cast("date"), (F.col("c_custkey") % 3650).cast("int")).cast("string"),
                 F.lit(" 08:30:00"),
             ).alias("fecha_alta"),
-            F.lit("activo").alias("estado"),
-            F.lit(None).cast("double").alias("mix_credito_vs_contado_3m"),
+            F.when(F.col("c_custkey") % 3 == 0, "inactivo").otherwise("activo").alias("estado"),
+            ((F.col("c_custkey") % 100).cast("double") / 100).alias("mix_credito_vs_contado_3m"),
         )
 
     out = project(False)
@@ -103,7 +102,7 @@ def raw_order_header(spark: SparkSession, sf_dir: str, variant: str = "clean") -
     amount = F.col("o_totalprice").cast(MONEY)
     order_id, customer_id = _id("o_orderkey"), _id("o_custkey")
     order_date = F.col("o_orderdate").cast("date")
-    if variant == "dirty":
+    if variant in ("dirty", "dirty_dup"):
         order_id = F.when((status == "P") & (prio == "1-URGENT"), -order_id).otherwise(order_id)
         customer_id = F.when((status == "O") & (prio == "2-HIGH"), F.lit(None).cast("int")).otherwise(customer_id)
         order_date = F.when((status == "F") & (prio == "4-NOT SPECIFIED"), F.lit(None).cast("date")).otherwise(order_date)
@@ -123,7 +122,7 @@ def raw_order_header(spark: SparkSession, sf_dir: str, variant: str = "clean") -
         )
 
     out = project(False)
-    return out.unionByName(project(True)) if variant == "dup" else out
+    return out.unionByName(project(True)) if variant in ("dup", "dirty_dup") else out
 
 
 def raw_order_detail(spark: SparkSession, sf_dir: str, variant: str = "clean") -> DataFrame:

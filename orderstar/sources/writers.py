@@ -15,6 +15,11 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).parquet(path)
 
 
+def rebalanced(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Rows of one value of ``columns`` together, while AQE splits large values into tasks of the advisory size."""
+    return df.hint("rebalance", *columns)
+
+
 def write_partitioned(
     df: DataFrame,
     path: str,
@@ -32,7 +37,7 @@ def write_partitioned(
     ``dynamic_overwrite=True`` replaces only the partition values present in ``df``.
     """
     if rebalance:
-        df = df.hint("rebalance", *partition_columns)
+        df = rebalanced(df, partition_columns)
     writer = (
         df.write.mode(mode)
         .option("maxRecordsPerFile", max_records_per_file)

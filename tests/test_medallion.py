@@ -80,3 +80,19 @@ def test_medallion_original_layout(spark, tmp_root):
     assert fact.count() == 5
     for name, report in res.reports.items():
         assert all(r["ok"] for r in report.collect()), name
+
+
+def test_run_fails_before_silver_when_keys_are_lost(spark, tmp_root):
+    from orderstar.operators.quality import QualityError
+
+    raw = f"{tmp_root}/raw"
+    _landing_zone(raw)
+    _csv(f"{raw}/2001/orders_detail_bad.csv", LINE_COLS, [("A7", 1, 1, 1, "1.00", "0", 0, "1.00", "1.00"), (3_000_000_000, 1, 1, 1, "1.00", "0", 0, "1.00", "1.00")])
+    params = FeatureParams(as_of="2001-08-01")
+    with pytest.raises(QualityError, match="casts_orders_detail"):
+        run_medallion(spark, raw, f"{tmp_root}/a", params, now=dt.datetime(2001, 8, 1, 12, 0))
+    assert not os.path.exists(f"{tmp_root}/a/silver")
+    res = run_medallion(spark, raw, f"{tmp_root}/b", params, now=dt.datetime(2001, 8, 1, 12, 0), max_rejects=2, profile_tables=True)
+    assert read_parquet(spark, f"{tmp_root}/b/silver/rejects/orders_detail").count() == 2
+    assert {"fact_order_line_write", "dim_date_write", "gold_write", "order_headers_write"} <= set(res.reports)
+    assert read_parquet(spark, f"{tmp_root}/b/profiles/customer_features").count() > 5

@@ -165,13 +165,15 @@ def test_dimension_reconcile_and_assert_ok(spark):
     dim = spark.createDataFrame([(0,), (1,), (2,)], "customer_id int")
     r = dimension_reconcile(bronze, dim, "customer_id").collect()[0]
     assert (r["rows_in"], r["distinct_keys"], r["null_keys"], r["duplicates_removed"], r["rows_out"], r["ok"]) == (
-        5, 2, 2, 1, 3, True)
-    assert_ok(dimension_reconcile(bronze, dim, "customer_id"))
+        5, 2, 2, 1, 3, False)
+    with pytest.raises(QualityError):  # a missing and an unparsed id are lost members
+        assert_ok(dimension_reconcile(bronze, dim, "customer_id"))
+    assert_ok(dimension_reconcile(bronze, dim, "customer_id", max_null_keys=2))
     with pytest.raises(QualityError):
         assert_ok(dimension_reconcile(bronze, dim.filter("customer_id > 0"), "customer_id"))
     from orderstar.operators.quality import assert_all_ok
 
-    good = dimension_reconcile(bronze, dim, "customer_id")
+    good = dimension_reconcile(bronze, dim, "customer_id", max_null_keys=None)
     assert_all_ok({"a": good, "b": good})
     with pytest.raises(QualityError, match="'b'"):
         assert_all_ok({"a": good, "b": dimension_reconcile(bronze, dim.filter("customer_id > 0"), "customer_id")})
@@ -193,10 +195,17 @@ def test_write_reconcile_profile_counts(spark, tmp_root):
     r = write_and_reconcile(df, tmp_root).collect()[0]
     assert (r["rows_written"], r["rows_read"], r["ok"]) == (3, 3, True)
     prof = {x["column_name"]: x for x in profile(df).collect()}
-    assert prof["b"]["count"] == 2 and prof["b"]["mean"] == 3.0 and prof["a"]["max"] == 3.0
+    assert prof["b"]["count"] == 2 and prof["b"]["mean"] == 3.0 and prof["a"]["max"] == "3"
     assert abs(prof["b"]["stddev"] - 2 ** 0.5) < 1e-12
     counts = {x["table_name"]: x["row_count"] for x in row_counts({"x": df, "y": df.limit(1)}).collect()}
     assert counts == {"x": 3, "y": 1}
+    odd = spark.createDataFrame([(9007199254740993, "b", dt.date(2001, 1, 1), {"k": 1}), (1, None, None, None)], "`a'b` long, s string, d date, m map<string,int>")
+    prof = {x["column_name"]: x for x in profile(odd).collect()}
+    assert (prof["a'b"]["min"], prof["a'b"]["max"]) == ("1", "9007199254740993")
+    assert (prof["s"]["count"], prof["s"]["max"], prof["s"]["mean"]) == (1, "b", None) and prof["d"]["min"] == "2001-01-01"
+    assert prof["m"]["count"] == 1 and prof["m"]["max"] is None
+    with pytest.raises(ValueError):
+        profile(odd, ["nope"])
 
 
 # ------------------------------------------------------------------ plans
@@ -267,3 +276,138 @@ def test_csv_explicit_schema(spark, tmp_root):
     assert df.dtypes == [("id", "int"), ("d", "date")]
     assert df.first()["d"] == dt.date(2001, 1, 2)
     assert read_csv(spark, tmp_root).dtypes == [("id", "string"), ("d", "string")]
+
+
+# ------------------------------------------------------------------ keys that do not parse
+
+
+def _lines(spark, ids):
+    from tests.test_operators import LINE_COLS
+
+    rows = [(i, "1", "1", "1", "2.00", "0", "0", "2.00", "2.00") for i in ids]
+    return spark.createDataFrame(rows, ", ".join(f"{c} string" for c in LINE_COLS))
+
+
+def test_rows_with_unparsed_keys_are_rejects_not_one_null_key(spark):
+    from orderstar.operators.facts import latest_order_lines
+    from orderstar.operators.standardize import ORDER_LINE_SPEC, rejected_rows, widen_ids
+
+    ids = [f"A{i}" for i in range(5)] + [str(3_000_000_000 + i) for i in range(5)] + ["7", "7", None, None]
+    raw = _lines(spark, ids)
+    keys = ["order_id", "line_id"]
+    assert sorted(r.order_id or 0 for r in latest_order_lines(raw).collect()) == [0, 7]
+    assert rejected_rows(raw, ORDER_LINE_SPEC, keys).count() == 10
+    big = latest_order_lines(raw, id_type="bigint")
+    assert big.count() == 7 and dict(big.dtypes)["order_id"] == "bigint"
+    assert rejected_rows(raw, widen_ids(ORDER_LINE_SPEC, "bigint"), keys).count() == 5
+    with pytest.raises(ValueError):
+        widen_ids(ORDER_LINE_SPEC, "text")
+
+
+# ------------------------------------------------------------------ plans of the upsert and the line join
+
+
+def test_small_upsert_does_not_shuffle_the_target(spark, tmp_root):
+    import re
+
+    spark.range(5000).selectExpr("id AS k", "repeat('x', 50) AS v", "current_timestamp() AS created_ts", "current_timestamp() AS update_ts").write.parquet(tmp_root)
+    target = read_parquet(spark, tmp_root)
+    source = spark.range(4990, 5010).selectExpr("id AS k", "'new' AS v")
+    merged = M.upsert(target, source, ["k"], now=NOW)
+    plan = plan_of(merged)
+    # only the (key, created) rows of the batch's own keys are shuffled
+    assert plan.count("LeftAnti") >= 1 and "SortMergeJoin" not in plan
+    assert len(re.findall(r"Arguments: hashpartitioning", plan)) == 1
+    assert merged.count() == 5010 and merged.filter("v = 'new'").count() == 20
+    shuffled = M.upsert(target, source, ["k"], now=NOW, max_broadcast_rows=0)
+    assert sorted(map(str, shuffled.collect())) == sorted(map(str, merged.collect()))
+
+
+def test_null_target_keys_bypass_the_joins(spark):
+    t = spark.createDataFrame([(None, "a", T0, T1), (None, "b", T0, T1), (1, "c", T0, T1)], "k int, v string, created_ts timestamp, update_ts timestamp")
+    for bound in (10, 0):
+        out = M.upsert(t, _source(spark), ["k"], now=NOW, max_broadcast_rows=bound).collect()
+        assert sorted((r["k"] or 0, r["v"] or "") for r in out) == [(0, "a"), (0, "b"), (1, "c"), (2, "B"), (3, ""), (4, "D")]
+
+
+def test_upsert_partitions_rewrites_only_affected_ones(spark, tmp_root):
+    import os
+
+    path = f"{tmp_root}/t"
+    first = spark.createDataFrame([(1, "x", "p1"), (2, "y", "p2"), (3, "z", "p3"), (4, "w", "p3")], "k int, v string, p string")
+    M.upsert_partitions(spark, first, path, ["k"], ["p"], now=T0)
+    before = {f for d in ("p3",) for f in os.listdir(f"{path}/p={d}")}
+    # 1 moves from p1 (which empties) to p2, 5 opens p4; p3 is untouched
+    batch = spark.createDataFrame([(1, "X", "p2"), (5, "n", "p4")], "k int, v string, p string")
+    out = {r["k"]: (r["v"], r["p"], r["created_ts"], r["update_ts"]) for r in M.upsert_partitions(spark, batch, path, ["k"], ["p"], now=NOW).collect()}
+    assert out == {1: ("X", "p2", T0, NOW), 2: ("y", "p2", T0, T0), 3: ("z", "p3", T0, T0), 4: ("w", "p3", T0, T0), 5: ("n", "p4", NOW, NOW)}
+    assert not os.path.exists(f"{path}/p=p1") and {f for f in os.listdir(f"{path}/p=p3")} == before
+
+
+def test_hot_order_is_split_when_headers_are_a_table(spark, tmp_root):
+    from orderstar.operators.facts import join_line_header
+
+    names = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20k", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5", "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+    }
+    old = {n: spark.conf.get(n, None) for n in names}
+    spark.range(200).selectExpr("id AS h_order_id", "id AS h_x").write.parquet(f"{tmp_root}/h")
+    spark.range(0, 60000, 1, 8).selectExpr("if(id % 5 = 0, id % 200, 7) AS order_id", "id AS line_id", "repeat(uuid(), 2) AS w").write.parquet(f"{tmp_root}/l")
+    try:
+        for n, v in names.items():
+            spark.conf.set(n, v)
+        df = join_line_header(read_parquet(spark, f"{tmp_root}/l"), read_parquet(spark, f"{tmp_root}/h"))
+        df.write.format("noop").mode("overwrite").save()
+        df.collect()
+        assert "skew=true" in df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for n, v in old.items():
+            spark.conf.unset(n) if v is None else spark.conf.set(n, v)
+
+
+# ------------------------------------------------------------------ sources
+
+
+def test_csv_with_reordered_header_fails_instead_of_swapping(spark, tmp_root):
+    spark.createDataFrame([("1", "9")], "order_id string, customer_id string").write.option("header", True).csv(f"{tmp_root}/a")
+    spark.createDataFrame([("8", "2")], "customer_id string, order_id string").write.option("header", True).csv(f"{tmp_root}/b")
+    with pytest.raises(Exception, match="(?i)header"):
+        read_csv_tree(spark, tmp_root, "*.csv").collect()
+    assert read_csv_tree(spark, f"{tmp_root}/a", "*.csv").collect()[0].asDict() == {"order_id": "1", "customer_id": "9"}
+    with pytest.raises(FileNotFoundError):
+        read_csv_tree(spark, f"{tmp_root}/a", "*.txt", schema="order_id string, customer_id string")
+
+
+def test_scratch_needs_a_shared_folder_on_a_cluster(monkeypatch):
+    from orderstar import session
+
+    class Conf:
+        def get(self, key, default=None):
+            return {"spark.master": "spark://x:7077"}.get(key, default)
+
+    class Spark:
+        conf = Conf()
+
+    monkeypatch.setattr(session, "_configured_checkpoint_dir", lambda s: None)
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.scratch_root(Spark())
+
+
+def test_sorted_layouts(spark):
+    from orderstar.operators.dimensions import calendar_range_from, dim_customer, dim_date
+    from orderstar.operators.facts import sorted_by_ranges
+    from tests.test_operators import CUSTOMER_COLS
+
+    raw = spark.createDataFrame([(str(i), "n", "c", "s", "r", "k", "2020-01-01", "e", "1") for i in (5, 3, 9)] + [(None,) + ("q",) * 8], ", ".join(f"{c} string" for c in CUSTOMER_COLS))
+    assert [r.customer_id for r in dim_customer(raw, sort=True).collect()] == [0, 3, 5, 9]
+    assert sorted(r.customer_id for r in dim_customer(raw, drop_null_keys=False).collect()) == [0, 0, 3, 5, 9]
+    days = dim_date(spark, "2020-01-01", "2020-12-31", sort=True)
+    assert [r.date_id for r in days.limit(2).collect()] == [20200101, 20200102] and dim_date(spark, "2020-01-01", "2020-12-31").rdd.getNumPartitions() == 1
+    parts = sorted_by_ranges(spark.range(1000).selectExpr("(id * 7919) % 1000 AS order_id"), "order_id").selectExpr("spark_partition_id() AS p", "order_id").collect()
+    ranges = {}
+    for r in parts:
+        ranges.setdefault(r.p, []).append(r.order_id)
+    assert all(v == sorted(v) for v in ranges.values()) and sorted(x for v in ranges.values() for x in v) == list(range(1000))
+    empty = spark.createDataFrame([(None,)], "d date")
+    assert calendar_range_from(empty, "d")[0].month == 1
