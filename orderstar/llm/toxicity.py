@@ -40,7 +40,7 @@ PREFIXES = (4, 5, 6, 7)
 MIN_TOXIC = 3
 #: A feature counts from this likelihood-ratio statistic on (far beyond chance among millions of words), and where
 #: its log-odds less their standard error reach MIN_WEIGHT.
-MIN_SURPRISE = 30.0
+MIN_SURPRISE = 20.0
 MIN_WEIGHT = 2.5
 PRIOR = 1.0
 GAP = 0.5
@@ -179,15 +179,28 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % 3 == 1, F.lit(False))
 
 
+def shaped(best: float, significant: float) -> tuple[float, float]:
+    """The two inputs of the curve."""
+    return min(best, 40.0), float(np.log1p(significant))
+
+
 def _rate(y: np.ndarray, x: np.ndarray) -> tuple[float, float, float]:
-    """Logistic curve with a small ridge, by Newton steps."""
-    x = np.column_stack((np.ones(len(x)), x))
-    w, ridge = np.zeros(x.shape[1]), np.diag([1e-3, 1e-2, 1e-2])
-    for _ in range(50):
-        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        step = np.linalg.solve(x.T @ (x * (p * (1 - p) + 1e-9)[:, None]) + ridge, x.T @ (y - p) - ridge @ w)
-        w = w + np.clip(step, -2, 2)
-    return tuple(float(v) for v in (w[0], max(w[1], 0.0), max(w[2], 0.0)))
+    """Logistic curve with a small ridge, by Newton steps: of the fits on both inputs or on either, that of the smallest
+    loss in which more evidence never lowers the score."""
+    best = (np.inf, (0.0, 0.0, 0.0))
+    for used in ([0, 1], [0], [1]):
+        z = np.column_stack((np.ones(len(x)), x[:, used]))
+        w, ridge = np.zeros(z.shape[1]), np.diag([1e-3] + [1e-2] * len(used))
+        for _ in range(200):
+            p = 1 / (1 + np.exp(-np.clip(z @ w, -30, 30)))
+            w = w + np.clip(np.linalg.solve(z.T @ (z * (p * (1 - p) + 1e-9)[:, None]) + ridge, z.T @ (y - p) - ridge @ w), -1, 1)
+        loss = float(np.logaddexp(0, np.where(y > 0, -1, 1) * (z @ w)).sum())
+        if loss < best[0] and (w[1:] >= 0).all():
+            full = [0.0, 0.0]
+            for k, v in zip(used, w[1:]):
+                full[k] = float(v)
+            best = (loss, (float(w[0]), *full))
+    return best[1]
 
 
 def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Model:
@@ -245,7 +258,7 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Model:
         return max(0.0, max(x) + 5.0) if x else 0.0, sum(v for v in x if v > 0)
 
     if rows and 0 < sum(r.toxic for r in rows) < len(rows):
-        model.curve = _rate(np.array([r.toxic for r in rows], float), np.array([np.log1p(two(r)) for r in rows]))
+        model.curve = _rate(np.array([r.toxic for r in rows], float), np.array([shaped(*two(r)) for r in rows]))
     return model
 
 
@@ -258,7 +271,8 @@ def _score(model: Model):
         a, b, c = model.curve
         for i, j in zip(first[:-1].tolist(), first[1:].tolist()):
             best, significant, good = evidence(model, score[i:j]) if hits[j] > hits[i] else (0.0, 0.0, [])
-            out.append(float(1 / (1 + np.exp(-(a + b * np.log1p(best) + c * np.log1p(significant))))))
+            x, y = shaped(best, significant)
+            out.append(float(1 / (1 + np.exp(-(a + b * x + c * y)))))
             count.append(len(good))
         return out, count
 

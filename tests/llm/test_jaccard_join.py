@@ -55,6 +55,18 @@ def test_components_match_all_pairs(spark, seed, frequent):
     assert got == brute(rows)
 
 
+def test_sketches_bound_the_symmetric_difference():
+    r = np.random.default_rng(4)
+    sets = [np.unique(r.integers(0, 1 << 62, int(n), dtype=np.uint64)) for n in (1, 30, 200, 300, 900, 5000)]
+    sets += [np.union1d(s, s[:10] + np.uint64(1)) for s in sets]
+    pairs = [(a, b) for a in sets for b in sets]
+    got = J.differences([J.parity(a) for a, _ in pairs], [J.parity(b) for _, b in pairs])
+    real = np.array([len(np.setxor1d(a, b)) for a, b in pairs])
+    assert (got <= real).all() and (got[real == 0] == 0).all()
+    x, y = (r.integers(0, 1 << 62, 5000, dtype=np.uint64) for _ in range(2))
+    assert J.differences([J.parity(x)], [J.parity(y)])[0] > 3000
+
+
 def test_empty_and_repeated_rows(spark):
     assert J.similar_classes(spark.createDataFrame([], "doc_id long, text string")).count() == 0
     docs = spark.createDataFrame([(7, "a b c d e f"), (7, "a b c d e f"), (None, "a b c d e f"), (9, None)], "doc_id long, text string")

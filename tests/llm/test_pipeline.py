@@ -1,6 +1,7 @@
 """The pipeline against its parts worked out plainly on a small table."""
 
 
+import numpy as np
 import sentencepiece
 
 import corpus_pipeline as C
@@ -13,11 +14,13 @@ ITEM = "what is the exact colour of the third house beyond the northern river br
 
 
 def table():
-    plain = lambda i: " ".join(WORDS[(i * 7 + k * (i % 5 + 1)) % len(WORDS)] + str((i * k) % 11) for k in range(40))
-    rows = [(i, plain(i)) for i in range(60)]
-    rows += [(60 + i, plain(i).upper()) for i in range(10)]
-    rows += [(70 + i, plain(30 + i) + " vile nasty horrid vile" * 3) for i in range(24)]
-    rows += [(94, f"{plain(97)} {ITEM} {plain(98)}"), (95, f"mail ann.b@c.org or call +1 555 123 4567 {plain(99)}"), (96, None), (97, ""), (None, "no id 10.1.2.3")]
+    r = np.random.default_rng(11)
+    plain = lambda n=40: " ".join(f"{r.choice(WORDS)}{r.integers(0, 12)}" for _ in range(n))
+    rows = [(i, plain()) for i in range(60)]
+    rows += [(60 + i, rows[i][1].upper()) for i in range(10)]
+    rows += [(94, f"{plain(9)} {ITEM} {plain(9)}"), (95, f"mail ann.b@c.org or call +1 555 123 4567 {plain(12)}"), (96, None), (97, ""), (None, "no id 10.1.2.3")]
+    rows += [(100 + i, f"{plain()} vile nasty horrid vile {plain(10)}") for i in range(90)]
+    rows += [(200 + i, plain()) for i in range(90)]
     return [(i, t, "en", "s", len(t or ""), 1.5) for i, t in rows]
 
 
@@ -26,7 +29,7 @@ def test_stages(spark):
     folder = scratch_path(spark, "test-pipeline")
     rows = table()
     spark.createDataFrame(rows, schema).repartition(3).write.parquet(f"{folder}/documents.parquet")
-    labels = [(i, 1, int(70 <= i < 94)) for i in range(94)]
+    labels = [(i, 1, int(100 <= i < 190)) for i in [*range(60), *range(100, 190), *range(200, 290)]]
     spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
     spark.createDataFrame([(1, ITEM)], "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
     docs = spark.read.parquet(f"{folder}/documents.parquet")
@@ -36,9 +39,9 @@ def test_stages(spark):
         if name != "pieces":
             assert out.dtypes == docs.dtypes
         steps[name] = docs = out
-    ids = lambda df: sorted(r.doc_id or -1 for r in df.select("doc_id").collect())
+    ids = lambda df: sorted(-1 if r.doc_id is None else r.doc_id for r in df.select("doc_id").collect())
     clean = ids(steps["toxicity"])
-    assert not set(range(70, 94)) & set(clean) and set(range(60)) | {94, 95, 96, 97, -1} <= set(clean)
+    assert not set(range(100, 190)) & set(clean) and set(range(70)) | {94, 95, 96, 97, -1, *range(200, 290)} <= set(clean)
     left = [(r.doc_id, r.text) for r in steps["toxicity"].collect() if r.doc_id is not None]
     groups = brute(left)
     assert ids(steps["jaccard_join"]) == [-1, *sorted(i for i, _ in left if groups[i][1] == i)]
