@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from orderstar.llm.textops import flat, prefix_hash, range_hash, slices
 
 MARK = "▁"
-CACHE_PARTS = 1 << 18
+CACHE_PARTS = 1 << 19
 CACHE_PAIRS = 1 << 20
 
 
@@ -85,7 +85,13 @@ class Transducer:
         self.byte = {int(self.text[i][3:5], 16): i for i in range(n) if model.is_byte(i)}
         self.unknown = model.unk_id()
         self.control = {i for i in range(n) if model.is_control(i)}
-        self.longest = max(map(len, self.weight))
+        # the last merge of each piece that comes out of its own characters, and the ends of all pieces
+        self.split: dict[str, tuple[str, str]] = {}
+        self.ends: set[str] = set()
+        for p in self.weight:
+            if len(p) > 1 and (halves := self.merged(p, whole=p)):
+                self.split[p] = halves
+            self.ends.update(p[i:] for i in range(len(p)))
         # bytes (a space for the mark) that are neighbours in some piece
         near = np.zeros((256, 256), bool)
         for p in self.weight:
@@ -98,41 +104,70 @@ class Transducer:
     def reset(self) -> None:
         self.known: dict[int, int] = {}
         self.pool = np.zeros(1 << 16, np.int32)
-        self.at = [0]
+        self.at = np.zeros(1 << 12, np.int64)
         self.pairs: dict[tuple[str, str], bool] = {}
 
-    def merged(self, text: str) -> list[str]:
-        """Characters merged by the smallest weight, then the leftmost place (short strings only)."""
+    def merged(self, text: str, whole: str = "") -> list[str] | tuple[str, str] | None:
+        """Characters merged by the smallest weight, then the leftmost place (short strings only). With ``whole``:
+        the two parts whose merge gives it, or None."""
         out = list(text)
         while True:
             best = min(((self.weight[a + b], i) for i, (a, b) in enumerate(zip(out, out[1:])) if a + b in self.weight), default=None)
             if best is None:
-                return out
+                return None if whole else out
             i = best[1]
+            if whole and out[i] + out[i + 1] == whole:
+                return out[i], out[i + 1]
             out[i : i + 2] = [out[i] + out[i + 1]]
 
     def stable(self, a: str, b: str) -> bool:
         pair = (a, b)
-        if pair not in self.pairs:
+        out = self.pairs.get(pair)
+        if out is None:
             if len(self.pairs) >= CACHE_PAIRS:
                 self.pairs.clear()
-            self.pairs[pair] = self.merged(a + b) == ([a, b] if a else [b])
-        return self.pairs[pair]
+            out = self.pairs[pair] = self._apart(a, b)
+        return out
+
+    def _apart(self, a: str, b: str) -> bool:
+        """Whether two pieces side by side stay apart: merges are undone from the latest on, and none across the border
+        may come before the merge that was undone."""
+        weight, split = self.weight, self.split
+        if a[-1] == MARK and b[0] == MARK:  # equal weights: the places decide
+            return self.merged(a + b) == [a, b]
+        limit = np.inf
+        while True:
+            if weight.get(a + b, np.inf) < limit:
+                return False
+            x, y = (weight[p] if p in split else -np.inf for p in (a, b))
+            if x == y == -np.inf:
+                return True
+            if x > y:
+                limit, a = x, split[a][1]
+            else:
+                # on the right side a merge of equal weight further left comes first
+                limit, b = np.nextafter(y, np.inf), split[b][0]
 
     def path(self, text: str) -> list[int]:
         """Shortest path for a part of a normalised text: the last piece of the encoding of each prefix."""
         n = len(text)
         last: list[str] = [""] * (n + 1)
-        weight, stable = self.weight, self.stable
+        weight, stable, ends, split = self.weight, self.stable, self.ends, self.split
         for end in range(1, n + 1):
-            for begin in range(max(0, end - self.longest), end):
+            begin, some = end - 1, [end - 1]
+            while begin > 0:
+                begin -= 1
                 piece = text[begin:end]
-                if piece in weight or begin == end - 1:
-                    # a piece must come out of its own characters, and stay beside the one before
-                    if stable("", piece) and (begin == 0 or stable(last[begin], piece)):
-                        last[end] = piece
-                        break
-            if not last[end]:
+                if piece not in ends:
+                    break
+                if piece in split:  # a piece must come out of its own characters
+                    some.append(begin)
+            for begin in reversed(some):
+                piece = text[begin:end]
+                if begin == 0 or stable(last[begin], piece):
+                    last[end] = piece
+                    break
+            else:
                 raise ValueError("no path: the model is no BPE model")
         out: list[str] = []
         while n:
@@ -167,23 +202,28 @@ class Transducer:
         if len(self.known) > CACHE_PARTS:
             self.reset()
         keys, raw = distinct.tolist(), data.tobytes()
-        for i, k in enumerate(keys):
-            if k not in self.known:
-                w = where[i]
-                ids = self.path(raw[start[w] : end[w]].decode().replace(" ", MARK))
-                begin = self.at[-1]
-                if begin + len(ids) > len(self.pool):
-                    self.pool = np.concatenate((self.pool, np.zeros(max(len(self.pool), len(ids)), np.int32)))
-                self.pool[begin : begin + len(ids)] = ids
-                self.at.append(begin + len(ids))
-                self.known[k] = len(self.at) - 2
-        index = np.fromiter(map(self.known.__getitem__, keys), np.int64, len(keys))
-        bounds = np.array(self.at, np.int64)
-        begin, size = bounds[index][inverse], (bounds[index + 1] - bounds[index])[inverse]
+        known = self.known
+        fresh = [i for i, k in enumerate(keys) if k not in known]
+        if fresh:
+            found = [self.path(raw[a:b].decode().replace(" ", MARK)) for a, b in zip(start[where[fresh]].tolist(), end[where[fresh]].tolist())]
+            self._keep([keys[i] for i in fresh], found)
+        index = np.fromiter(map(known.__getitem__, keys), np.int64, len(keys))
+        begin, size = self.at[index][inverse], (self.at[index + 1] - self.at[index])[inverse]
         total = np.zeros(len(size) + 1, np.int64)
         np.cumsum(size, out=total[1:])
         return self.pool[np.arange(total[-1]) - np.repeat(total[:-1] - begin, size)], total[first]
 
+    def _keep(self, keys: list[int], found: list[list[int]]) -> None:
+        have, size = len(self.known), np.fromiter(map(len, found), np.int64, len(found))
+        filled = int(self.at[have])
+        while have + len(keys) + 1 > len(self.at):
+            self.at = np.concatenate((self.at, np.zeros(len(self.at), np.int64)))
+        while filled + int(size.sum()) > len(self.pool):
+            self.pool = np.concatenate((self.pool, np.zeros(len(self.pool), np.int32)))
+        self.at[have + 1 : have + 1 + len(keys)] = filled + np.cumsum(size)
+        self.pool[filled : filled + int(size.sum())] = np.concatenate(found)
+        self.known.update(zip(keys, range(have, have + len(keys))))
+
     def spelled(self) -> list[bytes]:
         """The output bytes of each id."""
         back = {i: b for b, i in self.byte.items()}
