@@ -80,6 +80,9 @@ def anchors(data: np.ndarray, offsets: np.ndarray, prefix: np.ndarray, length: i
 
 
 def anchor_rows(length: int, gram: int):
+    """One row per anchor. A context that a document repeats counts once there: its later occurrences are
+    covered whatever other documents hold, and come as united ranges (``own``)."""
+
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             data, offsets = flat(batch.column("text"))
@@ -88,15 +91,34 @@ def anchor_rows(length: int, gram: int):
             ids = batch.column("id").to_numpy(zero_copy_only=False)
             g = range_hash(prefix, at, at + gram)
             c = mix(range_hash(prefix, first, last - 1 + length) + (at - first).astype(U) * U(0x9E3779B97F4A7C15))
+            order = np.lexsort((first, c, g, doc))
+            again = np.zeros(len(at), bool)
+            x, y = order[1:], order[:-1]
+            again[x] = (doc[x] == doc[y]) & (g[x] == g[y]) & (c[x] == c[y])
+            # shifted by the document, so that runs of different documents do not touch
+            lo, hi = runs((first + doc)[again], (last - 1 + length + doc)[again])
+            some = np.flatnonzero(again)
+            owner = doc[some[np.searchsorted((first + doc)[some], lo)]] if len(lo) else doc[:0]
+            mark = g[some[np.searchsorted((first + doc)[some], lo)]] if len(lo) else g[:0]
+            lo, hi = lo - owner, hi - owner
+            g, c, doc, first, n = g[~again], c[~again], doc[~again], first[~again], (last - first)[~again]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(signed(g)), pa.array(signed(c)), pa.array(ids[doc]), pa.array(first - offsets[doc]), pa.array((last - first).astype(np.int32))],
-                names=["g", "c", "id", "first", "n"],
+                [
+                    pa.array(np.concatenate((signed(g), signed(mark)))),
+                    pa.array(np.concatenate((signed(c), np.zeros(len(lo), np.int64)))),
+                    pa.array(np.concatenate((ids[doc], ids[owner]))),
+                    pa.array(np.concatenate((first - offsets[doc], lo - offsets[owner]))),
+                    pa.array(np.concatenate((n, hi - lo - length + 1)).astype(np.int32)),
+                    pa.array(np.arange(len(g) + len(lo)) >= len(g)),
+                ],
+                names=["g", "c", "id", "first", "n", "own"],
             )
 
     return rows
 
 
 def gram_rows(length: int, gram: int):
+    """The grams of the anchors (twice where a document repeats a context: it need not occur elsewhere)."""
     inner = anchor_rows(length, gram)
     return lambda batches: (b.select(["g"]) for b in inner(batches))
 
@@ -203,7 +225,16 @@ def group_rows(length: int):
             who.append(ids[owner][keep])
             lo.append(place[keep])
             hi.append(place[keep] + depth)
-        return (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (who, lo, hi))
+        who, lo, hi = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (who, lo, hi))
+        # the groups of a tree are nested and overlap: one row per covered run of a document
+        order = np.lexsort((lo, who))
+        who, lo, hi = who[order], lo[order], hi[order]
+        out = []
+        edge = np.flatnonzero(np.concatenate(([True], who[1:] != who[:-1], [True]))) if len(who) else []
+        for a, b in zip(edge[:-1], edge[1:]):
+            x, y = runs(lo[a:b], hi[a:b])
+            out.append((np.full(len(x), who[a]), x, y))
+        return (np.concatenate([x[i] for x in out]) if out else np.zeros(0, np.int64) for i in range(3))
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list = []
@@ -255,16 +286,17 @@ def window_rows(length: int):
 def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, dense: int = DENSE) -> DataFrame:
     """``(id, lo, hi)``: byte ranges of ``docs (id, text)`` that occur earlier; ranges may overlap."""
     docs = docs.select("id", "text")
-    row = "g long, c long, id long, first long, n int"
+    row = "g long, c long, id long, first long, n int, own boolean"
     shared = stage(docs.mapInArrow(gram_rows(length, gram), "g long").groupBy("g").count().where("count > 1").select("g"), "op10-grams")
     found = stage(docs.mapInArrow(anchor_rows(length, gram), row).join(shared, "g"), "op10-anchors")
-    place = F.struct("id", "first")
+    span = ("id", F.col("first").alias("lo"), (F.col("first") + F.col("n") - 1 + length).alias("hi"))
+    own, found = found.where("own").select(*span), found.where("not own").drop("own")
     classes = stage(found.groupBy("g", "c").agg(F.min(F.struct("id", "first", "n")).alias("low")), "op10-classes")
     several = stage(classes.groupBy("g").agg(F.count(F.lit(1)).alias("q")).where("q > 1"), "op10-several")
     later = (
         found.join(classes.select("g", "c", "low"), ["g", "c"])
         .where((F.col("low.id") != F.col("id")) | (F.col("low.first") != F.col("first")))
-        .select("id", F.col("first").alias("lo"), (F.col("first") + F.col("n") - 1 + length).alias("hi"))
+        .select(*span)
     )
     heads = classes.join(several, "g").select(F.col("low.id").alias("id"), F.struct("g", "q", "low.first", "low.n").alias("w"))
     wanted = stage(heads.groupBy("id").agg(F.collect_list("w").alias("wanted")), "op10-heads")
@@ -279,7 +311,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, dens
     )
     low = stage(many.groupBy("h", "k").agg(F.min(F.struct("id", "lo")).alias("low"), F.count(F.lit(1)).alias("n")).where("n > 1").select("h", "k", "low"), "op10-low")
     hot = many.join(low, ["h", "k"]).where(F.struct("id", "lo") != F.col("low")).select("id", "lo", (F.col("lo") + length).alias("hi"))
-    return later.union(spread).union(hot)
+    return own.union(later).union(spread).union(hot)
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
