@@ -16,8 +16,8 @@ and links with nothing).
 * **Candidates.** No pairs are made within a group. First each node is checked against one centre, the least node of
   the groups they share most; the links' components are taken. Then only nodes of different components
   under one key are paired, through the pairs of components of the key.
-* **Verification.** Symmetric-difference bounds from 1,024-bit parity sketches drop what cannot link, the
-  rest is intersected exactly.
+* **Verification.** Symmetric-difference bounds from parity sketches (about a bit per token) drop what cannot
+  link, the rest is intersected exactly.
 
 Cases: null and blank texts keep their row with 0 shingles and a component of their own; repeated rows link like any
 copies; an empty table gives an empty result; a component's id is its smallest non-null doc_id; other columns are ignored.
@@ -40,7 +40,8 @@ PERCENT = 80
 #: A token is frequent from so many documents on; at most so many tokens are (their hashes go to every task: 0.5 MB).
 FREQUENT_FROM = 50
 FREQUENT_MOST = 1 << 16
-SKETCH_BITS = 1024
+#: Parity sketches have as many bits as a set has tokens, rounded up to a power of two within these bounds.
+SKETCH_BITS = (256, 1 << 17)
 
 
 def shingles(data: np.ndarray, offsets: np.ndarray, size: int) -> Iterator[np.ndarray]:
@@ -70,6 +71,27 @@ def signature(tokens: np.ndarray) -> tuple[int, int]:
     return signed(both).tolist()
 
 
+def parity(tokens: np.ndarray) -> bytes:
+    """Parities of the counts of tokens modulo the number of bits; halves XORed give the sketch of half the bits."""
+    bits = min(max(SKETCH_BITS[0], 1 << (len(tokens) - 1).bit_length() if len(tokens) else 0), SKETCH_BITS[1])
+    odd = np.bincount((tokens & U(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(bool)).tobytes()
+
+
+def differences(x: list[bytes], y: list[bytes]) -> np.ndarray:
+    """Lower bounds of the symmetric differences of pairs of sets, from their sketches."""
+    out = np.zeros(len(x), np.int64)
+    sizes = np.array([(len(a), len(b)) for a, b in zip(x, y)], np.int64).reshape(-1, 2)
+    for a, b in np.unique(sizes, axis=0).tolist():
+        at = np.flatnonzero((sizes[:, 0] == a) & (sizes[:, 1] == b))
+        width, both = min(a, b), []
+        for sketches, n in ((x, a), (y, b)):
+            rows = np.frombuffer(b"".join(sketches[i] for i in at), np.uint8).reshape(len(at), n // width, width)
+            both.append(np.bitwise_xor.reduce(rows, axis=1))
+        out[at] = np.bitwise_count(both[0] ^ both[1]).sum(axis=1, dtype=np.int64)
+    return out
+
+
 def _nodes(size: int):
     def rows(batches):
         for batch in slices(batches):
@@ -79,8 +101,7 @@ def _nodes(size: int):
                 a, b = signature(tokens) if len(tokens) else (None, None)
                 sig.append(a)
                 check.append(b)
-                odd = np.bincount((tokens % U(SKETCH_BITS)).astype(np.int64), minlength=SKETCH_BITS) & 1
-                sketch.append(np.packbits(odd.astype(bool)).tobytes())
+                sketch.append(parity(tokens))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(sig, pa.int64()), pa.array(check, pa.int64()), pa.array(sketch, pa.binary())],
                 names=["doc_id", "n_shingles", "node", "check", "sketch"],
@@ -166,8 +187,7 @@ def _possible(percent: int):
     def rows(batches):
         for batch in batches:
             x, y = (batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("xn", "yn"))
-            bits = [np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, SKETCH_BITS // 8) for c in ("xs", "ys")]
-            differ = np.bitwise_count(bits[0] ^ bits[1]).sum(axis=1, dtype=np.int64)
+            differ = differences(*(batch.column(c).to_pylist() for c in ("xs", "ys")))
             # |x ^ y| = x + y - 2s and 100 s >= p (x + y - s)  =>  (100 + p) |x ^ y| <= (100 - p) (x + y)
             good = (100 * np.minimum(x, y) >= percent * np.maximum(x, y)) & ((100 + percent) * differ <= (100 - percent) * (x + y))
             yield batch.select(["a", "b"]).filter(pa.array(good))
