@@ -8,7 +8,8 @@ overlap but may come in any order, so reordered passages are caught. A document
 item when its tiles cover ``coverage`` of the item's tokens.
 
 The benchmark is read in blocks of at most about ``BLOCK_ITEMS`` items or ``BLOCK_CHARS`` characters, each of which
-goes to every task; the documents pass once per block, and no row is shuffled.
+goes to every task; the documents pass once per block, and no document is shuffled. With several blocks each pass is
+written, so the driver holds one block at a time.
 
 Cases: null and empty texts are clean; null item texts and items of fewer than ``SHORTEST`` tokens (which any
 text may hold by chance) are not searched for; repeated rows get equal verdicts; an empty benchmark or table gives
@@ -26,6 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from orderstar.llm.sparkops import stage
 from orderstar.llm.textops import LOWER, U, flat, mix, prefix_hash, range_hash, slices, words
 
 LEAST = 3
@@ -145,13 +147,14 @@ def search(block: Block, data: np.ndarray, offsets: np.ndarray, least: int, cove
                 yield int(doc[a]), int(item[a]), covered, tiles
 
 
-def blocks(benchmark: DataFrame, least: int = LEAST) -> list[Block]:
-    """The benchmark in blocks of bounded size."""
+def blocks(benchmark: DataFrame, least: int = LEAST) -> Iterator[tuple[Block, bool]]:
+    """The benchmark in blocks of bounded size, and whether there are several."""
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).where("text is not null")
     n, chars = items.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.length("text")), F.lit(0))).first()
     count = max(1, -(-n // BLOCK_ITEMS), -(-chars // BLOCK_CHARS))
     part = F.pmod(F.xxhash64("item_id", "text"), F.lit(count))
-    return [Block.of([(r.item_id, r.text) for r in items.where(part == k).orderBy("item_id", "text").collect()], least) for k in range(count)]
+    for k in range(count):
+        yield Block.of([(r.item_id, r.text) for r in items.where(part == k).orderBy("item_id", "text").collect()], least), count > 1
 
 
 def matches(docs: DataFrame, benchmark: DataFrame, least: int = LEAST, coverage: float = COVERAGE) -> DataFrame:
@@ -178,8 +181,10 @@ def matches(docs: DataFrame, benchmark: DataFrame, least: int = LEAST, coverage:
         return of
 
     out = None
-    for block in blocks(benchmark, least):
+    for block, several in blocks(benchmark, least):
         part = plain.mapInArrow(rows(block), schema)
+        if several:  # one block at a time in the driver
+            part = stage(part, "op8-matches")
         out = part if out is None else out.union(part)
     return out
 
@@ -196,8 +201,10 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, least: int = LEAST,
 
         return of
 
-    for block in blocks(benchmark, least):
+    for block, several in blocks(benchmark, least):
         docs = docs.mapInArrow(rows(block), docs.schema)
+        if several:
+            docs = stage(docs, "op8-kept")
     return docs
 
 
