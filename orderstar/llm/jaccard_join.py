@@ -13,9 +13,11 @@ and links with nothing).
   frequent. Such sets extend the prefix to ``0.4 n + 3`` tokens and index pairs of neighbouring
   frequent tokens. Of the shared tokens in order, fewer pairs can be broken by tokens of one side only
   (``|x u y| - |x n y| <= 0.25 |x n y|``) than there are pairs in that prefix, so one pair is whole in both.
-* **Candidates.** No pairs are made within a group. First each node is checked against one centre, the least node of
-  the groups they share most; the links' components are taken. Then only nodes of different components
-  under one key are paired, through the pairs of components of the key.
+* **Candidates.** No pairs of a group become rows. First each node is checked against one centre (the member of its groups
+  whose groups are largest), and the links' components are taken. Then the groups that still hold several
+  components meet in tasks, in blocks of at most ``GROUP`` nodes, with sketches only: each member outside the largest component
+  names the nearest member of another one; after these links, all possible links between different components that are
+  left are named. So every pair that may link is either checked or already within one component.
 * **Verification.** Symmetric-difference bounds from parity sketches (about a bit per token) drop what cannot
   link, the rest is intersected exactly.
 
@@ -42,6 +44,8 @@ FREQUENT_FROM = 50
 FREQUENT_MOST = 1 << 16
 #: Parity sketches have as many bits as a set has tokens, rounded up to a power of two within these bounds.
 SKETCH_BITS = (256, 1 << 17)
+#: Nodes of one block of a group.
+GROUP = 1000
 
 
 def shingles(data: np.ndarray, offsets: np.ndarray, size: int) -> Iterator[np.ndarray]:
@@ -188,13 +192,84 @@ def _possible(percent: int):
         for batch in batches:
             x, y = (batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("xn", "yn"))
             differ = differences(*(batch.column(c).to_pylist() for c in ("xs", "ys")))
-            # |x ^ y| = x + y - 2s and 100 s >= p (x + y - s)  =>  (100 + p) |x ^ y| <= (100 - p) (x + y)
-            good = (100 * np.minimum(x, y) >= percent * np.maximum(x, y)) & ((100 + percent) * differ <= (100 - percent) * (x + y))
-            yield batch.select(["a", "b"]).filter(pa.array(good))
+            yield batch.select(["a", "b"]).filter(pa.array(allowed(x, y, differ, percent)))
 
     return rows
 
 
+def allowed(x, y, differ, percent: int):
+    """Whether sets of sizes x and y may link: |x ^ y| = x + y - 2s and 100 s >= p (x + y - s)
+    =>  (100 + p) |x ^ y| <= (100 - p) (x + y)."""
+    return (100 * np.minimum(x, y) >= percent * np.maximum(x, y)) & ((100 + percent) * differ <= (100 - percent) * (x + y))
+
+
+def near_nodes(component: np.ndarray, side: np.ndarray, n: np.ndarray, sketches: list[bytes], percent: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """For every member of a group outside its largest component: the members of other components that may
+    link with it, and how much they differ. With two sides only members of different sides are compared."""
+    size = np.fromiter(map(len, sketches), np.int64, len(sketches))
+    at, rows, half = {}, {}, {}
+    for w in np.unique(size).tolist():
+        at[w] = np.flatnonzero(size == w)
+        rows[w] = np.frombuffer(b"".join(sketches[i] for i in at[w]), np.uint8).reshape(-1, w)
+        half[w] = np.bitwise_xor.reduce(rows[w].reshape(-1, 2, w // 2), axis=1)
+    place = np.zeros(len(size), np.int64)
+    for w in at:
+        place[at[w]] = np.arange(len(at[w]))
+    parts, counts = np.unique(component, return_counts=True)
+    largest = parts[np.argmax(counts)]
+    two = len(np.unique(side)) > 1
+    for i in np.flatnonzero(component != largest).tolist():
+        w, found, differ = int(size[i]), [], []
+        # sizes differ by a quarter at most, so sketches by a factor of two
+        for other, mine in ((w, rows[w][place[i]]), (2 * w, rows[w][place[i]]), (w // 2, half[w][place[i]])):
+            if other in at:
+                theirs = half[other] if other == 2 * w else rows[other]
+                found.append(at[other])
+                differ.append(np.bitwise_count(theirs ^ mine).sum(axis=1, dtype=np.int64))
+        j, d = np.concatenate(found), np.concatenate(differ)
+        good = (component[j] != component[i]) & allowed(n[i], n[j], d, percent)
+        if two:
+            good &= side[j] != side[i]
+        if good.any():
+            yield i, j[good], d[good]
+
+
+def _near(percent: int, best: bool):
+    """Possible links of each group (rows come sorted by key and part; a group is never cut): of each member the
+    nearest one only, or all."""
+
+    def pairs(rows: list) -> list[tuple[int, int, float]]:
+        node, component, side, n = (np.array([r[k] for r in rows]) for k in (2, 3, 4, 5))
+        out = []
+        for i, j, d in near_nodes(component, side, n, [r[6] for r in rows], percent):
+            if best:
+                k = int(np.lexsort((node[j], d / (n[j] + n[i])))[0])
+                out.append((int(node[i]), int(node[j[k]]), float(d[k] / (n[i] + n[j[k]]))))
+            else:
+                out += [(int(min(node[i], x)), int(max(node[i], x)), 0.0) for x in node[j]]
+        return out if best else list(dict.fromkeys(out))
+
+    def rows(batches):
+        held: list = []
+        for batch in batches:
+            out = []
+            for row in zip(*(batch.column(c).to_pylist() for c in ("key", "part", "node", "component", "side", "n", "sketch"))):
+                if held and held[-1][:2] != row[:2]:
+                    out += pairs(held)
+                    held = []
+                held.append(row)
+            yield _pair_batch(out)
+        if held:
+            yield _pair_batch(pairs(held))
+
+    return rows
+
+
+def _pair_batch(out: list[tuple[int, int, float]]) -> pa.RecordBatch:
+    a, b, d = zip(*out) if out else ((), (), ())
+    return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(d, pa.float64())], names=["a", "b", "d"])
+
+
 def _verified(percent: int):
     def rows(batches):
         for batch in batches:
@@ -221,6 +296,21 @@ def _links(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, size: int, perce
     return stage(whole.mapInArrow(_verified(percent), "a long, b long"), f"{name}-links")
 
 
+def _cross(index: DataFrame, known: DataFrame, nodes: DataFrame, name: str) -> DataFrame:
+    """Index rows of keys with several components, with component, size and sketch, dealt by key. A key with more
+    than ``GROUP`` nodes is dealt as pairs of blocks, so no task gets more than two blocks of a group."""
+    own = index.select("node").distinct().join(known, "node", "left").select("node", F.coalesce("component", "node").alias("component"))
+    placed = stage(index.select("key", "node").join(stage(own, f"{name}-own"), "node"), f"{name}-placed")
+    mixed = placed.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count(F.lit(1)).alias("c")).where("x < y")
+    mixed = stage(mixed.select("key", F.ceil(F.col("c") / GROUP).cast("int").alias("blocks")), f"{name}-mixed")
+    few = stage(placed.join(mixed, "key"), f"{name}-cross")
+    rows = few.join(nodes.select("node", "n", "sketch"), "node")
+    side = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    rows = rows.withColumn("side", side).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    part = F.least("side", "other") * F.col("blocks") + F.greatest("side", "other")
+    return rows.select("key", part.alias("part"), "node", "component", "side", "n", "sketch").repartition("key", "part").sortWithinPartitions("key", "part", "node")
+
+
 def similar_classes(docs: DataFrame, size: int = SIZE, percent: int = PERCENT, frequent_from: int = FREQUENT_FROM, frequent_most: int = FREQUENT_MOST) -> DataFrame:
     """Per row of ``docs (doc_id, text)``: ``doc_id, n_shingles, component_id``."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
@@ -239,30 +329,26 @@ def similar_classes(docs: DataFrame, size: int = SIZE, percent: int = PERCENT, f
     )
     frequent = [r.token for r in often.collect()]  # at most frequent_most hashes
     index = text.mapInArrow(_index(size, percent, frequent), "key long, node long, n int")
-    shared = index.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low < high").select("key", "low")
+    shared = index.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high"), F.count(F.lit(1)).alias("c")).where("low < high").select("key", "c")
     index = stage(index.join(stage(shared, f"{name}-keys"), "key").distinct(), f"{name}-index")
 
-    centre = index.where("node <> low").groupBy("node", "low").count().groupBy("node").agg(F.max_by("low", F.struct("count", "low")).alias("low"))
-    links = _links(centre.select(F.col("node").alias("a"), F.col("low").alias("b")), nodes, docs, size, percent, f"{name}-centre")
-    known = stage(components(links, name), f"{name}-known")
-
-    own = index.select("node").distinct().join(known, "node", "left").select("node", F.coalesce("component", "node").alias("component"))
-    placed = stage(index.select("key", "node", "n").join(stage(own, f"{name}-own"), "node"), f"{name}-placed")
-    mixed = placed.groupBy("key").agg(F.min("component").alias("c"), F.max("component").alias("d")).where("c < d").select("key")
-    placed = stage(placed.join(stage(mixed, f"{name}-mixed"), "key"), f"{name}-cross")
-    under = placed.groupBy("key", "component").agg(F.min("n").alias("small"), F.max("n").alias("large"))
-    under = stage(under, f"{name}-under")
-    x, y = (under.select("key", *(F.col(c).alias(f"{p}_{c}") for c in ("component", "small", "large"))) for p in "xy")
-    near = (100 * F.col("x_large") >= percent * F.col("y_small")) & (100 * F.col("y_large") >= percent * F.col("x_small"))
-    meet = x.join(y, "key").where((F.col("x_component") < F.col("y_component")) & near).select("key", "x_component", "y_component")
-    member = lambda p: placed.select("key", F.col("component").alias(f"{p}_component"), F.col("node").alias(f"{p}_node"), F.col("n").alias(f"{p}_n"))
-    fits = (100 * F.col("x_n") >= percent * F.col("y_n")) & (100 * F.col("y_n") >= percent * F.col("x_n"))
-    pairs = (
-        stage(meet, f"{name}-meet").join(member("x"), ["key", "x_component"]).join(member("y"), ["key", "y_component"]).where(fits)
-        .select(F.least("x_node", "y_node").alias("a"), F.greatest("x_node", "y_node").alias("b")).distinct()
-    )
-    more = _links(stage(pairs, f"{name}-pairs"), nodes, docs, size, percent, f"{name}-rest")
-    joined = stage(components(links.union(more), name), f"{name}-components")
+    # the centre of a group is the member with the largest groups (of near copies, mostly the original)
+    weight = stage(index.groupBy("node").agg(F.sum("c").alias("w")), f"{name}-weights")
+    heavy = stage(index.select("key", "node").join(weight, "node"), f"{name}-heavy")
+    tops = stage(heavy.groupBy("key").agg(F.max(F.struct("w", "node")).alias("top")).select("key", "top.*").withColumnRenamed("node", "centre"), f"{name}-tops")
+    centre = heavy.select("key", "node").join(tops, "key").where("node <> centre").groupBy("node", "centre").agg(F.max("w").alias("w"), F.count(F.lit(1)).alias("c"))
+    centre = centre.groupBy("node").agg(F.max_by("centre", F.struct("w", "c", "centre")).alias("centre"))
+    links = _links(centre.select(F.col("node").alias("a"), F.col("centre").alias("b")), nodes, docs, size, percent, f"{name}-centre")
+
+    # the nearest members of other components, then all possible links that are left
+    for step, best in (("nearest", True), ("rest", False)):
+        known = stage(components(links, name), f"{name}-known")
+        near = _cross(index, known, nodes, name).mapInArrow(_near(percent, best), "a long, b long, d double")
+        if best:
+            near = near.groupBy("a").agg(F.min_by("b", F.struct("d", "b")).alias("b")).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+        pairs = stage(near.select("a", "b").distinct(), f"{name}-{step}")
+        links = stage(links.union(_links(pairs, nodes, docs, size, percent, f"{name}-{step}")), f"{name}-links")
+    joined = stage(components(links, name), f"{name}-components")
 
     named = nodes.select("node", "doc_id").join(joined, "node", "left").select("node", "doc_id", F.coalesce("component", "node").alias("component"))
     named = stage(named, f"{name}-named")
