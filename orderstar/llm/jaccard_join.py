@@ -43,7 +43,7 @@ PERCENT = 80
 FREQUENT_FROM = 50
 FREQUENT_MOST = 1 << 16
 #: Parity sketches have as many bits as a set has tokens, rounded up to a power of two within these bounds.
-SKETCH_BITS = (256, 1 << 17)
+SKETCH_BITS = (1024, 1 << 17)
 #: Nodes of one block of a group.
 GROUP = 1000
 
