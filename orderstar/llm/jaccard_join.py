@@ -126,12 +126,21 @@ def _frequent(size: int, least: int):
                         seen.add(sig)
                         held.append(tokens)
             if held:
-                token, n = np.unique(np.concatenate(held), return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(signed(token[n >= least])), pa.array(n[n >= least])], names=["token", "n"])
+                token, n = repeated(held, least)
+                yield pa.RecordBatch.from_arrays([pa.array(signed(token)), pa.array(n)], names=["token", "n"])
 
     return rows
 
 
+def repeated(sets: list[np.ndarray], least: int) -> tuple[np.ndarray, np.ndarray]:
+    """Tokens in at least ``least`` of the sets, and in how many; sorts in place and frees the list, as batches are large."""
+    every = np.concatenate(sets)
+    sets.clear()
+    every.sort()
+    token = np.unique(every[: max(len(every) - least + 1, 0)][every[least - 1 :] == every[: max(len(every) - least + 1, 0)]])
+    return token, np.searchsorted(every, token, side="right") - np.searchsorted(every, token)
+
+
 def prefix_keys(tokens: np.ndarray, frequent: np.ndarray, percent: int) -> np.ndarray:
     """Index keys of one set (sorted distinct hashes): single rare tokens, pairs of frequent ones."""
     n = len(tokens)
