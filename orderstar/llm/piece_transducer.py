@@ -35,7 +35,7 @@ from orderstar.llm.textops import flat, prefix_hash, range_hash, slices
 
 MARK = "▁"
 CACHE_PARTS = 1 << 19
-CACHE_PAIRS = 1 << 20
+CACHE_PAIRS = 1 << 18
 
 
 def _fields(data: bytes) -> Iterator[tuple[int, object]]:
