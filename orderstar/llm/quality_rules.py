@@ -133,7 +133,7 @@ def _sql() -> str:
     return f"""
 WITH t AS (SELECT CAST(doc_id AS BIGINT) AS doc_id, COALESCE(text, '') AS t, row_number() OVER () AS r FROM documents),
 m AS (SELECT r, doc_id, regexp_extract_all(t, '[^\\x20\\x09-\\x0D]+') AS w,
-      list_filter(string_split(t, chr(10)), x -> regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS lines,
+      list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS lines,
       CAST(length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
       CAST(length(regexp_replace(t, '[^A-Z]', '', 'g')) AS BIGINT) AS n_upper,
       CAST(length(regexp_replace(t, '[^!?]', '', 'g')) AS BIGINT) AS n_marks FROM t),
