@@ -1,7 +1,13 @@
 """Substring deduplication by sliding sentence spans.
 
-A sentence ends with a word whose last character is ``.``, ``!`` or ``?``, or at a line break. From every sentence
-on, the shortest run of at least ``RUN`` sentences and ``MIN_WORDS`` words is a span, known by a 128-bit hash of its words.
+A sentence ends with a word whose last character, closing quotes and brackets aside, is ``.``, ``!``, ``?`` or such a mark of
+another script (full-width ones also inside a word), or at a line break. Each character of a script without blanks is a
+word. Long sentences and text without marks are cut further at content-defined words: in every ``WINDOW`` neighbouring words
+that are ``EDGE`` words from both ends of the sentence, a new unit begins at the word with the smallest hash. Where a unit
+begins depends on at most ``EDGE + WINDOW`` words around it, so a passage is cut alike between any neighbours; sentences of
+under ``2 * EDGE + WINDOW - 1`` words stay whole. Units count as sentences in all that follows.
+
+From every sentence on, the shortest run of at least ``RUN`` sentences and ``MIN_WORDS`` words is a span, known by a 128-bit hash of its words.
 Spans that occur again are joined globally; the first occurrence (smallest doc_id, then place) stays, and a
 sentence covered by any other occurrence of a repeated span is removed.
 
@@ -23,25 +29,62 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orderstar.llm.sparkops import stage
-from orderstar.llm.textops import U, flat, mix, powers, prefix_hash, range_hash, runs, signed, slices, words
+from orderstar.llm.textops import U, code_points, flat, mix, powers, prefix_hash, range_hash, runs, signed, slices, units
 
 RUN = 2
 MIN_WORDS = 12
 
-STOP = np.zeros(256, bool)
-STOP[[ord(c) for c in ".!?"]] = True
-
-
-def sentences(data: np.ndarray, offsets: np.ndarray):
+#: Words between a cut inside a sentence and its ends, and words of which one begins a unit.
+EDGE = 4
+WINDOW = 8
+
+STOP, CLOSING = np.zeros(1 << 16, bool), np.zeros(1 << 16, bool)
+STOP[[*map(ord, ".!?…‼؟۔।॥።။។。！？．｡")]] = True
+CLOSING[[*map(ord, "\"')]}>*_`«»‘’“”›〉》」』】〕＂＇）］｝")]] = True
+PLAIN = np.zeros(256, bool)
+PLAIN[[*b"0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"]] = True
+
+
+def stops(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Whether each word ends a sentence: its last character that is not a closing sign is a stop."""
+    out = np.zeros(len(start), bool)
+    todo = np.flatnonzero(~PLAIN[data[end - 1]])
+    stop = end[todo]
+    while len(todo):
+        at = stop - 1
+        for _ in range(2):  # back to the first byte of the character (three bytes at most matter)
+            at = np.where(((data[at] & 0xC0) == 0x80) & (at > start[todo]), at - 1, at)
+        code = code_points(data, at)
+        out[todo] = STOP[code]
+        more = CLOSING[code] & (at > start[todo])
+        todo, stop = todo[more], at[more]
+    return out
+
+
+def cuts(prefix: np.ndarray, start: np.ndarray, end: np.ndarray, begin: np.ndarray) -> np.ndarray:
+    """The words inside long sentences at which a new unit begins."""
+    size = np.diff(begin)
+    long = np.flatnonzero(size >= 2 * EDGE + WINDOW - 1)
+    n = size[long] - 2 * EDGE - WINDOW + 2  # windows of each
+    at = np.arange(int(n.sum())) + np.repeat(begin[long] + EDGE - (np.cumsum(n) - n), n)
+    best, low = at, range_hash(prefix, start[at], end[at])
+    for k in range(1, WINDOW):
+        h = range_hash(prefix, start[at + k], end[at + k])
+        best, low = np.where(h < low, at + k, best), np.minimum(h, low)
+    return np.unique(best)
+
+
+def sentences(data: np.ndarray, offsets: np.ndarray, prefix: np.ndarray):
     """Word starts and ends, the first word of each sentence (and the end), the first sentence of each document."""
-    start, end, first = words(data, offsets)
+    start, end, first = units(data, offsets)
     if not len(start):
         return start, end, np.zeros(1, np.int64), np.zeros(len(offsets), np.int64)
     lines = np.concatenate(([0], np.cumsum(data == 10)))
-    last = STOP[data[end - 1]]
+    last = stops(data, start, end)
     last[:-1] |= lines[start[1:]] > lines[end[:-1]]
     last[first[1:][np.diff(first) > 0] - 1] = True
     begin = np.concatenate(([0], np.flatnonzero(last) + 1))
+    begin = np.sort(np.concatenate((begin, cuts(prefix, start, end, begin))))
     return start, end, begin, np.searchsorted(begin[:-1], first)
 
 
@@ -59,9 +102,10 @@ def span_rows(run: int, least: int):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             data, offsets = flat(batch.column("text"))
-            start, end, begin, first = sentences(data, offsets)
+            prefix = prefix_hash(data)
+            start, end, begin, first = sentences(data, offsets, prefix)
             doc, a, b = spans(begin, first, run, least)
-            h = range_hash(prefix_hash(data), start, end)
+            h = range_hash(prefix, start, end)
             forward, inverse = powers(len(h) + 1)
             both = []
             for salt in (1, 2):
@@ -84,7 +128,7 @@ def hash_rows(run: int, least: int):
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in slices(batches):
         data, offsets = flat(batch.column("text"))
-        start, end, begin, first = sentences(data, offsets)
+        start, end, begin, first = sentences(data, offsets, prefix_hash(data))
         lists = batch.column("spans").to_pylist()
         raw = batch.column("text")
         n_sentences, removed, n_spans, kept = np.diff(first), [], [], []

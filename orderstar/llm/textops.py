@@ -21,6 +21,13 @@ SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[0x41:0x5B] += 0x20
+#: Code points of scripts written without blanks (Thai to Lao, Burmese, Khmer, Chinese and Japanese with full-width signs).
+UNSPACED = np.zeros(1 << 16, bool)
+for _a, _b in ((0x0E00, 0x0F00), (0x1000, 0x10A0), (0x1780, 0x1800), (0x2E80, 0xA4D0), (0xF900, 0xFB00), (0xFF00, 0xFFF0)):
+    UNSPACED[_a:_b] = True
+#: Marks that stay with the character before them.
+JOINED = np.zeros(1 << 16, bool)
+JOINED[[*map(ord, ".,;:!?\"')]}>»’”›…、。〉》」』】〕！＂＇），．：；？］｝｡")]] = True
 #: Bytes of text handled at once; a single longer document is handled alone.
 SLICE_BYTES = 1 << 20
 
@@ -104,6 +111,32 @@ def words(data: np.ndarray, offsets: np.ndarray, space: np.ndarray = SPACE) -> t
     return starts, ends, np.searchsorted(starts, offsets)
 
 
+def code_points(data: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Code points of the characters that start at ``at`` (0 for those beyond 16 bits or cut off)."""
+    byte = [np.where(at + k < len(data), data[np.minimum(at + k, len(data) - 1)], 0).astype(np.int64) for k in range(3)]
+    two = (byte[0] & 0x1F) << 6 | byte[1] & 0x3F
+    three = (byte[0] & 0x0F) << 12 | (byte[1] & 0x3F) << 6 | byte[2] & 0x3F
+    return np.where(byte[0] < 0x80, byte[0], np.where(byte[0] < 0xE0, two, np.where(byte[0] < 0xF0, three, 0)))
+
+
+def units(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """:func:`words`, but every character of a script without blanks is a word, with the marks that close it."""
+    start, end, first = words(data, offsets)
+    lead = np.flatnonzero(data >= 0xE0)
+    if not len(start) or not len(lead):
+        return start, end, first
+    four = data[lead] >= 0xF0
+    # beyond 16 bits: the ideographs of planes 2 and 3
+    own = np.where(four, (data[lead] == 0xF0) & (data[np.minimum(lead + 1, len(data) - 1)] >= 0xA0), UNSPACED[code_points(data, lead)])
+    cut = np.unique(np.concatenate((lead[own], (lead + 3 + four)[own])))
+    cut = cut[cut < len(data)]
+    cut = cut[~JOINED[code_points(data, cut)]]
+    word = np.searchsorted(start, cut, side="right") - 1
+    cut = cut[(word >= 0) & (cut > start[word]) & (cut < end[word])]
+    start, end = np.sort(np.concatenate((start, cut))), np.sort(np.concatenate((end, cut)))
+    return start, end, np.searchsorted(start, offsets)
+
+
 def slide(values: np.ndarray, width: int, pick) -> np.ndarray:
     """``pick`` (np.minimum or np.maximum) over every window of ``width`` neighbours, by doubling."""
     out, have = values, 1

@@ -64,3 +64,18 @@ def test_empty_and_repeated_rows(spark):
     text = "One two three four five six. Seven eight nine ten eleven twelve. End."
     got = S.digest(spark.createDataFrame([(4, text), (4, text), (None, text)], "doc_id long, text string")).collect()
     assert sorted((r.doc_id or 0, r.n_removed) for r in got) == [(0, 0), (4, 2), (4, 2)]
+
+
+def test_passages_within_sentences_and_other_marks(spark):
+    r = np.random.default_rng(3)
+    words = lambda n: " ".join(f"w{x}" for x in r.integers(0, 10**6, n))
+    han = lambda n: "".join(chr(x) for x in r.integers(0x4E00, 0x9FA0, n))
+    passage, quoted, wide = words(60), f'"{words(9)}." ({words(9)}!) "{words(9)}?"', f"{han(9)}。{han(9)}！「{han(9)}。」"
+    texts = [f"{words(20)} {passage} {words(20)}", f"{words(9)}. {words(3)} {passage}, {words(40)}!", f"{words(6)}. {quoted} {words(6)}.", f"{words(8)}. {quoted} {words(8)}."]
+    texts += [f"{han(5)}。{wide}{han(6)}。", f"{han(7)}。{wide}{han(4)}。", f"{words(70)}", f"{han(70)}。"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {x.doc_id: x for x in S.digest(docs).collect()}
+    assert all(got[i].text == texts[i] for i in (0, 2, 4, 6, 7))
+    assert len(set(passage.split()) - set(got[1].text.split())) >= 30
+    assert got[3].text == texts[3].replace(quoted + " ", "")
+    assert got[5].text == texts[5].replace(wide, "")
