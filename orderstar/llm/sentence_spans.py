@@ -16,7 +16,8 @@ tables on both sides, so Spark can split a hash with very many occurrences. A do
 
 Cases: null and empty texts stay as they are with 0 sentences; a text of fewer than ``RUN`` sentences or
 ``MIN_WORDS`` words has no span; a null id comes before all others; repeated rows (equal id and text) are one
-occurrence and stay alike; an empty table gives an empty result; other columns are ignored.
+occurrence and stay alike; different texts under one id, a null id too, are documents of their own (a document is its id
+and the hash of its text, ``row``), ordered by the hash; an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -111,10 +112,11 @@ def span_rows(run: int, least: int):
             for salt in (1, 2):
                 total = np.concatenate((np.zeros(1, U), np.cumsum(mix(h + U(salt)) * forward[:-1])))
                 both.append(mix((total[begin[b]] - total[begin[a]]) * inverse[begin[a]] + (begin[b] - begin[a]).astype(U)))
-            ids = batch.column("id").to_numpy(zero_copy_only=False)
+            ids, texts = (batch.column(x).to_numpy(zero_copy_only=False) for x in ("id", "row"))
             place = (a - first[doc]).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(signed(both[0])), pa.array(signed(both[1])), pa.array(ids[doc]), pa.array(place), pa.array((b - first[doc]).astype(np.int32))], names=["h", "k", "id", "lo", "hi"]
+                [pa.array(signed(both[0])), pa.array(signed(both[1])), pa.array(ids[doc]), pa.array(texts[doc]), pa.array(place), pa.array((b - first[doc]).astype(np.int32))],
+                names=["h", "k", "id", "row", "lo", "hi"],
             )
 
     return rows
@@ -158,12 +160,13 @@ def remove_spans(docs: DataFrame, run: int = RUN, least: int = MIN_WORDS) -> Dat
     """Per document: ``doc_id, n_sentences, n_removed, n_spans`` (maximal removed runs) and the kept ``text``."""
     nothing = F.lit(-(1 << 63)).cast("long")
     docs = docs.select(F.coalesce(F.col("doc_id").cast("long"), nothing).alias("id"), F.col("text").cast("string").alias("text"))
+    docs = docs.withColumn("row", F.xxhash64(F.coalesce("text", F.lit(""))))
     again = stage(docs.mapInArrow(hash_rows(run, least), "h long").groupBy("h").count().where("count > 1").select("h"), "op9-hashes")
-    found = stage(docs.mapInArrow(span_rows(run, least), "h long, k long, id long, lo int, hi int").join(again, "h"), "op9-found")
-    low = stage(found.groupBy("h", "k").agg(F.min(F.struct("id", "lo")).alias("low")), "op9-low")
-    later = found.join(low, ["h", "k"]).where(F.struct("id", "lo") != F.col("low")).select("id", "lo", "hi")
-    lists = stage(later.groupBy("id").agg(F.collect_set(F.struct("lo", "hi")).alias("spans")), "op9-spans")
-    cut = docs.join(lists, "id", "left").mapInArrow(_cut, "doc_id long, n_sentences long, n_removed long, n_spans long, text string")
+    found = stage(docs.mapInArrow(span_rows(run, least), "h long, k long, id long, row long, lo int, hi int").join(again, "h"), "op9-found")
+    low = stage(found.groupBy("h", "k").agg(F.min(F.struct("id", "row", "lo")).alias("low")), "op9-low")
+    later = found.join(low, ["h", "k"]).where(F.struct("id", "row", "lo") != F.col("low")).select("id", "row", "lo", "hi")
+    lists = stage(later.groupBy("id", "row").agg(F.collect_set(F.struct("lo", "hi")).alias("spans")), "op9-spans")
+    cut = docs.join(lists, ["id", "row"], "left").mapInArrow(_cut, "doc_id long, n_sentences long, n_removed long, n_spans long, text string")
     return cut.withColumn("doc_id", F.nullif("doc_id", nothing))
 
 

@@ -1,7 +1,7 @@
 """Substring deduplication by the common-prefix interval tree of an enhanced suffix array.
 
 A byte is removed when a string of ``length`` bytes that covers it also starts earlier (in a document of a
-smaller id, or earlier in the same document). Matches may overlap and never cross documents.
+smaller id, or earlier in the same document; of the texts under one id, that of the smaller hash is first). Matches may overlap and never cross documents.
 
 The suffixes are sampled by content so that the corpus never meets in one array. Every window of ``length``
 bytes belongs to the smallest of its ``GRAM``-byte grams (the leftmost of equal ones), its *anchor*; equal
@@ -20,9 +20,9 @@ one anchor occurrence are a range, and the bytes they span are its *context*.
 4. The covered runs of a document are united and cut out.
 
 Cases: a null text counts as empty and keeps its row; texts under ``length`` bytes are kept whole; a null id
-comes before all others; repeated rows (equal id and text) are one occurrence and are kept alike (different
-texts under one id are not supported: ids identify documents, ranges are clipped to the text); an empty table gives
-an empty result; other columns are ignored.
+comes before all others; repeated rows (equal id and text) are one occurrence and are kept alike; different texts under
+one id, a null id too, are documents of their own (a document is its id and the hash of its text, ``row``); an empty
+table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -88,7 +88,7 @@ def anchor_rows(length: int, gram: int):
             data, offsets = flat(batch.column("text"))
             prefix = prefix_hash(data)
             at, doc, first, last = anchors(data, offsets, prefix, length, gram)
-            ids = batch.column("id").to_numpy(zero_copy_only=False)
+            ids, texts = (batch.column(x).to_numpy(zero_copy_only=False) for x in ("id", "row"))
             g = range_hash(prefix, at, at + gram)
             c = mix(range_hash(prefix, first, last - 1 + length) + (at - first).astype(U) * U(0x9E3779B97F4A7C15))
             order = np.lexsort((first, c, g, doc))
@@ -107,11 +107,12 @@ def anchor_rows(length: int, gram: int):
                     pa.array(np.concatenate((signed(g), signed(mark)))),
                     pa.array(np.concatenate((signed(c), np.zeros(len(lo), np.int64)))),
                     pa.array(np.concatenate((ids[doc], ids[owner]))),
+                    pa.array(np.concatenate((texts[doc], texts[owner]))),
                     pa.array(np.concatenate((first - offsets[doc], lo - offsets[owner]))),
                     pa.array(np.concatenate((n, hi - lo - length + 1)).astype(np.int32)),
                     pa.array(np.arange(len(g) + len(lo)) >= len(g)),
                 ],
-                names=["g", "c", "id", "first", "n", "own"],
+                names=["g", "c", "id", "row", "first", "n", "own"],
             )
 
     return rows
@@ -140,10 +141,10 @@ def context_rows(length: int):
             np.cumsum(size, out=at[1:])
             take = np.arange(at[-1]) - np.repeat(at[:-1] - begin, size)
             binary = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(size), [None, pa.py_buffer(at), pa.py_buffer(data[take])])
-            ids = batch.column("id").to_numpy(zero_copy_only=False)
+            ids, texts = (batch.column(x).to_numpy(zero_copy_only=False) for x in ("id", "row"))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(fields["g"]), pa.array(fields["q"]), pa.array(ids[doc]), pa.array(fields["first"]), binary.cast(pa.binary())],
-                names=["g", "q", "id", "first", "context"],
+                [pa.array(fields["g"]), pa.array(fields["q"]), pa.array(ids[doc]), pa.array(texts[doc]), pa.array(fields["first"]), binary.cast(pa.binary())],
+                names=["g", "q", "id", "row", "first", "context"],
             )
 
     return rows
@@ -211,7 +212,13 @@ def _intervals(data: np.ndarray, p: np.ndarray, room: np.ndarray, length: int):
 def group_rows(length: int):
     """Cover of the contexts of each gram: rows come sorted by gram, and a gram is never cut."""
 
-    def cover(g, ids, first, texts):
+    def cover(ids, rows, first, texts):
+        # documents by their rank
+        order = np.lexsort((rows, ids))
+        ids, rows, rank = ids[order], rows[order], np.zeros(len(ids), np.int64)
+        new = np.concatenate(([True], (ids[1:] != ids[:-1]) | (rows[1:] != rows[:-1])))[: len(ids)]
+        rank[order] = np.cumsum(new) - 1
+        ids, rows = ids[new], rows[new]
         sizes = np.fromiter(map(len, texts), np.int64, len(texts))
         offsets = np.zeros(len(texts) + 1, np.int64)
         np.cumsum(sizes, out=offsets[1:])
@@ -220,9 +227,9 @@ def group_rows(length: int):
         for depth, members in suffix_groups(data, offsets, length):
             owner = np.searchsorted(offsets, members, side="right") - 1
             place = first[owner] + members - offsets[owner]
-            least = np.lexsort((place, ids[owner]))[0]
-            keep = (ids[owner] != ids[owner[least]]) | (place != place[least])
-            who.append(ids[owner][keep])
+            least = np.lexsort((place, rank[owner]))[0]
+            keep = (rank[owner] != rank[owner[least]]) | (place != place[least])
+            who.append(rank[owner][keep])
             lo.append(place[keep])
             hi.append(place[keep] + depth)
         who, lo, hi = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (who, lo, hi))
@@ -234,7 +241,8 @@ def group_rows(length: int):
         for a, b in zip(edge[:-1], edge[1:]):
             x, y = runs(lo[a:b], hi[a:b])
             out.append((np.full(len(x), who[a]), x, y))
-        return (np.concatenate([x[i] for x in out]) if out else np.zeros(0, np.int64) for i in range(3))
+        who, lo, hi = (np.concatenate([x[i] for x in out]) if out else np.zeros(0, np.int64) for i in range(3))
+        return ids[who], rows[who], lo, hi
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list = []
@@ -245,16 +253,16 @@ def group_rows(length: int):
             g = np.concatenate([x[0] for x in held])
             cut = len(g) if whole else int(np.searchsorted(-(g[::-1] == g[-1]).astype(int), 0))
             cut = len(g) if whole else len(g) - cut
-            ids, first = (np.concatenate([x[i] for x in held]) for i in (1, 2))
-            texts = [t for x in held for t in x[3]]
-            who, lo, hi = cover(g[:cut], ids[:cut], first[:cut], texts[:cut])
-            held = [(g[cut:], ids[cut:], first[cut:], texts[cut:])]
+            ids, rows, first = (np.concatenate([x[i] for x in held]) for i in (1, 2, 3))
+            texts = [t for x in held for t in x[4]]
+            out = cover(ids[:cut], rows[:cut], first[:cut], texts[:cut])
+            held = [(g[cut:], ids[cut:], rows[cut:], first[cut:], texts[cut:])]
             size = sum(map(len, texts[cut:]))
-            return pa.RecordBatch.from_arrays([pa.array(who), pa.array(lo), pa.array(hi)], names=["id", "lo", "hi"])
+            return pa.RecordBatch.from_arrays([*map(pa.array, out)], names=["id", "row", "lo", "hi"])
 
         for batch in batches:
             texts = batch.column("context").to_pylist()
-            held.append((*(batch.column(c).to_numpy(zero_copy_only=False) for c in ("g", "id", "first")), texts))
+            held.append((*(batch.column(c).to_numpy(zero_copy_only=False) for c in ("g", "id", "row", "first")), texts))
             size += sum(map(len, texts))
             if size > GATHER_BYTES:
                 yield done(False)
@@ -275,42 +283,43 @@ def window_rows(length: int):
             inside = np.arange(int(windows.sum())) - np.repeat(np.cumsum(windows) - windows, windows)
             start = np.repeat(offsets[:-1], windows) + inside
             second = mix(range_hash(prefix, start, start + length // 2) * U(3) + range_hash(prefix, start + length // 2, start + length))
-            ids, first = (np.repeat(batch.column(c).to_numpy(zero_copy_only=False), windows) for c in ("id", "first"))
+            ids, texts, first = (np.repeat(batch.column(c).to_numpy(zero_copy_only=False), windows) for c in ("id", "row", "first"))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(signed(range_hash(prefix, start, start + length))), pa.array(signed(second)), pa.array(ids), pa.array(first + inside)], names=["h", "k", "id", "lo"]
+                [pa.array(signed(range_hash(prefix, start, start + length))), pa.array(signed(second)), pa.array(ids), pa.array(texts), pa.array(first + inside)],
+                names=["h", "k", "id", "row", "lo"],
             )
 
     return rows
 
 
 def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, dense: int = DENSE) -> DataFrame:
-    """``(id, lo, hi)``: byte ranges of ``docs (id, text)`` that occur earlier; ranges may overlap."""
-    docs = docs.select("id", "text")
-    row = "g long, c long, id long, first long, n int, own boolean"
+    """``(id, row, lo, hi)``: byte ranges of ``docs (id, row, text)`` that occur earlier; ranges may overlap."""
+    docs = docs.select("id", "row", "text")
+    row = "g long, c long, id long, row long, first long, n int, own boolean"
     shared = stage(docs.mapInArrow(gram_rows(length, gram), "g long").groupBy("g").count().where("count > 1").select("g"), "op10-grams")
     found = stage(docs.mapInArrow(anchor_rows(length, gram), row).join(shared, "g"), "op10-anchors")
-    span = ("id", F.col("first").alias("lo"), (F.col("first") + F.col("n") - 1 + length).alias("hi"))
+    span = ("id", "row", F.col("first").alias("lo"), (F.col("first") + F.col("n") - 1 + length).alias("hi"))
     own, found = found.where("own").select(*span), found.where("not own").drop("own")
-    classes = stage(found.groupBy("g", "c").agg(F.min(F.struct("id", "first", "n")).alias("low")), "op10-classes")
+    classes = stage(found.groupBy("g", "c").agg(F.min(F.struct("id", "row", "first", "n")).alias("low")), "op10-classes")
     several = stage(classes.groupBy("g").agg(F.count(F.lit(1)).alias("q")).where("q > 1"), "op10-several")
     later = (
         found.join(classes.select("g", "c", "low"), ["g", "c"])
-        .where((F.col("low.id") != F.col("id")) | (F.col("low.first") != F.col("first")))
+        .where(F.struct("low.id", "low.row", "low.first") != F.struct("id", "row", "first"))
         .select(*span)
     )
-    heads = classes.join(several, "g").select(F.col("low.id").alias("id"), F.struct("g", "q", "low.first", "low.n").alias("w"))
-    wanted = stage(heads.groupBy("id").agg(F.collect_list("w").alias("wanted")), "op10-heads")
+    heads = classes.join(several, "g").select("low.id", "low.row", F.struct("g", "q", "low.first", "low.n").alias("w"))
+    wanted = stage(heads.groupBy("id", "row").agg(F.collect_list("w").alias("wanted")), "op10-heads")
     contexts = stage(
-        docs.join(wanted, "id").select("id", "text", "wanted").mapInArrow(context_rows(length), "g long, q long, id long, first long, context binary"),
+        docs.join(wanted, ["id", "row"]).select("id", "row", "text", "wanted").mapInArrow(context_rows(length), "g long, q long, id long, row long, first long, context binary"),
         "op10-contexts",
     )
-    few = contexts.where(F.col("q") <= dense).select("g", "id", "first", "context")
-    spread = few.repartition("g").sortWithinPartitions("g").mapInArrow(group_rows(length), "id long, lo long, hi long")
+    few = contexts.where(F.col("q") <= dense).select("g", "id", "row", "first", "context")
+    spread = few.repartition("g").sortWithinPartitions("g").mapInArrow(group_rows(length), "id long, row long, lo long, hi long")
     many = stage(
-        contexts.where(F.col("q") > dense).select("id", "first", "context").mapInArrow(window_rows(length), "h long, k long, id long, lo long"), "op10-windows"
+        contexts.where(F.col("q") > dense).select("id", "row", "first", "context").mapInArrow(window_rows(length), "h long, k long, id long, row long, lo long"), "op10-windows"
     )
-    low = stage(many.groupBy("h", "k").agg(F.min(F.struct("id", "lo")).alias("low"), F.count(F.lit(1)).alias("n")).where("n > 1").select("h", "k", "low"), "op10-low")
-    hot = many.join(low, ["h", "k"]).where(F.struct("id", "lo") != F.col("low")).select("id", "lo", (F.col("lo") + length).alias("hi"))
+    low = stage(many.groupBy("h", "k").agg(F.min(F.struct("id", "row", "lo")).alias("low"), F.count(F.lit(1)).alias("n")).where("n > 1").select("h", "k", "low"), "op10-low")
+    hot = many.join(low, ["h", "k"]).where(F.struct("id", "row", "lo") != F.col("low")).select("id", "row", "lo", (F.col("lo") + length).alias("hi"))
     return own.union(later).union(spread).union(hot)
 
 
@@ -345,9 +354,10 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, dens
     """Per document: ``doc_id, n_bytes, n_removed, n_spans, kept`` (the remaining bytes)."""
     nothing = F.lit(-(1 << 63)).cast("long")
     docs = docs.select(F.coalesce(F.col("doc_id").cast("long"), nothing).alias("id"), F.col("text").cast("string").alias("text"))
+    docs = docs.withColumn("row", F.xxhash64(F.coalesce("text", F.lit(""))))
     spans = repeated_spans(docs, length, gram, dense)
-    lists = stage(spans.groupBy("id").agg(F.collect_set(F.struct("lo", "hi")).alias("spans")), "op10-spans")
-    cut = docs.join(lists, "id", "left").mapInArrow(_cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
+    lists = stage(spans.groupBy("id", "row").agg(F.collect_set(F.struct("lo", "hi")).alias("spans")), "op10-spans")
+    cut = docs.join(lists, ["id", "row"], "left").mapInArrow(_cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
     return cut.withColumn("doc_id", F.nullif("doc_id", nothing))
 
 

@@ -79,3 +79,12 @@ def test_passages_within_sentences_and_other_marks(spark):
     assert len(set(passage.split()) - set(got[1].text.split())) >= 30
     assert got[3].text == texts[3].replace(quoted + " ", "")
     assert got[5].text == texts[5].replace(wide, "")
+
+
+def test_texts_under_one_id_are_documents(spark):
+    shared = "One two three four five six. Seven eight nine ten eleven twelve."
+    texts = [f"Only here at the start. {shared}", f"{shared} Another ending that is longer than the first text is."]
+    for i in (None, 7):
+        got = S.digest(spark.createDataFrame([(i, t) for t in texts], "doc_id long, text string")).collect()
+        assert {r.doc_id for r in got} == {i} and sorted(r.n_removed for r in got) == [0, 2]
+        assert sorted(r.text.replace(shared, "").strip() for r in got) == sorted(t.replace(shared, "").strip() for t in texts)

@@ -62,3 +62,22 @@ def test_interval_tree_reports_nested_groups():
     offsets = np.cumsum([0, *map(len, text)])
     groups = S.suffix_groups(np.frombuffer(b"".join(text), np.uint8), offsets, 4)
     assert sorted((d, len(m)) for d, m in groups) == [(4, 3), (5, 2)]
+
+
+@pytest.mark.parametrize("dense", [2000, 1])
+def test_texts_under_one_id_are_documents(spark, dense):
+    r = np.random.default_rng(4)
+    make = lambda n: "".join(r.choice(list("abcdefgh"), n))
+    shared = make(150)
+    texts = [make(20) + shared + make(30), make(400) + shared + make(700), shared[10:140] + make(5)]
+    for i in (None, 7):
+        docs = spark.createDataFrame([(i, t) for t in texts], "doc_id long, text string").repartition(3)
+        got = S.remove_repeats(docs, dense=dense).collect()
+        # one occurrence stays whole, nothing that occurs once goes
+        assert {x.doc_id for x in got} == {i} and sorted(x.n_bytes for x in got) == sorted(map(len, texts))
+        for x in got:
+            text = next(t for t in texts if len(t) == x.n_bytes)
+            rest = text.replace(shared, "").replace(shared[10:140], "")
+            kept = x.kept.decode()
+            assert kept == text or kept.replace(shared[:10], "").replace(shared[140:], "") == rest
+        assert any(x.n_removed == 0 for x in got) and sum(x.n_removed for x in got) >= 260
