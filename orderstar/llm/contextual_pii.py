@@ -4,17 +4,20 @@
 that fail a check (parts up to 255; 12 to 19 digits with a valid check digit; 9 to 15 digits).
 
 *Contextual spans.* The base spans are the seed entities. A lexical pattern is the neighbourhood of an entity: its
-shape (runs of digits, letters and signs) with the words before it, after it, or both. The candidates are
-all words with at least ``MIN_DIGITS`` digits or an ``@`` that overlap no base span. Candidates and seeds with
-patterns that some seed shares form a graph, whose two sides are scored in turn for ``ROUNDS`` rounds,
-per kind:
+shape (runs of digits, letters and signs) with the words before it, after it, or both; for a number (no letter and no
+``@``) also the same words with any number. The candidates are
+all words with at least ``MIN_DIGITS`` digits or an ``@`` that overlap no base span. Candidates and seeds with their
+patterns form a graph, whose two sides are scored in turn for ``ROUNDS`` rounds, per kind:
 
+* the patterns of a round are those of two distinct words that are seeds or reached ``ACCEPT`` in the round before, so found
+  words bring contexts of their own;
 * a pattern's score is the mean score of its instances, damped by ``DAMPING`` unscored ones;
-* an instance's score is ``1 - prod(1 - pattern score)``; seeds keep 1.
+* an instance's score is ``1 - prod(1 - pattern score)``, where of a context's two patterns (with and without the shape) the
+  higher score counts; seeds keep 1.
 
 Instances count once per distinct word, so copies of a passage do not make a pattern strong. Candidates that reach
 ``ACCEPT`` are found spans of their best kind. The edges are aggregated per pattern and per instance (combined on
-the map side); the seeds' patterns are written before the join, so Spark can split a very common pattern.
+the map side); both sides of each join are written, so Spark can split a very common pattern.
 
 Cases: a null text counts as empty; a null id passes through; repeated rows get equal spans; ties between kinds go to the
 first listed; an empty table gives an empty result; further columns are ignored by :func:`find` and kept by :func:`mask`.
@@ -46,6 +49,7 @@ CARD = re.compile(r"(?<![0-9])[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 SPACE = re.compile(r"[\x20\x09-\x0D]")
+LETTER = re.compile(r"[^\W\d_]|@")
 SIGN = re.compile(r"[0-9@]")
 EMAIL_CHARS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 DIGITS = re.compile(r"[0-9]")
@@ -118,8 +122,8 @@ def candidates(text: str) -> Iterator[tuple[int, str]]:
             yield begin, word
 
 
-def instances(text: str, spans: list[tuple[int, int, int]]) -> Iterator[tuple[int, int, int, int, list[int]]]:
-    """``(start, end, kind index or -1, word hash, pattern hashes)`` of the seeds and candidates of a text."""
+def instances(text: str, spans: list[tuple[int, int, int]]) -> Iterator[tuple[int, int, int, int, list[dict]]]:
+    """``(start, end, kind index or -1, word hash, hashes of patterns and their contexts)`` of the seeds and candidates of a text."""
     todo = [(a, b, k) for a, k, b in spans]
     taken = sorted((a, b) for a, b, _ in todo)
     i = 0
@@ -136,28 +140,29 @@ def instances(text: str, spans: list[tuple[int, int, int]]) -> Iterator[tuple[in
         word = text[a:b]
         before = [x.lower().strip(".,;") for x in WORD.findall(text[max(0, a - 60) : a])[-2:]]
         after = [x.lower().strip(".,;") for x in WORD.findall(text[b : b + 40])[:1]]
-        form = shape(word)
         keys = []
         if before:
-            keys.append(f"l\x1f{before[-1]}\x1f{form}")
+            keys.append(f"l\x1f{before[-1]}")
         if len(before) == 2:
-            keys.append(f"ll\x1f{before[0]}\x1f{before[1]}\x1f{form}")
+            keys.append(f"ll\x1f{before[0]}\x1f{before[1]}")
         if after:
-            keys.append(f"r\x1f{after[0]}\x1f{form}")
+            keys.append(f"r\x1f{after[0]}")
         if before and after:
-            keys.append(f"lr\x1f{before[-1]}\x1f{after[0]}\x1f{form}")
-        yield a, b, kind, _hash(word), [_hash(k) for k in keys]
+            keys.append(f"lr\x1f{before[-1]}\x1f{after[0]}")
+        forms = [shape(word)] if LETTER.search(word) else [shape(word), "number"]
+        yield a, b, kind, _hash(word), [{"pattern": _hash(f"{k}\x1f{form}"), "context": _hash(k)} for k in keys for form in forms]
 
 
 ROW = (
     "doc_id long, row long, base array<struct<start:int,kind:int,end:int>>, "
-    "found array<struct<start:int,end:int,kind:int,word:long,patterns:array<long>>>"
+    "found array<struct<start:int,end:int,kind:int,word:long,patterns:array<struct<pattern:long,context:long>>>>"
 )
 
 
 def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     base_type = pa.list_(pa.struct([("start", pa.int32()), ("kind", pa.int32()), ("end", pa.int32())]))
-    found_type = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("kind", pa.int32()), ("word", pa.int64()), ("patterns", pa.list_(pa.int64()))]))
+    pattern_type = pa.list_(pa.struct([("pattern", pa.int64()), ("context", pa.int64())]))
+    found_type = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("kind", pa.int32()), ("word", pa.int64()), ("patterns", pattern_type)]))
     for batch in slices(batches):
         base, found = [], []
         for text in batch.column("text").to_pylist():
@@ -175,19 +180,21 @@ def _row_hash() -> Column:
 def bootstrap(scan: DataFrame, rounds: int = ROUNDS, accept: float = ACCEPT) -> DataFrame:
     """Found spans ``doc_id, row, start, end, kind`` (kind index) from the scanned instances."""
     each = scan.select("doc_id", "row", F.explode("found").alias("f")).select("doc_id", "row", "f.*")
-    edges = each.select("kind", "word", F.explode("patterns").alias("pattern")).distinct()
-    seeds = edges.where("kind >= 0").groupBy("pattern").agg(F.count_distinct("word").alias("n")).where("n > 1").select("pattern")
-    edges = stage(edges.join(stage(seeds, "op3-patterns"), "pattern").select("pattern", "word", "kind"), "op3-edges")
-    known = edges.where("kind >= 0").select("word", "kind", F.lit(1.0).alias("score")).distinct()
-    # all instances of a pattern, seeds and candidates, as the denominator
-    degree = stage(edges.groupBy("pattern").agg(F.count_distinct("word").alias("n")), "op3-degree")
-    pairs = stage(edges.select("pattern", "word").distinct(), "op3-pairs")
-    scores = stage(known, "op3-scores-0")
+    pairs = stage(each.select("word", F.explode("patterns").alias("p")).select("p.pattern", "p.context", "word").distinct(), "op3-edges")
+    # all instances of a pattern, seeds and candidates, as the denominator; a pattern of one word never counts
+    degree = stage(pairs.groupBy("pattern").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "op3-degree")
+    pairs = stage(pairs.join(degree.select("pattern"), "pattern"), "op3-pairs")
+    known = stage(each.where("kind >= 0").select("word", "kind", F.lit(1.0).alias("score")).distinct(), "op3-scores-0")
+    scores = known
     for k in range(rounds):
-        mass = stage(pairs.join(scores, "word").groupBy("pattern", "kind").agg(F.sum("score").alias("mass")), f"op3-mass-{k}")
+        active = scores.where(F.col("score") >= accept).select("word").distinct()
+        shared = stage(pairs.join(active, "word").groupBy("pattern").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("pattern"), f"op3-patterns-{k}")
+        held = stage(pairs.join(shared, "pattern"), f"op3-held-{k}")
+        mass = stage(held.join(scores, "word").groupBy("pattern", "kind").agg(F.sum("score").alias("mass")), f"op3-mass-{k}")
         strength = stage(mass.join(degree, "pattern").select("pattern", "kind", (F.col("mass") / (F.col("n") + DAMPING)).alias("p")), f"op3-strength-{k}")
         rest = F.sum(F.log1p(-F.least(F.col("p"), F.lit(1 - 1e-9))))
-        next_scores = pairs.join(strength, "pattern").groupBy("word", "kind").agg((1 - F.exp(rest)).alias("score"))
+        contexts = held.join(strength, "pattern").groupBy("word", "kind", "context").agg(F.max("p").alias("p"))
+        next_scores = contexts.groupBy("word", "kind").agg((1 - F.exp(rest)).alias("score"))
         fixed = known.select("word", F.col("kind").alias("seed_kind"))
         # a word that is a seed somewhere keeps its own kind
         merged = next_scores.join(fixed, "word", "left_anti").union(known)

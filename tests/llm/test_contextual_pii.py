@@ -70,3 +70,14 @@ def test_mask_keeps_columns(spark):
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert P.digest(docs).count() == 0 and P.mask(docs).count() == 0
+
+
+def test_found_words_bring_contexts(spark):
+    seeds = [f"call phone +4930{i}5551234{i} today" for i in range(12)]
+    found = [f"call phone 030-555{i}234 today" for i in range(8)]  # another shape, found by the seeds' contexts
+    again = [f"ring desk 030-555{i}234 now" for i in range(8)]
+    late = ["ring desk 0441/77123 now", "some shop 0441/77125 shut"]  # the first only by the contexts of the found ones
+    docs = spark.createDataFrame(list(enumerate([*seeds, *found, *again, *late])), "doc_id long, text string")
+    got = {r.doc_id: r.spans for r in P.digest(docs).collect()}
+    assert all(got[i] == "phone:11:22" for i in range(12, 20)) and all(got[i] == "phone:10:21" for i in range(20, 28))
+    assert got[28] == "phone:10:20" and got[29] == ""
