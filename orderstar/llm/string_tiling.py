@@ -1,18 +1,20 @@
 """Benchmark decontamination by greedy string tiling.
 
-Tokens are words, lower-cased, without ASCII punctuation at their ends. Seeds are the Karp-Rabin hashes of all
+Tokens are words, lower-cased, without ASCII punctuation at their ends; each character of a script without blanks is a
+token, without the full-width marks after it. Seeds are the Karp-Rabin hashes of all
 ``least``-token windows of the benchmark items; a hash run over a document joins them. The seeds of a document
 and an item lie on diagonals, whose unbroken stretches are the matches. Tiling marks the longest match,
 then the longest among what is left unmarked on both sides, and so on down to ``least`` tokens. Tiles do not
 overlap but may come in any order, so reordered passages are caught. A document is contaminated by an
-item when its tiles cover ``coverage`` of the item's tokens.
+item when its tiles cover ``coverage`` of the item's tokens; an item of fewer than ``SHORTEST`` tokens must be held as a
+whole, in one tile.
 
 The benchmark is read in blocks of at most about ``BLOCK_ITEMS`` items or ``BLOCK_CHARS`` characters, each of which
 goes to every task; the documents pass once per block, and no document is shuffled. With several blocks each pass is
 written, so the driver holds one block at a time.
 
-Cases: null and empty texts are clean; null item texts and items of fewer than ``SHORTEST`` tokens (which any
-text may hold by chance) are not searched for; repeated rows get equal verdicts; an empty benchmark or table gives
+Cases: null and empty texts are clean; null item texts and items of fewer than ``least`` tokens, which hold
+no seed, are not searched for; repeated rows get equal verdicts; an empty benchmark or table gives
 an empty result; further columns are ignored by :func:`matches` and kept by :func:`drop_contaminated`.
 """
 
@@ -28,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orderstar.llm.sparkops import stage
-from orderstar.llm.textops import LOWER, U, flat, mix, prefix_hash, range_hash, slices, words
+from orderstar.llm.textops import JOINED, LOWER, UNSPACED, U, code_points, flat, mix, prefix_hash, range_hash, slices, units
 
 LEAST = 3
 COVERAGE = 0.6
@@ -43,11 +45,14 @@ EDGE[[b for b in range(0x21, 0x7F) if not (0x30 <= b <= 0x39 or 0x41 <= b <= 0x5
 def tokens(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Token hashes of a slice and each document's first index."""
     low = LOWER[data]
-    start, end, first = words(low, offsets)
+    start, end, first = units(low, offsets)
     for _ in range(4):
         if len(start):
             start = start + ((end - start > 1) & EDGE[low[start]])
             end = end - ((end - start > 1) & EDGE[low[end - 1]])
+            wide = np.flatnonzero((end - start > 3) & (low[end - 1] >= 0x80))
+            code = code_points(low, end[wide] - 3)
+            end[wide[(low[end[wide] - 3] >= 0xE0) & JOINED[code] & UNSPACED[code]]] -= 3
     return range_hash(prefix_hash(low), start, end), first
 
 
@@ -75,7 +80,7 @@ class Block:
         size = np.diff(first)
         key, item, place = [], [], []
         for i, (a, b) in enumerate(zip(first[:-1].tolist(), first[1:].tolist())):
-            if b - a >= SHORTEST:
+            if b - a >= least:
                 w = windows(h[a:b], least)
                 key.append(w)
                 item.append(np.full(len(w), i))
@@ -140,10 +145,11 @@ def search(block: Block, data: np.ndarray, offsets: np.ndarray, least: int, cove
         size = int(block.sizes[item[a]])
         distinct = np.unique(place[a:b])
         bound = int(np.minimum(np.diff(np.append(distinct, distinct[-1] + least)), least).sum())
-        if bound >= coverage * size:
+        need = size if size < SHORTEST else coverage * size
+        if bound >= need:
             tiles = tile(np.column_stack((place[a:b], where[a:b])), least)
             covered = sum(t[0] for t in tiles)
-            if covered >= coverage * size:
+            if covered >= need and (size >= SHORTEST or len(tiles) == 1):
                 yield int(doc[a]), int(item[a]), covered, tiles
 
 

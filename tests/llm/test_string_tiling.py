@@ -78,3 +78,15 @@ def test_blocks_split_large_benchmarks(spark, monkeypatch):
     docs = spark.createDataFrame([(1, ITEM), (2, "clean")], "doc_id long, text string")
     assert len(T.digest(docs, bench).first().item_ids) == 10
     assert [r.doc_id for r in T.drop_contaminated(docs, bench).collect()] == [2]
+
+
+def test_short_items_and_text_without_blanks(spark):
+    short, han = "Which river runs through old Ghent town?", "比利时最长的河流叫什么名字？它流过哪座城市。"
+    docs = [
+        (1, "quiz: which river runs through old ghent town, and more"), (2, "which river runs through old ghent and through old ghent town"),
+        (3, f"问题：{han[:-1]}，请回答"), (4, "比利时的城市有很多河流。"), (5, f"答案在这里{han[14:]}以及{han[:14]}"),
+    ]
+    docs = spark.createDataFrame(docs, "doc_id long, text string")
+    bench = spark.createDataFrame([(1, short), (2, han)], "item_id long, text string")
+    assert {(r.doc_id, tuple(r.item_ids)) for r in T.digest(docs, bench).collect()} == {(1, (1,)), (3, (2,)), (5, (2,))}
+    assert sorted(r.doc_id for r in T.drop_contaminated(docs, bench).collect()) == [2, 4]
