@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from orderstar.llm import (
     contextual_pii,
+    conversation_trie,
     jaccard_join,
     piece_transducer,
     pseudo_likelihood,
@@ -18,7 +19,7 @@ from orderstar.llm import (
     token_files,
     toxicity,
 )
-from orderstar.llm.sparkops import documents
+from orderstar.llm.sparkops import documents, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": lambda spark, sf_dir: quality_rules.digest(documents(spark, sf_dir)),
@@ -31,8 +32,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_string_tiling": lambda spark, sf_dir: string_tiling.digest(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet")),
     "op9_sentence_spans": lambda spark, sf_dir: sentence_spans.digest(documents(spark, sf_dir)),
     "op10_suffix_intervals": lambda spark, sf_dir: suffix_intervals.digest(documents(spark, sf_dir)),
+    "op11_conversation_trie": lambda spark, sf_dir: conversation_trie.digest(table(spark, sf_dir, "conversations")),
 }
 
 ORACLE: dict[str, str] = {
     "op1_quality_rules": quality_rules.SQL,
+    "op11_conversation_trie": conversation_trie.SQL,
 }

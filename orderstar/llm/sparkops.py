@@ -37,9 +37,13 @@ def reachable(spark: SparkSession) -> None:
         env["PYTHONPATH"] = ":".join(filter(None, (root, env.get("PYTHONPATH"))))
 
 
-def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     reachable(spark)
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "documents")
 
 
 def _mark(edges: DataFrame) -> tuple:
