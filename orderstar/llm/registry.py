@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from orderstar.llm import (
+    code_compression,
     contextual_pii,
     conversation_trie,
     jaccard_join,
@@ -18,6 +19,7 @@ from orderstar.llm import (
     suffix_intervals,
     token_files,
     toxicity,
+    vector_packing,
 )
 from orderstar.llm.sparkops import documents, table
 
@@ -33,9 +35,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_sentence_spans": lambda spark, sf_dir: sentence_spans.digest(documents(spark, sf_dir)),
     "op10_suffix_intervals": lambda spark, sf_dir: suffix_intervals.digest(documents(spark, sf_dir)),
     "op11_conversation_trie": lambda spark, sf_dir: conversation_trie.digest(table(spark, sf_dir, "conversations")),
+    "op12_code_compression": lambda spark, sf_dir: code_compression.digest(table(spark, sf_dir, "embeddings")),
+    "op13_vector_packing": lambda spark, sf_dir: vector_packing.digest(documents(spark, sf_dir)),
 }
 
 ORACLE: dict[str, str] = {
     "op1_quality_rules": quality_rules.SQL,
     "op11_conversation_trie": conversation_trie.SQL,
+    "op12_code_compression": code_compression.SQL,
 }

@@ -1,0 +1,108 @@
+"""Codes, codebooks and errors against a plain integer version and SQL; the bounds against exact distances."""
+
+import hashlib
+import math
+import random
+
+import numpy as np
+import pyarrow as pa
+import pytest
+
+from orderstar.llm import code_compression as V
+
+COLUMNS = ("vec_id", "code", "error", "label_error", "codebooks_sha256")
+SCHEMA = "vec_id long, embedding array<float>, label int"
+
+
+def brute(rows, rounds=6):
+    kept = [(i, [math.floor(4096 * float(np.float32(x))) for x in v], label) for i, v, label in rows if v and all(x is not None and math.isfinite(x) for x in v)]
+    kept.sort(key=lambda r: (r[0] is None, r[0] or 0, r[1]))
+    w = len(kept[0][1]) // 8
+    cut = lambda v, p: v[p * w : (p + 1) * w]
+    books = [[cut(v, p) for _, v, _ in kept[:16]] for p in range(8)]
+    near = lambda x, book: min((sum((a - b) ** 2 for a, b in zip(x, c)), e) for e, c in enumerate(book))
+    for _ in range(rounds):
+        for p in range(8):
+            groups = {}
+            for _, v, _ in kept:
+                groups.setdefault(near(cut(v, p), books[p])[1], []).append(cut(v, p))
+            books[p] = [[sum(c) // len(groups[e]) for c in zip(*groups[e])] if e in groups else old for e, old in enumerate(books[p])]
+    sha = hashlib.sha256(",".join(str(c) for book in books for e in book for c in e).encode()).hexdigest()
+    found = [(i, label, [near(cut(v, p), books[p]) for p in range(8)]) for i, v, label in kept]
+    total = {}
+    for _, label, f in found:
+        total[label] = total.get(label, 0) + sum(d for d, _ in f)
+    return sorted(((i, "".join(f"{e:02x}" for _, e in f), sum(d for d, _ in f), total[label], sha) for i, label, f in found), key=str)
+
+
+def got(df):
+    return sorted((tuple(r[c] for c in COLUMNS) for r in df.collect()), key=str)
+
+
+def vectors(seed, n, width=16, spread=1.0):
+    rng = random.Random(seed)
+    centres = [[rng.gauss(0, spread) for _ in range(width)] for _ in range(9)]
+    return [(i, [c + rng.gauss(0, 0.2) for c in rng.choice(centres)], rng.choice([None, 1, 2, 3])) for i in range(n)]
+
+
+def test_codes_match_brute_force_and_sql(spark):
+    rows = vectors(1, 300) + [(1000, None, 1), (1001, [1.0] * 15 + [None], 1), (1002, [float("nan")] * 16, 2), (1003, [float("inf")] * 16, 2), (1004, [], 2)]
+    rows += [(2000 + i, rows[5][1], 3) for i in range(200)] + [(7, rows[9][1], None), (None, rows[11][1], 1)]  # copies, a repeated and a null id
+    random.Random(2).shuffle(rows)
+    df = spark.createDataFrame(rows, SCHEMA).repartition(5)
+    want = brute(rows)
+    clash = df.selectExpr("*", *(f"'z' AS {c}" for c in ("v", "near", "bounds", "sums", "code", "error", "l", "label_error")))
+    assert got(V.digest(clash)) == want
+    import duckdb
+
+    con = duckdb.connect()
+    con.register("given", pa.table({"vec_id": [r[0] for r in rows], "embedding": pa.array([r[1] for r in rows], pa.list_(pa.float32())), "label": pa.array([r[2] for r in rows], pa.int32())}))
+    con.execute("CREATE VIEW embeddings AS SELECT * FROM given")
+    cursor = con.execute(V.SQL)
+    names = [x[0] for x in cursor.description]
+    assert sorted((tuple(dict(zip(names, r))[c] for c in COLUMNS) for r in cursor.fetchall()), key=str) == want
+
+
+def test_few_vectors_and_none(spark):
+    rows = vectors(3, 5, 8)
+    assert got(V.digest(spark.createDataFrame(rows, SCHEMA))) == brute(rows)
+    assert got(V.digest(spark.createDataFrame([(1, None, 1)], SCHEMA))) == []
+    with pytest.raises(ValueError, match="8 equal parts"):
+        V.digest(spark.createDataFrame([(1, [1.0] * 9, 1)], SCHEMA))
+
+
+@pytest.mark.parametrize("b", [1, 3, 15])
+def test_bounds_never_change_an_assignment(b):
+    """Bounds hold before and after every move, ties go to the lower number, and most parts are decided without a distance."""
+    rng = np.random.default_rng(b)
+    entries = rng.integers(-3000, 3000, (16, 4))
+    entries[3] = entries[12]
+    x = entries[rng.integers(0, 16, 4000)] + rng.integers(-200, 200, (4000, 4))
+    x[:50] = (entries[0] + entries[1]) // 2
+    near, bounds, _ = V.search_all(x, entries, b)
+    searched = 0
+    for step in range(6):
+        new = entries + rng.integers(-60, 60, entries.shape) // (step + 1)
+        moves = np.sqrt(((new - entries) ** 2).sum(axis=1).astype(float)) * (1 + 1e-12)
+        near, bounds, reached = V.assign(x, near, bounds, new, moves)
+        entries = new
+        d2 = V.distances(x, entries)
+        assert np.array_equal(near[:, 0], d2.argmin(axis=1))
+        d = np.sqrt(d2.astype(float))
+        assert (bounds[:, 0] >= d[np.arange(len(x)), near[:, 0]]).all()
+        left = np.ones_like(d2, bool)
+        left[np.arange(len(x)), near[:, 0]] = False
+        for i in range(b):
+            rest = np.where(left, d, np.inf).min(axis=1)
+            assert (bounds[:, 1 + i] <= rest).all()
+            left[np.arange(len(x)), near[:, 1 + i]] = False
+        searched += reached[1:].sum()
+        smaller = V.fewer(near, bounds, max(1, b - 1))
+        assert smaller[0].shape[1] == max(1, b - 1) + 1 and (smaller[1][:, -1] <= bounds[:, -1]).all()
+    assert 0 < searched < 6 * len(x) / 2
+
+
+def test_adapting_b():
+    assert V.next_b(4, np.array([900, 80, 20, 0, 0, 5])) == 2
+    assert V.next_b(4, np.array([990, 10, 0, 0, 0, 5])) == 1
+    assert V.next_b(4, np.array([0, 0, 0, 0, 100, 0])) == 4
