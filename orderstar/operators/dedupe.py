@@ -14,9 +14,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from orderstar.operators.sizing import MAX_BROADCAST_ROWS, broadcast_if_within
+from orderstar.session import scratch_path
+
 _RN = "__orderstar_rn"
 
 
@@ -45,6 +48,54 @@ def keep_first(
     return df.withColumn(_RN, F.row_number().over(w)).filter(F.col(_RN) == 1).drop(_RN)
 
 
+def merge_first(
+    winners: DataFrame,
+    batch: DataFrame,
+    keys: Sequence[str],
+    order_by: Sequence[str | Column] = (),
+    tie_breakers: Sequence[str | Column] | None = None,
+    max_broadcast_rows: int = MAX_BROADCAST_ROWS,
+) -> DataFrame:
+    """``keep_first`` over all batches so far, from the winners of the earlier ones and one new batch.
+
+    The order with its tie-breakers is total, so the winner of a key among all rows is the winner among the earlier winner and the
+    batch: the result does not depend on how rows are dealt into batches, nor on the batches' order. Only the batch and
+    the winners of its keys are shuffled; other winners pass an anti join (map-side within the broadcast bound). NULL
+    keys are one key, as in ``keep_first``. ``batch`` is read several times: pass a written or small one."""
+    cols = winners.columns
+    new = keep_first(batch.select(*cols), keys, order_by, tie_breakers)
+    touched = new.select(*(F.col(k).alias(f"__{k}") for k in keys))
+    side = broadcast_if_within(touched, max_broadcast_rows)
+    same = F.lit(True)
+    for k in keys:
+        same = same & winners[k].eqNullSafe(F.col(f"__{k}"))
+    rivals = winners.join(side, same, "left_semi").unionByName(new)
+    return winners.join(side, same, "left_anti").unionByName(keep_first(rivals, keys, order_by, tie_breakers))
+
+
+def merge_latest(
+    winners: DataFrame, batch: DataFrame, keys: Sequence[str], ts_col: str, tie_breakers: Sequence[str | Column] | None = None, max_broadcast_rows: int = MAX_BROADCAST_ROWS
+) -> DataFrame:
+    """``latest_per_key`` over all batches so far (see :func:`merge_first`)."""
+    return merge_first(winners, batch, keys, [F.col(ts_col).desc_nulls_last()], tie_breakers, max_broadcast_rows)
+
+
+def latest_parquet(
+    spark: SparkSession, batch: DataFrame, winners_path: str | None, output_path: str, keys: Sequence[str], ts_col: str,
+    tie_breakers: Sequence[str | Column] | None = None, max_broadcast_rows: int = MAX_BROADCAST_ROWS,
+) -> DataFrame:
+    """Merges a batch into the written winners (None: the first batch) and writes the new winners to a new path. The batch's own
+    winners are written to the scratch folder first, so the batch is read once."""
+    staged = scratch_path(spark, "latest-batch")
+    latest_per_key(batch, keys, ts_col, tie_breakers).write.parquet(staged)
+    new = spark.read.schema(batch.schema).parquet(staged)
+    if winners_path is not None:
+        winners = spark.read.schema(batch.schema).parquet(winners_path)
+        new = merge_latest(winners, new, keys, ts_col, tie_breakers, max_broadcast_rows)
+    new.write.mode("errorifexists").parquet(output_path)
+    return spark.read.schema(batch.schema).parquet(output_path)
+
+
 def latest_per_key(
     df: DataFrame,
     keys: Sequence[str],

@@ -9,7 +9,8 @@ Plan shape for the line fact (the large one):
   ``order_id`` (sort-merge at scale). This shuffles lines twice. AQE splits a hot ``order_id`` on the line side
   when the headers come from a written table (``headers=``, as the medallion run does): both join inputs
   are then a sort directly over an exchange. In the one-plan form the headers reuse their dedupe
-  partitioning instead, which saves their second shuffle and gives the split up.
+  partitioning instead, which saves their second shuffle and gives that split up; ``heavy_rows`` brings it back
+  (hot orders are found first and joined by broadcast).
 * the ``amount > 0 OR units > 0`` filter sits right after that join (it needs both sides, so it cannot
   go lower) and before the product lookup, so the product join sees only surviving lines.
 * dimensions are joined by key only (the fact keeps the foreign key when the member exists, else NULL);
@@ -35,7 +36,7 @@ from orderstar.functions.keys import (
 )
 from orderstar.operators.dedupe import keep_first, latest_per_key
 from orderstar.operators.dimensions import bounded_calendar
-from orderstar.operators.sizing import MAX_BROADCAST_ROWS, broadcast_if_within
+from orderstar.operators.sizing import MAX_BROADCAST_ROWS, broadcast_if_within, row_count
 from orderstar.operators.standardize import (
     ORDER_HEADER_SPEC,
     ORDER_LINE_SPEC,
@@ -44,6 +45,7 @@ from orderstar.operators.standardize import (
     standardize_order_line,
     widen_ids,
 )
+from orderstar.session import scratch_path
 
 
 def latest_order_headers(
@@ -152,6 +154,46 @@ def join_line_header(lines: DataFrame, headers: DataFrame) -> DataFrame:
     return lines.join(headers, lines["order_id"] == headers["h_order_id"], "left")
 
 
+def heavy_orders(lines: DataFrame, heavy_rows: int) -> DataFrame:
+    """``heavy_id`` of the orders with more than ``heavy_rows`` lines: one aggregate over the order ids, combined on the map side."""
+    counts = lines.where("order_id IS NOT NULL").groupBy(F.col("order_id").alias("heavy_id")).agg(F.count(F.lit(1)).alias("n"))
+    return counts.where(F.col("n") > heavy_rows).select("heavy_id")
+
+
+def join_line_header_split(lines: DataFrame, headers: DataFrame, heavy_rows: int, max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """``join_line_header`` for lines with hot orders: those above ``heavy_rows`` lines meet their headers in a broadcast, the rest in
+    the shuffle join.
+
+    The heavy orders and their headers are written to the scratch folder (the detection reads the order ids only, the
+    header lookup prunes to the heavy ids before the dedupe). Where they are within the rows and bytes that may be
+    broadcast, a heavy line goes through the shuffle under a salt of its own and matches nothing there, so it is dealt evenly and
+    not read twice. Beyond the bound, or without heavy orders, the plan is the plain join."""
+    spark = lines.sparkSession
+
+    def written(df: DataFrame, name: str) -> DataFrame:
+        path = scratch_path(spark, name)
+        df.write.parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
+
+    heavy = written(heavy_orders(lines, heavy_rows), "heavy-orders")
+    side = broadcast_if_within(heavy, max_broadcast_rows)
+    if side is heavy or not row_count(heavy):
+        return join_line_header(lines, headers)
+    found = written(headers.join(side, headers["h_order_id"] == F.col("heavy_id"), "left_semi"), "heavy-headers")
+    if broadcast_if_within(found, max_broadcast_rows) is found:
+        return join_line_header(lines, headers)
+    parts = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    tagged = lines.join(side, lines["order_id"] == F.col("heavy_id"), "left")
+    salt = F.when(F.col("heavy_id").isNotNull(), F.pmod(F.xxhash64("line_id"), F.lit(parts)) + 1).otherwise(F.lit(0).cast("long"))
+    # 0 for every header; a literal would be taken out of the join's keys
+    rest = headers.withColumn("__none", F.pmod(F.col("h_order_id").cast("long"), F.lit(1)))
+    tagged = tagged.withColumn("__salt", salt)
+    joined = tagged.join(rest, (tagged["order_id"] == rest["h_order_id"]) & (tagged["__salt"] == rest["__none"]), "left")
+    hot = found.select(*(F.col(c).alias(f"__hot_{c}") for c in headers.columns))
+    joined = joined.join(F.broadcast(hot), joined["heavy_id"] == F.col("__hot_h_order_id"), "left")
+    return joined.select(*lines.columns, *(F.coalesce(F.col(c), F.col(f"__hot_{c}")).alias(c) for c in headers.columns))
+
+
 def positive_line_filter(joined: DataFrame) -> DataFrame:
     """Keep a line when its header amount > 0 OR its units > 0 (three-valued: an orphan line survives
     only by its units)."""
@@ -180,16 +222,19 @@ def fact_order_line(
     max_broadcast_rows: int = MAX_BROADCAST_ROWS,
     id_type: str = "int",
     headers: DataFrame | None = None,
+    heavy_rows: int | None = None,
 ) -> DataFrame:
     """Order-line fact with hashed key, dimension keys and ``period`` (yyyyMM of the header date).
 
     ``headers``: already deduplicated headers, best read from a written table (``bronze_header`` is then not
-    read). Each side of the line join is then a sort directly over an exchange, which lets AQE split a hot order."""
+    read). Each side of the line join is then a sort directly over an exchange, which lets AQE split a hot order.
+    ``heavy_rows``: orders with more lines than this are joined by broadcast (``join_line_header_split``), in either form."""
     if headers is None:
         headers = latest_order_headers(bronze_header, header_tie_breakers, id_type)
     headers = enriched_headers(headers, dim_customer, dim_date, max_broadcast_rows)
     lines = latest_order_lines(bronze_detail, line_tie_breakers, id_type)
-    kept = positive_line_filter(join_line_header(lines, headers))
+    joined = join_line_header(lines, headers) if heavy_rows is None else join_line_header_split(lines, headers, heavy_rows, max_broadcast_rows)
+    kept = positive_line_filter(joined)
     pro = broadcast_if_within(dim_product.select(F.col("product_id").alias("pro_product_id")), max_broadcast_rows, dim_product)
     j = kept.join(pro, kept["product_id"] == pro["pro_product_id"], "left")
 

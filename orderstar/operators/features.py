@@ -110,14 +110,14 @@ def _customer_grain(orders: DataFrame, dim_date: DataFrame) -> DataFrame:
     cal = bounded_calendar(_date_lookup(dim_date), sized_by=dim_date)
     dated = orders.join(cal, "order_date_id", "left")
     return dated.groupBy("customer_id").agg(
-        F.max("order_date").alias("last_pedido_date"),
-        F.min("order_date").alias("first_pedido_date"),
+        F.max("order_date").alias("last_order_date"),
+        F.min("order_date").alias("first_order_date"),
         F.count("order_date").alias("dated_orders"),
         F.count("order_id").alias("frecuencia_pedidos_3m"),
         # decimal(18,2) -> the original's single SUM type decimal(28,2)
         F.sum("order_net").cast(DecimalType(28, 2)).alias("ventas_total_3m"),
-        F.count(F.when(F.col("is_promo") == 1, F.col("order_id"))).alias("n_orders_promo"),
-        F.sum("order_credit").cast(DecimalType(28, 2)).alias("venta_credito_3m"),
+        F.count(F.when(F.col("is_promo") == 1, F.col("order_id"))).alias("promo_orders"),
+        F.sum("order_credit").cast(DecimalType(28, 2)).alias("credit_sales"),
     )
 
 
@@ -175,22 +175,26 @@ def customer_features(
     p: FeatureParams,
 ) -> DataFrame:
     """The gold feature table: one row per customer of the channel with at least one order in the window."""
-    s = customer_sales(fact_lines, dim_customer, dim_product, dim_date, p)
+    return features_of_sales(customer_sales(fact_lines, dim_customer, dim_product, dim_date, p), p)
+
+
+def features_of_sales(s: DataFrame, p: FeatureParams) -> DataFrame:
+    """The features from the customers' aggregates of the window (:func:`customer_sales`)."""
     gap = F.when(
         F.col("dated_orders") >= 2,
-        F.datediff("last_pedido_date", "first_pedido_date").cast("double")
+        F.datediff("last_order_date", "first_order_date").cast("double")
         / (F.col("dated_orders") - 1).cast("double"),
     )
     return s.filter(F.col("frecuencia_pedidos_3m") > 0).select(
         "customer_id",
-        days_to_month_end(p.as_of_col, "last_pedido_date").alias("recencia_dias"),
+        days_to_month_end(p.as_of_col, "last_order_date").alias("recencia_dias"),
         "ventas_total_3m",
         "frecuencia_pedidos_3m",
         safe_ratio("ventas_total_3m", "frecuencia_pedidos_3m").alias("ticket_promedio_3m"),
         gap.alias("dias_promedio_entre_pedidos"),
         F.coalesce(F.col("variedad_categorias_3m"), F.lit(0).cast("long")).alias("variedad_categorias_3m"),
-        (F.col("n_orders_promo") / F.col("frecuencia_pedidos_3m")).alias("porcentaje_pedidos_promo_3m"),
-        safe_ratio("venta_credito_3m", "ventas_total_3m").alias("mix_credito_vs_contado_3m"),
+        (F.col("promo_orders") / F.col("frecuencia_pedidos_3m")).alias("porcentaje_pedidos_promo_3m"),
+        safe_ratio("credit_sales", "ventas_total_3m").alias("mix_credito_vs_contado_3m"),
     )
 
 

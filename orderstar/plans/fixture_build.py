@@ -34,6 +34,7 @@ class Silver:
     dim_product: DataFrame
     dim_date: DataFrame
     fact_order_line: DataFrame
+    root: str | None = None  # where the tables are written, if they are
 
 
 def fixture_params() -> FeatureParams:
@@ -82,5 +83,5 @@ def fixture_gold_inputs(spark: SparkSession, sf_dir: str, params: FeatureParams
         s = replace(s, **{n: read_parquet(spark, f"{root}/{n}") for n in ("dim_customer", "dim_product", "dim_date")})
         fact = fact_order_line(s.raw_header, s.raw_detail, s.dim_customer, s.dim_product, s.dim_date)
         write_partitioned(window_fact_lines(fact, p).select(*GOLD_FACT_COLUMNS), f"{root}/fact_order_line", ["period"])
-        held[key] = replace(s, fact_order_line=read_parquet(spark, f"{root}/fact_order_line"))
+        held[key] = replace(s, root=root, fact_order_line=read_parquet(spark, f"{root}/fact_order_line"))
     return held[key]

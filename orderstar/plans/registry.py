@@ -340,8 +340,8 @@ def q_channel_window_filter(spark, d):
     return lines.select("order_line_key", "customer_id", "order_id", "period", "line_net_amount")
 
 
-_SALES_COLS = ["customer_id", "last_pedido_date", "month_end_date", "frecuencia_pedidos_3m", "ventas_total_3m",
-               "variedad_categorias_3m", "n_orders_promo", "venta_credito_3m"]
+_SALES_COLS = ["customer_id", "last_order_date", "month_end_date", "frecuencia_pedidos_3m", "ventas_total_3m",
+               "variedad_categorias_3m", "promo_orders", "credit_sales"]
 
 
 @register("customer_sales_3m", O.over_pipeline(f"SELECT {', '.join(_SALES_COLS)} FROM customer_sales", "customer_sales"))
@@ -789,3 +789,6 @@ def q_medallion_end_to_end(spark, d):
     res = run_medallion(spark, f"{root}/raw", root, fixture_params(), calendar=fx.FIXTURE_CALENDAR,
                         now=fx.FIXTURE_NOW, layout=fx.FIXTURE_LAYOUT)
     return comparable_features(res.gold)
+
+
+from orderstar.plans import incremental  # noqa: E402, F401 - registers its queries

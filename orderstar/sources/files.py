@@ -13,6 +13,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -71,6 +72,17 @@ def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def partition_values(spark: SparkSession, path: str, column: str) -> list[int]:
+    """The values of an integer partition column, from the folder names alone (none where the path does not exist). The table's
+    layout bounds them."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(place):
+        return []
+    names = (s.getPath().getName() for s in files.listStatus(place) if s.isDirectory())
+    return sorted(int(n.split("=", 1)[1]) for n in names if re.fullmatch(rf"{re.escape(column)}=-?[0-9]+", n))
+
+
 def with_audit_columns(
     df: DataFrame,
     now: dt.datetime | str | Column | None = None,

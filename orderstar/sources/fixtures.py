@@ -10,7 +10,8 @@ Variants add the cases the clean fixtures lack, by projection only (no row is dr
   rows get a NULL key);
 * ``dirty_dup`` — both, for order headers;
 * ``dirty`` — order headers with NULL customer, NULL date, non-positive amount, or an id that no line
-  references (its lines become orphans); order lines with zero units or an unknown product.
+  references (its lines become orphans); order lines with zero units or an unknown product;
+* ``hot`` — a third of all order lines moved to one order.
 """
 
 from __future__ import annotations
@@ -137,9 +138,13 @@ def raw_order_detail(spark: SparkSession, sf_dir: str, variant: str = "clean") -
         product_id = F.when(
             (F.col("l_linestatus") == "O") & (F.col("l_discount") == 0.1), -product_id
         ).otherwise(product_id)
+    order_id, line_id = _id("l_orderkey"), F.col("l_linenumber")
+    if variant == "hot":  # a third of all lines belong to one order
+        order_id = F.when(F.col("l_partkey") % 3 == 0, F.lit(1)).otherwise(order_id)
+        line_id = (F.col("l_orderkey") * 8 + F.col("l_linenumber")).cast("int")
     return j.select(
-        _id("l_orderkey").alias("order_id"),
-        F.col("l_linenumber").alias("line_id"),
+        order_id.alias("order_id"),
+        line_id.alias("line_id"),
         product_id.alias("product_id"),
         qty.alias("qty_units"),
         F.col("p_retailprice").cast(MONEY).alias("unit_price"),
