@@ -212,7 +212,8 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Model:
         .groupBy("label_id").agg((F.max("toxic") > 0).cast("int").alias("toxic"))
         .orderBy(F.xxhash64("label_id"), "label_id").limit(fit_rows)
     )
-    known = docs.join(F.broadcast(ids), docs["doc_id"].cast("long") == F.col("label_id")).select("label_id", F.col("text").cast("string").alias("text"), "toxic")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    known = texts.join(F.broadcast(ids), F.col("doc_id") == F.col("label_id")).select("label_id", "text", "toxic")
     third = F.pmod(F.xxhash64("label_id", F.lit("calibrate")), F.lit(3)) == 0
     # near copies count once for the lexicon, or their chance words would look toxic
     keys = [f"f{i}" for i in range(len(FAMILY))]
