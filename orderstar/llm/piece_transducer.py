@@ -31,7 +31,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderstar.llm.textops import flat, prefix_hash, range_hash, slices
+from orderstar.llm.textops import flat, prefix_hash, range_hash, release, slices
 
 MARK = "▁"
 CACHE_PARTS = 1 << 19
@@ -213,6 +213,12 @@ class Transducer:
         np.cumsum(size, out=total[1:])
         return self.pool[np.arange(total[-1]) - np.repeat(total[:-1] - begin, size)], total[first]
 
+    def forget(self) -> None:
+        """Drops what was learnt from texts: the worker may go on to other work."""
+        self.reset()
+        self.pairs.clear()
+        release()
+
     def _keep(self, keys: list[int], found: list[list[int]]) -> None:
         have, size = len(self.known), np.fromiter(map(len, found), np.int64, len(found))
         filled = int(self.at[have])
@@ -282,6 +288,7 @@ def encode(docs: DataFrame, model: str | None = None) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), lists, pa.array(np.diff(bounds)), pa.array(crc, pa.int64()), pa.array(same, pa.bool_())], names=["doc_id", "ids", "n_pieces", "ids_crc32", "round_trip"]
             )
+        transducer(path).forget()
 
     plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return plain.mapInArrow(rows, "doc_id long, ids array<int>, n_pieces long, ids_crc32 long, round_trip boolean")

@@ -7,6 +7,7 @@ byte range of the batch is hashed from two prefix sums.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,6 +32,11 @@ JOINED[[*map(ord, ".,;:!?\"')]}>»’”›…、。〉》」』】〕！＂＇
 #: Bytes of text handled at once; a single longer document is handled alone.
 SLICE_BYTES = 1 << 20
 
+try:
+    _trim = ctypes.CDLL("libc.so.6").malloc_trim
+except (OSError, AttributeError):  # another C library
+    _trim = None
+
 _powers: tuple[np.ndarray, np.ndarray] = (np.ones(1, U), np.ones(1, U))
 
 
@@ -69,8 +75,24 @@ def flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, np.uint8)[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
+def release() -> None:
+    """Gives freed memory back at the end of a task: Python workers live on, and what they keep adds up on an executor."""
+    global _powers
+    if len(_powers[0]) > 2 * SLICE_BYTES:  # made for a very long text
+        _powers = (np.ones(1, U), np.ones(1, U))
+    pa.default_memory_pool().release_unused()
+    if _trim is not None:
+        _trim(0)
+
+
 def slices(batches: Iterator[pa.RecordBatch], text: str = "text", most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
-    """The batches cut into row ranges of at most ``most`` bytes of text (one row at least)."""
+    """The batches cut into row ranges of at most ``most`` bytes of text (one row at least); at their end freed memory is
+    given back."""
+    yield from _slices(batches, text, most)
+    release()
+
+
+def _slices(batches: Iterator[pa.RecordBatch], text: str, most: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         if not batch.num_rows:
             continue
