@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orderstar.llm.sparkops import components, stage
-from orderstar.llm.textops import LOWER, U, flat, mix, prefix_hash, range_hash, signed, slices, words
+from orderstar.llm.textops import LOWER, SLICE_BYTES, U, flat, mix, prefix_hash, range_hash, release, signed, slices, words
 
 SIZE = 5
 PERCENT = 80
@@ -107,18 +107,18 @@ def _nodes(size: int):
                 check.append(b)
                 sketch.append(parity(tokens))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(sig, pa.int64()), pa.array(check, pa.int64()), pa.array(sketch, pa.binary())],
-                names=["doc_id", "n_shingles", "node", "check", "sketch"],
+                [batch.column("doc_id"), batch.column("h"), pa.array(n, pa.int64()), pa.array(sig, pa.int64()), pa.array(check, pa.int64()), pa.array(sketch, pa.binary())],
+                names=["doc_id", "h", "n_shingles", "node", "check", "sketch"],
             )
 
     return rows
 
 
 def _frequent(size: int, least: int):
-    """Tokens in at least ``least`` different sets of a batch, and in how many."""
+    """Tokens in at least ``least`` different sets of a slice, and in how many."""
 
     def rows(batches):
-        for batch in batches:
+        for batch in slices(batches, most=8 * SLICE_BYTES):
             seen, held = set(), []
             for part in slices([batch]):
                 for tokens in shingles(*flat(part.column("text")), size):
@@ -164,19 +164,16 @@ def _index(size: int, percent: int, frequent: list[int]):
         often = np.array(frequent, np.int64).view(U)
         often.sort()
         for batch in slices(batches):
-            key, node, count = [], [], []
+            key, node = [], []
             seen = set()
             for tokens in shingles(*flat(batch.column("text")), size):
                 if len(tokens) and (sig := signature(tokens)[0]) not in seen:
                     seen.add(sig)
                     key.append(prefix_keys(tokens, often, percent))
                     node.append(sig)
-                    count.append(len(tokens))
             if key:
                 each = [len(k) for k in key]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(signed(np.concatenate(key))), pa.array(np.repeat(np.array(node, np.int64), each)), pa.array(np.repeat(np.array(count, np.int32), each))], names=["key", "node", "n"]
-                )
+                yield pa.RecordBatch.from_arrays([pa.array(signed(np.concatenate(key))), pa.array(np.repeat(np.array(node, np.int64), each))], names=["key", "node"])
 
     return rows
 
@@ -243,42 +240,83 @@ def near_nodes(component: np.ndarray, side: np.ndarray, n: np.ndarray, sketches:
             yield i, j[good], d[good]
 
 
+def pair_differences(column: pa.Array, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """:func:`differences` of the sketches of rows i and j, from the column's bytes."""
+    data, offsets = flat(column)
+    size = np.diff(offsets)
+    out = np.zeros(len(i), np.int64)
+    for a, b in np.unique(np.stack((size[i], size[j]), axis=1), axis=0).tolist():
+        at = np.flatnonzero((size[i] == a) & (size[j] == b))
+        width, both = min(a, b), []
+        for rows, n in ((i[at], a), (j[at], b)):
+            cells = data[offsets[rows][:, None] + np.arange(n)].reshape(len(at), n // width, width)
+            both.append(np.bitwise_xor.reduce(cells, axis=1))
+        out[at] = np.bitwise_count(both[0] ^ both[1]).sum(axis=1, dtype=np.int64)
+    return out
+
+
 def _near(percent: int, best: bool):
     """Possible links of each group (rows come sorted by key and part; a group is never cut): of each member the
-    nearest one only, or all."""
-
-    def pairs(rows: list) -> list[tuple[int, int, float]]:
-        node, component, side, n = (np.array([r[k] for r in rows]) for k in (2, 3, 4, 5))
-        out = []
-        for i, j, d in near_nodes(component, side, n, [r[6] for r in rows], percent):
-            if best:
-                k = int(np.lexsort((node[j], d / (n[j] + n[i])))[0])
-                out.append((int(node[i]), int(node[j[k]]), float(d[k] / (n[i] + n[j[k]]))))
-            else:
-                out += [(int(min(node[i], x)), int(max(node[i], x)), 0.0) for x in node[j]]
-        return out if best else list(dict.fromkeys(out))
+    nearest one only, or all. Groups of two, which most are, are compared together."""
+
+    def twos(batch: pa.RecordBatch, i: np.ndarray, node, component, n) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        j = i + 1
+        keep = component[i] != component[j]
+        i, j = i[keep], j[keep]
+        differ = pair_differences(batch.column("sketch"), i, j) if len(i) else np.zeros(0, np.int64)
+        keep = allowed(n[i], n[j], differ, percent)
+        i, j, differ = i[keep], j[keep], differ[keep]
+        if not best:
+            return np.minimum(node[i], node[j]), np.maximum(node[i], node[j]), np.zeros(len(i))
+        # of two components of one member each the smaller one counts as the largest
+        swap = component[i] < component[j]
+        return node[np.where(swap, j, i)], node[np.where(swap, i, j)], differ / (n[i] + n[j])
+
+    def groups(batch: pa.RecordBatch, start: np.ndarray) -> pa.RecordBatch:
+        node, component, side, n = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("node", "component", "side", "n"))
+        n = n.astype(np.int64)
+        size = np.diff(np.append(start, batch.num_rows))
+        a, b, d = ([x] for x in twos(batch, start[size == 2], node, component, n))
+        for at, g in zip(start[size > 2].tolist(), size[size > 2].tolist()):
+            here = slice(at, at + g)
+            sketches = batch.column("sketch").slice(at, g).to_pylist()
+            mine, count = node[here], n[here]
+            for i, j, differ in near_nodes(component[here], side[here], count, sketches, percent):
+                if best:
+                    k = int(np.lexsort((mine[j], differ / (count[j] + count[i])))[0])
+                    a.append(mine[i : i + 1])
+                    b.append(mine[j[k : k + 1]])
+                    d.append(differ[k : k + 1] / (count[i] + count[j[k]]))
+                else:
+                    a.append(np.minimum(mine[i], mine[j]))
+                    b.append(np.maximum(mine[i], mine[j]))
+                    d.append(np.zeros(len(j)))
+        a, b, d = (np.concatenate(x) for x in (a, b, d))
+        if not best:  # a pair of a large group is named from both sides
+            a, b = np.unique(np.stack((a, b)), axis=1)
+            d = np.zeros(len(a))
+        return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(d, pa.float64())], names=["a", "b", "d"])
 
     def rows(batches):
-        held: list = []
+        held = None
         for batch in batches:
-            out = []
-            for row in zip(*(batch.column(c).to_pylist() for c in ("key", "part", "node", "component", "side", "n", "sketch"))):
-                if held and held[-1][:2] != row[:2]:
-                    out += pairs(held)
-                    held = []
-                held.append(row)
-            yield _pair_batch(out)
-        if held:
-            yield _pair_batch(pairs(held))
+            if not batch.num_rows:
+                continue
+            if held is not None:
+                batch = pa.Table.from_batches([held, batch]).combine_chunks().to_batches()[0]
+            key, part = (batch.column(c).to_numpy() for c in ("key", "part"))
+            start = np.flatnonzero(np.concatenate(([True], (key[1:] != key[:-1]) | (part[1:] != part[:-1]))))
+            last = int(start[-1])
+            held = batch.slice(last)
+            if last:
+                yield groups(batch.slice(0, last), start[:-1])
+        if held is not None:
+            yield groups(held, np.zeros(1, np.int64))
+        release()
 
     return rows
 
 
-def _pair_batch(out: list[tuple[int, int, float]]) -> pa.RecordBatch:
-    a, b, d = zip(*out) if out else ((), (), ())
-    return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(d, pa.float64())], names=["a", "b", "d"])
-
-
 def _verified(percent: int):
     def rows(batches):
         for batch in batches:
@@ -298,9 +336,11 @@ def _links(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, size: int, perce
     side = lambda k, p: nodes.select(F.col("node").alias(k), F.col("n").alias(f"{p}n"), F.col("sketch").alias(f"{p}s"))
     possible = stage(pairs.join(side("a", "x"), "a").join(side("b", "y"), "b").mapInArrow(_possible(percent), "a long, b long"), f"{name}-possible")
     some = possible.select(F.col("a").alias("node")).union(possible.select("b")).distinct()
-    wanted = stage(nodes.join(some, "node").select(F.col("doc_id").alias("want")), f"{name}-wanted")
-    texts = docs.join(wanted, F.col("doc_id").eqNullSafe(F.col("want"))).select("text")
-    sets = stage(texts.mapInArrow(_sets(size), "node long, tokens array<long>"), f"{name}-sets")
+    # a document is its id and the hash of its text: rows may share an id, or have none
+    wanted = stage(nodes.join(some, "node").select(F.col("doc_id").alias("want"), F.col("h").alias("want_h")).distinct(), f"{name}-wanted")
+    texts = docs.join(wanted, F.col("doc_id").eqNullSafe(F.col("want")) & (F.col("h") == F.col("want_h"))).select("text")
+    sets = texts.mapInArrow(_sets(size), "node long, tokens array<long>").dropDuplicates(["node"])
+    sets = stage(sets, f"{name}-sets")
     whole = possible.join(sets.select(F.col("node").alias("a"), F.col("tokens").alias("x")), "a").join(sets.select(F.col("node").alias("b"), F.col("tokens").alias("y")), "b")
     return stage(whole.mapInArrow(_verified(percent), "a long, b long"), f"{name}-links")
 
@@ -322,13 +362,30 @@ def _cross(index: DataFrame, known: DataFrame, nodes: DataFrame, name: str) -> D
 
 def similar_classes(docs: DataFrame, size: int = SIZE, percent: int = PERCENT, frequent_from: int = FREQUENT_FROM, frequent_most: int = FREQUENT_MOST) -> DataFrame:
     """Per row of ``docs (doc_id, text)``: ``doc_id, n_shingles, component_id``."""
+    return similar_texts(docs, size, percent, frequent_from, frequent_most).select("doc_id", "n_shingles", "component_id")
+
+
+def copies(docs: DataFrame) -> DataFrame:
+    """``doc_id, h`` (``xxhash64`` of the text) of the rows that another one stands for: in each component all but the row with the
+    smallest doc_id, of several texts under that id the one with the smallest hash. Rows without an id are no copies."""
+    rows = similar_texts(docs)
+    first = F.min(F.when(F.col("doc_id") == F.col("component_id"), F.col("h"))).alias("first")
+    kept = rows.where("component is not null").groupBy("component").agg(first)
+    others = rows.join(kept, "component").where((F.col("doc_id") != F.col("component_id")) | (F.col("h") != F.col("first")))
+    return others.where("doc_id is not null").select("doc_id", "h").distinct()
+
+
+def similar_texts(docs: DataFrame, size: int = SIZE, percent: int = PERCENT, frequent_from: int = FREQUENT_FROM, frequent_most: int = FREQUENT_MOST) -> DataFrame:
+    """Per row of ``docs (doc_id, text)``: ``doc_id, h, n_shingles, component, component_id``. ``h`` tells apart the texts of rows that
+    share an id, ``component`` the components of equal id; it is null without words."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    docs = docs.withColumn("h", F.xxhash64("text"))
     name = "op5"
-    rows = stage(docs.mapInArrow(_nodes(size), "doc_id long, n_shingles long, node long, check long, sketch binary"), f"{name}-rows")
-    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "n_shingles", "sketch")).alias("low")
+    rows = stage(docs.mapInArrow(_nodes(size), "doc_id long, h long, n_shingles long, node long, check long, sketch binary"), f"{name}-rows")
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "h", "n_shingles", "sketch")).alias("low")
     nodes = stage(
         rows.where("node is not null").groupBy("node").agg(first, F.min("check").alias("c"), F.max("check").alias("d"))
-        .select("node", F.col("low.n_shingles").alias("n"), "low.sketch", F.when(F.col("c") == F.col("d"), F.col("low.doc_id")).otherwise(F.raise_error(F.lit("two shingle sets share a 64-bit hash"))).alias("doc_id")),
+        .select("node", F.col("low.n_shingles").alias("n"), "low.sketch", "low.h", F.when(F.col("c") == F.col("d"), F.col("low.doc_id")).otherwise(F.raise_error(F.lit("two shingle sets share a 64-bit hash"))).alias("doc_id")),
         f"{name}-nodes",
     )
     text = docs.select("text")
@@ -337,7 +394,8 @@ def similar_classes(docs: DataFrame, size: int = SIZE, percent: int = PERCENT, f
         .where(F.col("n") >= frequent_from).orderBy(F.desc("n"), "token").limit(frequent_most)
     )
     frequent = [r.token for r in often.collect()]  # at most frequent_most hashes
-    index = text.mapInArrow(_index(size, percent, frequent), "key long, node long, n int")
+    # written before the shared keys are known: its rows are made once
+    index = stage(text.mapInArrow(_index(size, percent, frequent), "key long, node long"), f"{name}-all-keys")
     shared = index.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high"), F.count(F.lit(1)).alias("c")).where("low < high").select("key", "c")
     index = stage(index.join(stage(shared, f"{name}-keys"), "key").distinct(), f"{name}-index")
 
@@ -362,5 +420,6 @@ def similar_classes(docs: DataFrame, size: int = SIZE, percent: int = PERCENT, f
     named = nodes.select("node", "doc_id").join(joined, "node", "left").select("node", "doc_id", F.coalesce("component", "node").alias("component"))
     named = stage(named, f"{name}-named")
     least = stage(named.groupBy("component").agg(F.min("doc_id").alias("component_id")), f"{name}-least")
-    label = stage(named.join(least, "component").select("node", "component_id"), f"{name}-labels")
-    return rows.drop("sketch", "check").join(label, "node", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+    label = stage(named.join(least, "component").select("node", "component", "component_id"), f"{name}-labels")
+    rows = rows.drop("sketch", "check").join(label, "node", "left")
+    return rows.select("doc_id", "h", "n_shingles", "component", F.coalesce("component_id", "doc_id").alias("component_id"))

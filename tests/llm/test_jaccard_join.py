@@ -71,3 +71,37 @@ def test_empty_and_repeated_rows(spark):
     assert J.similar_classes(spark.createDataFrame([], "doc_id long, text string")).count() == 0
     docs = spark.createDataFrame([(7, "a b c d e f"), (7, "a b c d e f"), (None, "a b c d e f"), (9, None)], "doc_id long, text string")
     assert sorted((r.doc_id or 0, r.n_shingles, r.component_id) for r in J.similar_classes(docs).collect()) == [(0, 2, 7), (7, 2, 7), (7, 2, 7), (9, 0, 9)]
+
+
+def test_rows_that_share_an_id_do_not_multiply(spark, monkeypatch):
+    """Near copies without an id, and under one id: every handed-on set and link is there once."""
+    r = np.random.default_rng(2)
+    base = [f"w{i}" for i in range(60)]
+    texts = []
+    for _ in range(150):
+        w = list(base)
+        w[-1] = f"x{r.integers(0, 10**9)}"
+        texts.append(" ".join(w))
+    other = " ".join(f"y{i}" for i in range(30))
+    rows = [(None, t) for t in texts] + [(5, t) for t in texts[:40]] + [(5, other)]
+    held, real = {}, J.stage
+    monkeypatch.setattr(J, "stage", lambda df, name: held.setdefault(name, real(df, name)))
+    found = J.similar_texts(spark.createDataFrame(rows, "doc_id long, text string").repartition(5)).collect()
+    nodes = held["op5-nodes"].count()
+    for name, df in held.items():
+        if name.endswith(("-sets", "-wanted")):
+            assert df.count() <= nodes
+            assert df.select(df.columns[0], *df.columns[1:2]).distinct().count() == df.count(), name
+        if name.endswith("-links"):
+            assert df.count() <= nodes * 4, name
+    assert {x.component_id for x in found if x.n_shingles > 30} == {5}
+    assert len({x.component for x in found}) == 2 and len(found) == len(rows)
+
+
+def test_only_copies_go(spark):
+    a, b = " ".join(f"a{i}" for i in range(30)), " ".join(f"b{i}" for i in range(30))
+    rows = [(1, a), (2, a), (2, b), (2, b), (3, a + " more"), (None, a), (4, None), (5, ""), (5, b)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    gone = {(r.doc_id, r.h) for r in J.copies(docs).collect()}
+    h = {r.text: r.h for r in docs.selectExpr("text", "xxhash64(text) AS h").collect()}
+    assert gone == {(2, h[a]), (3, h[a + " more"]), (5, h[b])}

@@ -55,6 +55,28 @@ def test_stages(spark):
     assert sorted(map(str, result.collect())) == sorted(map(str, steps["pieces"].collect()))
 
 
+def test_two_texts_under_one_id_and_clashing_columns(spark):
+    """Each text is judged by itself, in every stage; columns named like those the operators use inside stay as they are."""
+    schema = "doc_id long, text string, lang string, source string, n_chars long, label_id string, toxic string, h string, gone string, node string"
+    folder = scratch_path(spark, "test-pipeline-ids")
+    r = np.random.default_rng(3)
+    plain = lambda n=40: " ".join(f"{r.choice(WORDS)}{r.integers(0, 12)}" for _ in range(n))
+    a, b = plain(), plain()
+    rows = [(1, a), (2, a), (2, b), (3, f"{plain(9)} {ITEM} {plain(9)}"), (3, plain()), (None, a)]
+    rows += [(100 + i, f"{plain()} vile nasty horrid vile {plain(10)}") for i in range(90)] + [(200 + i, plain()) for i in range(90)]
+    spark.createDataFrame([(i, t, "en", "s", len(t), "l", "t", "h", "g", "n") for i, t in rows], schema).write.parquet(f"{folder}/documents.parquet")
+    labels = [(i, 1, int(100 <= i < 190)) for i in [*range(100, 190), *range(200, 290)]]
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+    spark.createDataFrame([(1, ITEM)], "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    for name, function in C.STAGES[:3]:
+        out = C.stage(function(spark, docs, folder), f"test-{name}")
+        assert out.dtypes == docs.dtypes
+        docs = out
+    left = {(x.doc_id, x.text) for x in docs.collect()}
+    assert {(1, a), (2, b), rows[4], (None, a)} <= left and not {(2, a), rows[3]} & left
+
+
 def test_empty_table(spark):
     schema = "doc_id long, text string, lang string, source string, n_chars long"
     folder = scratch_path(spark, "test-pipeline-empty")
