@@ -4,13 +4,14 @@ Each stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame, which is wri
 the next one's ``docs``. All but the last return the columns of their input.
 
 1. ``toxicity``: documents whose segment score reaches the threshold go.
-2. ``jaccard_join``: of every group of near copies (five-word shingles, similarity 0.8) the smallest doc_id stays.
+2. ``jaccard_join``: of every group of near copies (five-word shingles, similarity 0.8) the smallest doc_id stays (of two
+   texts under that id, one). Other texts of an id that goes are judged by their own group.
 3. ``decontamination``: documents that contain a benchmark item go.
 4. ``pii``: spans of personal data are replaced by their kind; ``n_chars``, where there is one, follows the new text.
 5. ``pieces``: the ids of the texts (and the checks of their round trip).
 
 Cases: texts that are null or empty pass the first three stages; a document without an id is never dropped as a copy;
-repeated rows are one document and stay or go together; an empty table gives empty results; further columns are kept by all stages but the last.
+repeated rows (equal id and text) are one document and stay or go together; an empty table gives empty results; further columns are kept by all stages but the last.
 """
 
 from __future__ import annotations
@@ -31,9 +32,9 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     reachable(spark)
-    classes = jaccard_join.similar_classes(docs)
-    gone = stage(classes.where("doc_id <> component_id").select(F.col("doc_id").alias("gone")).distinct(), "copies")
-    return docs.join(gone, docs["doc_id"] == gone["gone"], "left_anti")
+    gone = stage(jaccard_join.copies(docs).select(F.col("doc_id").alias("gone"), F.col("h").alias("gone_h")), "copies")
+    same = (docs["doc_id"].cast("long") == gone["gone"]) & (F.xxhash64(docs["text"].cast("string")) == gone["gone_h"])
+    return docs.join(gone, same, "left_anti")
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
