@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import MapType, NumericType, VariantType
 
@@ -143,6 +143,35 @@ def write_and_reconcile_content(df: DataFrame, path: str, mode: str = "errorifex
     return content_report(obs.get, back)
 
 
+def order_report(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFrame:
+    """``(rows, inversions, overlaps, ok)`` of a written table that should be sorted by ``keys`` (NULLs first), read as files in the
+    order of their names: rows that come before their predecessor in the file, and files that begin before an earlier one
+    ends. Within a file by the rows' places in it, between files from each one's least and greatest key only."""
+    key = F.struct(*(F.col(k) for k in keys))
+    rows = spark.read.parquet(path).select(key.alias("k"), F.col("_metadata.file_name").alias("file"), F.col("_metadata.row_index").alias("at"))
+    back = F.lag("k").over(Window.partitionBy("file").orderBy("at")) > F.col("k")
+    files = rows.withColumn("back", back).groupBy("file").agg(
+        F.count(F.lit(1)).alias("rows"), F.count(F.when(F.col("back"), 1)).alias("inversions"), F.min("k").alias("low"), F.max("k").alias("high")
+    )
+    # a row per file; longer numbers sort after shorter ones
+    before = Window.orderBy(F.length("file"), "file").rowsBetween(Window.unboundedPreceding, -1)
+    files = files.withColumn("overlap", F.max("high").over(before) > F.col("low"))
+    out = files.agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"), F.coalesce(F.sum("inversions"), F.lit(0)).alias("inversions"), F.count(F.when(F.col("overlap"), 1)).alias("overlaps"))
+    return out.withColumn("ok", (F.col("inversions") == 0) & (F.col("overlaps") == 0))
+
+
+def file_audit(spark: SparkSession, path: str, partition: str, belongs: Column, max_rows: int) -> DataFrame:
+    """Per folder of ``partition``: ``(partition, rows, largest_file, files_over, strays, ok)``, from the files' names and rows:
+    the rows of its largest file, the files above ``max_rows``, and the rows that do not belong there (``belongs`` is
+    false; NULL counts as belonging)."""
+    rows = spark.read.parquet(path).select(partition, F.col("_metadata.file_path").alias("file"), F.when(~belongs, 1).alias("stray"))
+    files = rows.groupBy(partition, "file").agg(F.count(F.lit(1)).alias("n"), F.count("stray").alias("strays"))
+    out = files.groupBy(partition).agg(
+        F.sum("n").alias("rows"), F.max("n").alias("largest_file"), F.count(F.when(F.col("n") > max_rows, 1)).alias("files_over"), F.sum("strays").alias("strays")
+    )
+    return out.withColumn("ok", (F.col("files_over") == 0) & (F.col("strays") == 0))
+
+
 def profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Long-form column profile ``(column_name, count, mean, stddev, min, max)``, like ``describe()``.
 

@@ -12,17 +12,21 @@ from pyspark.sql import functions as F
 from orderstar.operators import features as feat
 from orderstar.operators.bitsets import bit_state, count_bits, dense_ids, merge_bits
 from orderstar.operators.dedupe import latest_parquet
+from orderstar.operators.dimensions import dim_customer, dim_date
 from orderstar.operators.facts import fact_order, fact_order_line
 from orderstar.operators.monthly import features_from_months, refresh_months
-from orderstar.operators.quality import write_and_reconcile_content
+from orderstar.operators.merge import prepare_partitions, recover_partitions
+from orderstar.operators.quality import file_audit, order_report, write_and_reconcile_content
 from orderstar.operators.sizing import broadcast_if_within
 from orderstar.operators.standardize import ORDER_HEADER_SPEC, parsed_rows, standardize_order_header
 from orderstar.plans import oracle as O
 from orderstar.plans.fixture_build import fixture_gold_inputs, fixture_params, fixture_silver
-from orderstar.plans.registry import _FEATURE_SQL_COLS, comparable_features, register
+from orderstar.plans.medallion import run_medallion
+from orderstar.plans.registry import _DUP, _FEATURE_SQL_COLS, _HDR, _UPSERT_KEYS, _merge_sql, _tracked_out, _upsert_source, _upsert_target, comparable_features, register
 from orderstar.session import scratch_path
 from orderstar.sources import fixtures as fx
-from orderstar.sources.writers import write_partitioned
+from orderstar.sources.ledger import ingest_new, read_bronze
+from orderstar.sources.writers import write_partitioned, write_table
 
 # ------------------------------------------------------------------ features from a monthly state
 
@@ -153,3 +157,89 @@ def q_dq_content_reconcile(spark, d) -> DataFrame:
     """The order fact written by channel; what was written and what is read back, by content."""
     s = fixture_silver(spark, d)
     return write_and_reconcile_content(fact_order(s.raw_header, s.dim_customer), scratch_path(spark, "fact_order"), partition_by=["channel_name"])
+
+
+# ------------------------------------------------------------------ new files only
+
+
+@register("bronze_increment", O.with_ctes(_HDR, "SELECT * FROM std_header"))
+def q_bronze_increment(spark, d) -> DataFrame:
+    """Header files arrive three times (at other depths of the landing zone); every run loads the new ones."""
+    root = scratch_path(spark, "landing")
+    headers = fx.raw_order_header(spark, d, "dirty")
+    year = F.coalesce(F.year("order_date"), F.lit(1995))
+    for place, part in (("", year < 1997), ("/b", (year >= 1997) & (year < 1999)), ("/b/c", year >= 1999)):
+        fx.stage_csv(headers.where(part), f"{root}/raw{place}", mode="append")
+        ingest_new(spark, f"{root}/raw", f"{root}/bronze", "*.csv", now=fx.FIXTURE_NOW)
+    return standardize_order_header(read_bronze(spark, f"{root}/bronze"))
+
+
+@register("bronze_increment_counts", """
+    SELECT i AS "load", count(*) FILTER (part = i) AS rows_written, count(*) FILTER (part = i) AS rows_read, TRUE AS ok
+    FROM (SELECT CASE WHEN year(o_orderdate) < 1997 THEN 1 WHEN year(o_orderdate) < 1999 THEN 2 ELSE 3 END AS part FROM orders),
+         (SELECT unnest([1, 2, 3]) AS i) GROUP BY i""")
+def q_bronze_increment_counts(spark, d) -> DataFrame:
+    """What each of three runs has loaded."""
+    root = scratch_path(spark, "landing-counts")
+    headers, year = fx.raw_order_header(spark, d), F.year("order_date")
+    reports = []
+    for name, part in (("a", year < 1997), ("b", (year >= 1997) & (year < 1999)), ("c", year >= 1999)):
+        fx.stage_csv(headers.where(part), f"{root}/raw/{name}")
+        reports.append(ingest_new(spark, f"{root}/raw", f"{root}/bronze", "*.csv", now=fx.FIXTURE_NOW).select("load", "rows_written", "rows_read", "ok"))
+    return reports[0].unionByName(reports[1]).unionByName(reports[2])
+
+
+# ------------------------------------------------------------------ recovery
+
+
+@register("upsert_partitioned_recovered", _merge_sql(legacy=False))
+def q_upsert_partitioned_recovered(spark, d) -> DataFrame:
+    """An upsert of partitions that stopped after its commit, finished by the next start."""
+    path = f"{scratch_path(spark, 'upsert_recovered')}/target"
+    _upsert_target(spark, d).write.partitionBy("segment").parquet(path)
+    prepare_partitions(spark, _upsert_source(spark, d), path, _UPSERT_KEYS, ["segment"], now=fx.FIXTURE_NOW)
+    recover_partitions(spark, path)
+    return _tracked_out(spark.read.parquet(path))
+
+
+@register("medallion_resumed", O.over_pipeline(f"SELECT {_FEATURE_SQL_COLS} FROM features", "features", **_DUP))
+def q_medallion_resumed(spark, d) -> DataFrame:
+    """A run whose gold layer was for another channel, resumed: bronze and silver stay, gold is written anew."""
+    root, p = scratch_path(spark, "medallion-resumed"), fixture_params()
+    fx.stage_landing_zone(spark, d, f"{root}/raw", **_DUP)
+    options = {"calendar": fx.FIXTURE_CALENDAR, "now": fx.FIXTURE_NOW, "layout": fx.FIXTURE_LAYOUT, "resume": True}
+    run_medallion(spark, f"{root}/raw", root, replace(p, channel="MACHINERY"), **options)
+    return comparable_features(run_medallion(spark, f"{root}/raw", root, p, **options).gold)
+
+
+# ------------------------------------------------------------------ written layout
+
+
+@register("sorted_outputs", O.over_pipeline(f"""
+    SELECT 'dim_customer' AS table_name, COUNT(*) AS "rows", 0 AS inversions, 0 AS overlaps, TRUE AS ok FROM dim_customer
+    UNION ALL SELECT 'dim_date', COUNT(*), 0, 0, TRUE FROM dim_date
+    UNION ALL SELECT 'fact_order', COUNT(*), 0, 0, TRUE FROM ({O.FACT_ORDER})""", "dim_date", customers="dup", products="clean", header="dirty", detail="dirty"))
+def q_sorted_outputs(spark, d) -> DataFrame:
+    """The sorted layouts, written and proved from their files."""
+    root = scratch_path(spark, "sorted")
+    s = fixture_silver(spark, d, customers="dup")
+    tables = {
+        "dim_customer": (dim_customer(s.raw_customers, sort=True), "customer_id"),
+        "dim_date": (dim_date(spark, *fx.FIXTURE_CALENDAR, as_of=fx.FIXTURE_AS_OF, sort=True), "date"),
+        "fact_order": (fact_order(s.raw_header, s.dim_customer, sort=True), "order_id"),
+    }
+    reports = []
+    for name, (df, key) in tables.items():
+        write_table(df, f"{root}/{name}")
+        reports.append(order_report(spark, f"{root}/{name}", [key]).select(F.lit(name).alias("table_name"), "rows", "inversions", "overlaps", "ok"))
+    return reports[0].unionByName(reports[1]).unionByName(reports[2])
+
+
+@register("partition_file_audit", O.over_pipeline(
+    "SELECT period, COUNT(*) AS \"rows\", 0 AS files_over, 0 AS strays, TRUE AS ok FROM fact_order_line GROUP BY period", "fact_order_line"))
+def q_partition_file_audit(spark, d) -> DataFrame:
+    """The line fact in files of at most 500 rows: no file is larger, and every folder holds its own month."""
+    path = scratch_path(spark, "audited")
+    write_partitioned(fixture_silver(spark, d).fact_order_line, path, ["period"], max_records_per_file=500)
+    own = F.floor(F.col("order_date_id") / 100) == F.col("period")
+    return file_audit(spark, path, "period", own, 500).select("period", "rows", "files_over", "strays", "ok")
