@@ -5,16 +5,17 @@ token, without the full-width marks after it. Seeds are the Karp-Rabin hashes of
 ``least``-token windows of the benchmark items; a hash run over a document joins them. The seeds of a document
 and an item lie on diagonals, whose unbroken stretches are the matches. Tiling marks the longest match,
 then the longest among what is left unmarked on both sides, and so on down to ``least`` tokens. Tiles do not
-overlap but may come in any order, so reordered passages are caught. A document is contaminated by an
-item when its tiles cover ``coverage`` of the item's tokens; an item of fewer than ``SHORTEST`` tokens must be held as a
-whole, in one tile.
+overlap but may come in any order, so reordered passages are caught. A document is contaminated by an item of ``n`` tokens
+when the tiles within some stretch of ``SPREAD * n`` tokens cover ``coverage * n`` of the item's tokens, and ``SHORTEST`` of them
+at least (all of them, if it has fewer). So what a long text has scattered over it does not add up. An item
+of fewer than ``SHORTEST`` tokens must be held in one tile; those of one or two tokens are found by hashes of their own.
 
 The benchmark is read in blocks of at most about ``BLOCK_ITEMS`` items or ``BLOCK_CHARS`` characters, each of which
 goes to every task; the documents pass once per block, and no document is shuffled. With several blocks each pass is
 written, so the driver holds one block at a time.
 
-Cases: null and empty texts are clean; null item texts and items of fewer than ``least`` tokens, which hold
-no seed, are not searched for; repeated rows get equal verdicts; an empty benchmark or table gives
+Cases: null and empty texts are clean; null item texts and items without a token are not searched for; very long
+texts are searched whole; repeated rows get equal verdicts; an empty benchmark or table gives
 an empty result; further columns are ignored by :func:`matches` and kept by :func:`drop_contaminated`.
 """
 
@@ -35,6 +36,7 @@ from orderstar.llm.textops import JOINED, LOWER, UNSPACED, U, code_points, flat,
 LEAST = 3
 COVERAGE = 0.6
 SHORTEST = 8
+SPREAD = 5
 BLOCK_ITEMS = 5_000
 BLOCK_CHARS = 4_000_000
 
@@ -72,13 +74,20 @@ class Block:
     key: np.ndarray
     item: np.ndarray
     place: np.ndarray
+    #: Items of fewer tokens than a seed has, by their number of tokens: sorted hashes, and the item of each.
+    short: dict[int, tuple[np.ndarray, np.ndarray]]
 
     @classmethod
     def of(cls, rows: list[tuple], least: int) -> Block:
         data, offsets = flat(pa.array([t for _, t in rows], pa.string()))
         h, first = tokens(data, offsets)
         size = np.diff(first)
-        key, item, place = [], [], []
+        key, item, place, short = [], [], [], {}
+        for n in range(1, least):
+            few = np.flatnonzero(size == n)
+            hashes = np.array([windows(h[a : a + n], n)[0] for a in first[few].tolist()], U)
+            order = np.argsort(hashes, kind="stable")
+            short[n] = hashes[order], few[order]
         for i, (a, b) in enumerate(zip(first[:-1].tolist(), first[1:].tolist())):
             if b - a >= least:
                 w = windows(h[a:b], least)
@@ -86,10 +95,47 @@ class Block:
                 item.append(np.full(len(w), i))
                 place.append(np.arange(len(w)))
         if not key:
-            return cls([], size, np.zeros(0, U), np.zeros(0, int), np.zeros(0, int))
+            return cls([i for i, _ in rows], size, np.zeros(0, U), np.zeros(0, int), np.zeros(0, int), short)
         key, item, place = map(np.concatenate, (key, item, place))
         order = np.argsort(key, kind="stable")
-        return cls([i for i, _ in rows], size, key[order], item[order], place[order])
+        return cls([i for i, _ in rows], size, key[order], item[order], place[order], short)
+
+
+def needed(size: int, coverage: float) -> float:
+    """Tokens of an item that tiles must cover."""
+    return max(coverage * size, min(size, SHORTEST))
+
+
+def best_tiles(place: np.ndarray, where: np.ndarray, size: int, least: int, need: float) -> tuple[int, list[tuple[int, int, int]]]:
+    """Most tokens covered by the tiles of a stretch of ``SPREAD * size`` document tokens, and these tiles, from all seeds of a
+    document and an item; (0, []) if no stretch reaches ``need``. A stretch is tiled only if the item tokens of its seeds
+    are more than the best so far."""
+    order = np.lexsort((place, where))
+    place, where = place[order], where[order]
+    most = SPREAD * size
+    stop = np.searchsorted(where, where + most - least, side="right")
+    held = np.zeros(size, np.int64)  # seeds of the stretch that hold each item token
+    best: tuple[int, list] = (0, [])
+    right, bound = 0, 0
+    places, stops = place.tolist(), stop.tolist()
+    for left, end in enumerate(stops):
+        grown = end > right
+        for k in range(right, end):
+            token = held[places[k] : places[k] + least]
+            bound += int((token == 0).sum())
+            token += 1
+        right = end
+        if grown and bound >= need and bound > best[0]:  # else part of an earlier stretch
+            tiles = tile(np.column_stack((place[left:end], where[left:end])), least)
+            covered = sum(t[0] for t in tiles)
+            if covered >= need and covered > best[0] and (size >= SHORTEST or len(tiles) == 1):
+                best = (covered, tiles)
+        token = held[places[left] : places[left] + least]
+        token -= 1
+        bound -= int((token == 0).sum())
+        if best[0] == size:
+            break
+    return best
 
 
 def tile(pairs: np.ndarray, least: int) -> list[tuple[int, int, int]]:
@@ -125,6 +171,18 @@ def tile(pairs: np.ndarray, least: int) -> list[tuple[int, int, int]]:
 def search(block: Block, data: np.ndarray, offsets: np.ndarray, least: int, coverage: float) -> Iterator[tuple[int, int, int, list]]:
     """``(document, item, covered tokens, tiles)`` for the contaminated documents of a slice."""
     h, first = tokens(data, offsets)
+    for n, (hashes, items) in block.short.items():
+        w = windows(h, n)
+        if not len(hashes) or not len(w):
+            continue
+        at = np.flatnonzero(np.isin(w, hashes))
+        doc = np.searchsorted(first, at, side="right") - 1
+        at, doc = at[at + n <= first[doc + 1]], doc[at + n <= first[doc + 1]]
+        left, right = np.searchsorted(hashes, w[at]), np.searchsorted(hashes, w[at], side="right")
+        _, once = np.unique(doc * len(hashes) + left, return_index=True)
+        for d, a, x, y in zip(doc[once].tolist(), at[once].tolist(), left[once].tolist(), right[once].tolist()):
+            for i in items[x:y].tolist():
+                yield d, i, n, [(n, 0, a - int(first[d]))]
     w = windows(h, least)
     if not len(w) or not len(block.key):
         return
@@ -145,11 +203,10 @@ def search(block: Block, data: np.ndarray, offsets: np.ndarray, least: int, cove
         size = int(block.sizes[item[a]])
         distinct = np.unique(place[a:b])
         bound = int(np.minimum(np.diff(np.append(distinct, distinct[-1] + least)), least).sum())
-        need = size if size < SHORTEST else coverage * size
+        need = needed(size, coverage)
         if bound >= need:
-            tiles = tile(np.column_stack((place[a:b], where[a:b])), least)
-            covered = sum(t[0] for t in tiles)
-            if covered >= need and (size >= SHORTEST or len(tiles) == 1):
+            covered, tiles = best_tiles(place[a:b], where[a:b], size, least, need)
+            if covered:
                 yield int(doc[a]), int(item[a]), covered, tiles
 
 

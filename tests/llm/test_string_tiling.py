@@ -90,3 +90,67 @@ def test_short_items_and_text_without_blanks(spark):
     bench = spark.createDataFrame([(1, short), (2, han)], "item_id long, text string")
     assert {(r.doc_id, tuple(r.item_ids)) for r in T.digest(docs, bench).collect()} == {(1, (1,)), (3, (2,)), (5, (2,))}
     assert sorted(r.doc_id for r in T.drop_contaminated(docs, bench).collect()) == [2, 4]
+
+
+def test_items_of_one_and_two_tokens_are_found_exactly(spark):
+    docs = [(1, "the photosynthesis equation, solved"), (2, "photosynthesis has an equation"), (3, "Zyzzyva!"), (4, "zyzzyvas"), (5, "equation"), (6, "zyzzyva zyzzyva photosynthesis equation"), (7, None)]
+    docs = spark.createDataFrame(docs, "doc_id long, text string")
+    bench = spark.createDataFrame([(1, "Photosynthesis equation"), (2, "zyzzyva"), (3, "zyzzyva"), (4, ""), (5, "...")], "item_id long, text string")
+    got = {(r.doc_id, tuple(sorted(r.item_ids))) for r in T.digest(docs, bench.where("item_id < 5")).collect()}
+    assert got == {(1, (1,)), (3, (2, 3)), (6, (1, 2, 3))}
+    assert sorted(r.doc_id for r in T.drop_contaminated(docs, bench.where("item_id < 5")).collect()) == [2, 4, 5, 7]
+
+
+def test_scattered_parts_of_a_long_text_do_not_add_up(spark):
+    """Parts of an item thousands of words apart are chance; the same parts side by side, in any order, are not."""
+    r = np.random.default_rng(8)
+    plain = lambda n: " ".join(f"v{x}" for x in r.integers(0, 900, n))
+    nine = "what is the old name of capital of france"
+    parts = [p.lower() for p in ITEM.split(". ")]
+    docs = [
+        (1, f"{plain(2500)} what is the old {plain(5000)} capital of france {plain(2500)}"), (2, f"{plain(3000)} {parts[0]} {plain(4000)} {parts[1]} {plain(3000)} {parts[2]}"),
+        (3, f"{plain(4000)} {parts[2]} {plain(3)} {parts[0]} {plain(4)} {parts[1]} {plain(4000)}"), (4, f"{plain(3000)} {nine} {plain(3000)}"),
+    ]
+    docs = spark.createDataFrame(docs, "doc_id long, text string")
+    bench = spark.createDataFrame([(1, nine), (2, ITEM)], "item_id long, text string")
+    assert {(x.doc_id, tuple(x.item_ids)) for x in T.digest(docs, bench).collect()} == {(3, (2,)), (4, (1,))}
+
+
+def test_matches_equal_a_plain_search_of_every_stretch(spark):
+    """A random table of few words: every document, item and stretch tiled from scratch."""
+    r = np.random.default_rng(13)
+    items = [[f"w{x}" for x in r.integers(0, 25, int(n))] for n in (1, 2, 3, 5, 8, 11, 14, 20, 26)]
+    docs = []
+    for _ in range(60):
+        text = [f"w{x}" for x in r.integers(0, 60, int(r.integers(0, 150)))]
+        for _ in range(int(r.integers(0, 4))):
+            p = items[int(r.integers(0, len(items)))]
+            a = int(r.integers(0, len(p)))
+            at = int(r.integers(0, len(text) + 1))
+            text[at:at] = p[a : a + int(r.integers(1, len(p) + 1))]
+        docs.append(text)
+    want = {}
+    for d, text in enumerate(docs):
+        for i, p in enumerate(items):
+            n = len(p)
+            if n < 3:
+                if any(text[k : k + n] == p for k in range(len(text) - n + 1)):
+                    want[d, i] = 1.0
+                continue
+            need, best = max(0.6 * n, min(n, 8)), 0
+            for a in range(max(1, len(text) - 2)):
+                part = text[a : a + 5 * n]
+                seeds = [(x, y) for y in range(len(part) - 2) for x in range(n - 2) if p[x : x + 3] == part[y : y + 3]]
+                if seeds:
+                    tiles = T.tile(np.array(seeds), 3)
+                    covered = sum(t[0] for t in tiles)
+                    if covered >= need and (n >= 8 or len(tiles) == 1):
+                        best = max(best, covered)
+            if best:
+                want[d, i] = best / n
+    frame = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(docs)], "doc_id long, text string").repartition(3)
+    bench = spark.createDataFrame([(i, " ".join(p)) for i, p in enumerate(items)], "item_id long, text string")
+    got = {(x.doc_id, x.item_id): x.coverage for x in T.matches(frame, bench).collect()}
+    assert set(got) == set(want) and len(want) > 20
+    # of stretches that cover equally much any may be reported; a larger one may tile a little less than one within it
+    assert all(abs(got[k] - want[k]) < 0.25 for k in got) and sum(got[k] == want[k] for k in got) > 0.9 * len(got)
