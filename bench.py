@@ -3,7 +3,8 @@
 Env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8), BENCH_REPEAT (default 2): each
 query runs once cold, then BENCH_REPEAT more times; "queries" reports the best warm run, "cold" the first.
 Each query is executed in full through the ``noop`` sink (every row produced, nothing collected to the
-driver), including the time to build its plan (size-check counts, silver writes of the gold queries).
+driver), including the time to build its plan (size-check counts, silver writes of the gold queries). What a session holds
+from earlier gold queries (their written hand-off) is dropped before each run, so every run reads the raw tables.
 """
 
 from __future__ import annotations
@@ -27,6 +28,7 @@ def main() -> None:
 
     spark = local_session(cpus=cpus, shuffle_partitions=int(cpus) if cpus.isdigit() else 8, app="orderstar-bench")
     spark.sparkContext.setLogLevel("ERROR")
+    from orderstar.plans.fixture_build import forget_gold_inputs
     from orderstar.plans.registry import QUERIES
 
     names = sys.argv[1:] or HEADLINE
@@ -34,6 +36,7 @@ def main() -> None:
     for name in names:
         runs = []
         for _ in range(1 + repeat):
+            forget_gold_inputs(spark)
             t0 = time.perf_counter()
             QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
             runs.append(time.perf_counter() - t0)

@@ -15,7 +15,7 @@ from orderstar.operators.facts import fact_order_line
 from orderstar.operators.features import FeatureParams, window_fact_lines
 from orderstar.session import scratch_path
 from orderstar.sources import fixtures as fx
-from orderstar.sources.files import read_parquet
+from orderstar.sources.files import path_state, read_parquet
 from orderstar.sources.writers import write_partitioned, write_table
 
 # The fact's columns that some gold query reads.
@@ -69,12 +69,12 @@ def fixture_gold_inputs(spark: SparkSession, sf_dir: str, params: FeatureParams
     the columns they read: ``period >= start`` (the same filter they apply) is pushed into the fact's plan. There
     it becomes an inner join with the headers of the window, so only those lines are joined and written.
 
-    The gold queries of a session share one hand-off for each folder, window and variant (the driver's tables
-    are read-only).
+    The gold queries of a session share one hand-off for each folder, state of its files, window and variant.
     """
     p = params or fixture_params()
     held = spark.__dict__.setdefault("_orderstar_gold_inputs", {})
-    key = (sf_dir, str(p.as_of), p.months, tuple(sorted(variants.items())))
+    state = tuple(path_state(spark, f"{sf_dir.rstrip('/')}/{name}.parquet") for name in fx.TABLES)
+    key = (sf_dir, state, str(p.as_of), p.months, tuple(sorted(variants.items())))
     if key not in held:
         s = fixture_silver(spark, sf_dir, **variants)
         root = scratch_path(spark, "silver")
@@ -85,3 +85,8 @@ def fixture_gold_inputs(spark: SparkSession, sf_dir: str, params: FeatureParams
         write_partitioned(window_fact_lines(fact, p).select(*GOLD_FACT_COLUMNS), f"{root}/fact_order_line", ["period"])
         held[key] = replace(s, root=root, fact_order_line=read_parquet(spark, f"{root}/fact_order_line"))
     return held[key]
+
+
+def forget_gold_inputs(spark: SparkSession) -> None:
+    """The next gold query reads the raw tables again (for timings)."""
+    spark.__dict__.pop("_orderstar_gold_inputs", None)

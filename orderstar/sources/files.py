@@ -83,6 +83,17 @@ def partition_values(spark: SparkSession, path: str, column: str) -> list[int]:
     return sorted(int(n.split("=", 1)[1]) for n in names if re.fullmatch(rf"{re.escape(column)}=-?[0-9]+", n))
 
 
+def path_state(spark: SparkSession, path: str) -> tuple[int, int, int]:
+    """Number, bytes and latest modification time of the files of a table (a file, or a folder of files): tells whether it was
+    written anew."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(place):
+        return 0, 0, 0
+    found = [s for s in files.listStatus(place) if s.isFile()]
+    return len(found), sum(s.getLen() for s in found), max((s.getModificationTime() for s in found), default=0)
+
+
 def with_audit_columns(
     df: DataFrame,
     now: dt.datetime | str | Column | None = None,

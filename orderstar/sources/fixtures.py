@@ -20,6 +20,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
+from orderstar.sources.files import path_state
+
 MONEY = DecimalType(18, 2)
 
 # Fixed values for the fixture parameters (see FIXTURES.md).
@@ -30,17 +32,21 @@ FIXTURE_CALENDAR = ("1995-01-01", "2001-12-31")
 FIXTURE_NOW = "2001-08-01 12:00:00"
 
 
-# The driver's tables are read-only, so one DataFrame per (session, file) is reused: the file listing and
-# footer read behind ``spark.read.parquet`` happen once per session instead of once per query.
+#: The driver's tables that the raw inputs are made from.
+TABLES = ("customer", "nation", "region", "part", "orders", "lineitem")
+
+# One DataFrame per (session, file and its state) is reused: the file listing and footer read behind
+# ``spark.read.parquet`` happen once per session instead of once per query.
 # (Kept on the session object itself, so they go with it.)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
     per_session = spark.__dict__.setdefault("_orderstar_tables", {})
-    if path not in per_session:
-        per_session[path] = spark.read.parquet(path)
-    return per_session[path]
+    state = path_state(spark, path)
+    if path not in per_session or per_session[path][0] != state:
+        per_session[path] = (state, spark.read.parquet(path))
+    return per_session[path][1]
 
 
 def _id(col: str) -> Column:

@@ -174,3 +174,10 @@ def test_one_changed_value_fails_the_reconcile(spark, tmp_root):
     assert not report(df.withColumn("s2", F.when(F.col("i") == 2, F.col("t")).otherwise(F.col("s"))).withColumn("t", F.when(F.col("i") == 2, F.col("s")).otherwise(F.col("t"))).drop("s").withColumnRenamed("s2", "s").select(*df.columns))["ok"]
     parts = write_and_reconcile_content(df.withColumn("p", F.lit(7).cast("long")), f"{tmp_root}/p", partition_by=["p"]).first()
     assert parts["ok"] and os.path.isdir(f"{tmp_root}/p/p=7")
+
+
+def test_a_table_written_anew_is_read_anew(spark, tmp_root):
+    spark.range(3).write.parquet(f"{tmp_root}/part.parquet")
+    assert fx.table(spark, tmp_root, "part").count() == 3 and fx.table(spark, tmp_root, "part") is fx.table(spark, tmp_root, "part")
+    spark.range(5).write.mode("overwrite").parquet(f"{tmp_root}/part.parquet")
+    assert fx.table(spark, tmp_root, "part").count() == 5
