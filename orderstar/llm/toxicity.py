@@ -32,6 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orderstar.llm.jaccard_join import shingles
+from orderstar.llm.sparkops import stage
 from orderstar.llm.textops import LOWER, U, flat, mix, prefix_hash, range_hash, signed, slices, words
 
 FIT_ROWS = 20_000
@@ -159,22 +160,34 @@ def _calibration(model: Model):
         for batch in slices(batches):
             _, _, first, f, _ = features(*flat(batch.column("text")))
             score = word_scores(model, f)
-            best, n, hist, sums = [], [], [], []
+            best, n, hist = [], [], []
             for a, b in zip(first[:-1].tolist(), first[1:].tolist()):
                 own = score[a:b]
-                found = segments(own)
-                best.append(max((s for s, *_ in found), default=0.0))
-                sums.append([s for s, *_ in found])
+                best.append(max((s for s, *_ in segments(own)), default=0.0))
                 n.append(b - a)
                 hist.append(np.bincount(np.minimum(np.maximum(own, 0) * 2, BINS - 1).astype(int), minlength=BINS).tolist())
             yield pa.RecordBatch.from_arrays(
-                [pa.array(best), pa.array(n, pa.int64()), pa.array(hist, pa.list_(pa.int64())), pa.array(sums, pa.list_(pa.float64())), batch.column("toxic")],
-                names=["best", "n", "hist", "sums", "toxic"],
+                [pa.array(best), pa.array(n, pa.int64()), pa.array(hist, pa.list_(pa.int64())), batch.column("toxic")],
+                names=["best", "n", "hist", "toxic"],
             )
 
     return rows
 
 
+def _inputs(model: Model):
+    """The two inputs of the curve, and the label, of calibration documents."""
+
+    def rows(batches):
+        for batch in slices(batches):
+            _, _, first, f, _ = features(*flat(batch.column("text")))
+            score = word_scores(model, f)
+            both = [shaped(*evidence(model, score[a:b])[:2]) for a, b in zip(first[:-1].tolist(), first[1:].tolist())]
+            x, y = zip(*both)
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.float64()), pa.array(y, pa.float64()), batch.column("toxic")], names=["x", "y", "toxic"])
+
+    return rows
+
+
 def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % 3 == 1, F.lit(False))
 
@@ -214,6 +227,7 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Model:
     )
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     known = texts.join(F.broadcast(ids), F.col("doc_id") == F.col("label_id")).select("label_id", "text", "toxic")
+    known = stage(known, "op2-known")  # at most ``fit_rows`` labels' documents, read three times
     third = F.pmod(F.xxhash64("label_id", F.lit("calibrate")), F.lit(3)) == 0
     # near copies count once for the lexicon, or their chance words would look toxic
     keys = [f"f{i}" for i in range(len(FAMILY))]
@@ -242,7 +256,7 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Model:
     order = np.argsort(keys)
     weights = np.clip([r.d - r.e for r in top], MIN_WEIGHT, BINS / 2 - 0.5)
     model = Model(keys[order], weights[order])
-    rows = known.where(third).select("text", "toxic").mapInArrow(_calibration(model), "best double, n long, hist array<long>, sums array<double>, toxic int").collect()
+    rows = known.where(third).select("text", "toxic").mapInArrow(_calibration(model), "best double, n long, hist array<long>, toxic int").collect()
     clean = [r for r in rows if not r.toxic and r.n]
     hist = np.array([r.hist for r in clean]).sum(axis=0) if clean else np.zeros(BINS)
     p = (hist + np.r_[1.0, np.full(BINS - 1, 1e-3)]) / (hist.sum() + 1 + (BINS - 1) * 1e-3)
@@ -253,13 +267,9 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Model:
         low, high = (low, lam) if p @ np.exp(lam * s) > 1 else (lam, high)
     model.lam = max(lam, 0.05)
     model.log_k = float(np.mean([model.lam * r.best - np.log(r.n) for r in clean]) - 0.5772) if clean else 0.0
-
-    def two(r):
-        x = [model.lam * v - model.log_k - np.log(r.n) for v in r.sums]
-        return max(0.0, max(x) + 5.0) if x else 0.0, sum(v for v in x if v > 0)
-
     if rows and 0 < sum(r.toxic for r in rows) < len(rows):
-        model.curve = _rate(np.array([r.toxic for r in rows], float), np.array([shaped(*two(r)) for r in rows]))
+        found = known.where(third).select("text", "toxic").mapInArrow(_inputs(model), "x double, y double, toxic int").collect()
+        model.curve = _rate(np.array([r.toxic for r in found], float), np.array([(r.x, r.y) for r in found]))
     return model
 
 
