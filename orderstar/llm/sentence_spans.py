@@ -26,6 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -151,7 +152,7 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             n_spans.append(len(lo))
             kept.append(data[offsets[i] : offsets[i + 1]][mask].tobytes().decode())
         yield pa.RecordBatch.from_arrays(
-            [batch.column("id"), pa.array(n_sentences, pa.int64()), pa.array(removed, pa.int64()), pa.array(n_spans, pa.int64()), pa.array(kept, pa.string())],
+            [pc.if_else(batch.column("missing"), None, batch.column("id")), pa.array(n_sentences, pa.int64()), pa.array(removed, pa.int64()), pa.array(n_spans, pa.int64()), pa.array(kept, pa.string())],
             names=["doc_id", "n_sentences", "n_removed", "n_spans", "text"],
         )
 
@@ -159,15 +160,17 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def remove_spans(docs: DataFrame, run: int = RUN, least: int = MIN_WORDS) -> DataFrame:
     """Per document: ``doc_id, n_sentences, n_removed, n_spans`` (maximal removed runs) and the kept ``text``."""
     nothing = F.lit(-(1 << 63)).cast("long")
-    docs = docs.select(F.coalesce(F.col("doc_id").cast("long"), nothing).alias("id"), F.col("text").cast("string").alias("text"))
-    docs = docs.withColumn("row", F.xxhash64(F.coalesce("text", F.lit(""))))
+    missing = F.col("doc_id").isNull()
+    docs = docs.select(F.coalesce(F.col("doc_id").cast("long"), nothing).alias("id"), F.col("text").cast("string").alias("text"), missing.alias("missing"))
+    # a document without an id is none of that number
+    docs = docs.withColumn("row", F.xxhash64(F.coalesce("text", F.lit("")), "missing"))
     again = stage(docs.mapInArrow(hash_rows(run, least), "h long").groupBy("h").count().where("count > 1").select("h"), "op9-hashes")
     found = stage(docs.mapInArrow(span_rows(run, least), "h long, k long, id long, row long, lo int, hi int").join(again, "h"), "op9-found")
     low = stage(found.groupBy("h", "k").agg(F.min(F.struct("id", "row", "lo")).alias("low")), "op9-low")
     later = found.join(low, ["h", "k"]).where(F.struct("id", "row", "lo") != F.col("low")).select("id", "row", "lo", "hi")
     lists = stage(later.groupBy("id", "row").agg(F.collect_set(F.struct("lo", "hi")).alias("spans")), "op9-spans")
     cut = docs.join(lists, ["id", "row"], "left").mapInArrow(_cut, "doc_id long, n_sentences long, n_removed long, n_spans long, text string")
-    return cut.withColumn("doc_id", F.nullif("doc_id", nothing))
+    return cut
 
 
 def digest(docs: DataFrame) -> DataFrame:

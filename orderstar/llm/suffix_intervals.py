@@ -31,6 +31,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -345,7 +346,7 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             removed.append(int(np.sum(np.subtract(hi, lo))) if len(lo) else 0)
             n_spans.append(len(lo))
         yield pa.RecordBatch.from_arrays(
-            [batch.column("id"), pa.array(np.diff(offsets)), pa.array(removed, pa.int64()), pa.array(n_spans, pa.int64()), pa.array(kept, pa.binary())],
+            [pc.if_else(batch.column("missing"), None, batch.column("id")), pa.array(np.diff(offsets)), pa.array(removed, pa.int64()), pa.array(n_spans, pa.int64()), pa.array(kept, pa.binary())],
             names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept"],
         )
 
@@ -353,12 +354,14 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, dense: int = DENSE) -> DataFrame:
     """Per document: ``doc_id, n_bytes, n_removed, n_spans, kept`` (the remaining bytes)."""
     nothing = F.lit(-(1 << 63)).cast("long")
-    docs = docs.select(F.coalesce(F.col("doc_id").cast("long"), nothing).alias("id"), F.col("text").cast("string").alias("text"))
-    docs = docs.withColumn("row", F.xxhash64(F.coalesce("text", F.lit(""))))
+    missing = F.col("doc_id").isNull()
+    docs = docs.select(F.coalesce(F.col("doc_id").cast("long"), nothing).alias("id"), F.col("text").cast("string").alias("text"), missing.alias("missing"))
+    # a document without an id is none of that number
+    docs = docs.withColumn("row", F.xxhash64(F.coalesce("text", F.lit("")), "missing"))
     spans = repeated_spans(docs, length, gram, dense)
     lists = stage(spans.groupBy("id", "row").agg(F.collect_set(F.struct("lo", "hi")).alias("spans")), "op10-spans")
     cut = docs.join(lists, ["id", "row"], "left").mapInArrow(_cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
-    return cut.withColumn("doc_id", F.nullif("doc_id", nothing))
+    return cut
 
 
 def digest(docs: DataFrame) -> DataFrame:

@@ -88,3 +88,13 @@ def test_texts_under_one_id_are_documents(spark):
         got = S.digest(spark.createDataFrame([(i, t) for t in texts], "doc_id long, text string")).collect()
         assert {r.doc_id for r in got} == {i} and sorted(r.n_removed for r in got) == [0, 2]
         assert sorted(r.text.replace(shared, "").strip() for r in got) == sorted(t.replace(shared, "").strip() for t in texts)
+
+
+def test_no_id_is_not_the_smallest_id(spark):
+    """A real id of -2**63 stays itself, beside a document without one that has the same text."""
+    from orderstar.llm import sentence_spans
+
+    text = " ".join(" ".join(f"word{10 * k + i}" for i in range(9)) + "." for k in range(6))
+    rows = [(None, text), (-(1 << 63), text), (3, text)]
+    got = {(r.doc_id is None, r.doc_id): r.n_removed for r in sentence_spans.digest(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert set(got) == {(True, None), (False, -(1 << 63)), (False, 3)} and sorted(got.values())[0] == 0 and got[False, 3] > 0 and sorted(got.values())[1] > 0

@@ -81,3 +81,15 @@ def test_texts_under_one_id_are_documents(spark, dense):
             kept = x.kept.decode()
             assert kept == text or kept.replace(shared[:10], "").replace(shared[140:], "") == rest
         assert any(x.n_removed == 0 for x in got) and sum(x.n_removed for x in got) >= 260
+
+
+def test_no_id_is_not_the_smallest_id(spark):
+    """A real id of -2**63 stays itself, beside a document without one that has the same text."""
+    text = "".join(f"{i * 7919 % 1000:03d}" for i in range(60))
+    rows = [(None, text), (-(1 << 63), text), (-(1 << 63), "short"), (3, "q" + text)]
+    from orderstar.llm import suffix_intervals
+
+    got = sorted(((r.doc_id is None, r.doc_id or 0, r.n_bytes, r.n_removed) for r in suffix_intervals.digest(spark.createDataFrame(rows, "doc_id long, text string")).collect()))
+    assert [(a, b, c) for a, b, c, _ in got] == [(False, -(1 << 63), 5), (False, -(1 << 63), 180), (False, 3, 181), (True, 0, 180)]
+    removed = {(a, b, c): d for a, b, c, d in got}
+    assert removed[False, 3, 181] == 180 and removed[False, -(1 << 63), 180] + removed[True, 0, 180] == 180
