@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderstar.llm.sparkops import components, stage
+from orderstar.llm.sparkops import components, discard, stage
 from orderstar.llm.textops import LOWER, SLICE_BYTES, U, flat, mix, prefix_hash, range_hash, release, signed, slices, words
 
 SIZE = 5
@@ -341,23 +341,28 @@ def _links(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, size: int, perce
     texts = docs.join(wanted, F.col("doc_id").eqNullSafe(F.col("want")) & (F.col("h") == F.col("want_h"))).select("text")
     sets = texts.mapInArrow(_sets(size), "node long, tokens array<long>").dropDuplicates(["node"])
     sets = stage(sets, f"{name}-sets")
+    # the sets are the largest of it
     whole = possible.join(sets.select(F.col("node").alias("a"), F.col("tokens").alias("x")), "a").join(sets.select(F.col("node").alias("b"), F.col("tokens").alias("y")), "b")
-    return stage(whole.mapInArrow(_verified(percent), "a long, b long"), f"{name}-links")
+    links = stage(whole.mapInArrow(_verified(percent), "a long, b long"), f"{name}-links")
+    discard(sets, possible, wanted)
+    return links
 
 
-def _cross(index: DataFrame, known: DataFrame, nodes: DataFrame, name: str) -> DataFrame:
+def _cross(index: DataFrame, known: DataFrame, nodes: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
     """Index rows of keys with several components, with component, size and sketch, dealt by key. A key with more
-    than ``GROUP`` nodes is dealt as pairs of blocks, so no task gets more than two blocks of a group."""
+    than ``GROUP`` nodes is dealt as pairs of blocks, so no task gets more than two blocks of a group. Also the written table
+    behind them."""
     own = index.select("node").distinct().join(known, "node", "left").select("node", F.coalesce("component", "node").alias("component"))
     placed = stage(index.select("key", "node").join(stage(own, f"{name}-own"), "node"), f"{name}-placed")
     mixed = placed.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count(F.lit(1)).alias("c")).where("x < y")
     mixed = stage(mixed.select("key", F.ceil(F.col("c") / GROUP).cast("int").alias("blocks")), f"{name}-mixed")
     few = stage(placed.join(mixed, "key"), f"{name}-cross")
+    discard(placed)
     rows = few.join(nodes.select("node", "n", "sketch"), "node")
     side = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     rows = rows.withColumn("side", side).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     part = F.least("side", "other") * F.col("blocks") + F.greatest("side", "other")
-    return rows.select("key", part.alias("part"), "node", "component", "side", "n", "sketch").repartition("key", "part").sortWithinPartitions("key", "part", "node")
+    return rows.select("key", part.alias("part"), "node", "component", "side", "n", "sketch").repartition("key", "part").sortWithinPartitions("key", "part", "node"), few
 
 
 def similar_classes(docs: DataFrame, size: int = SIZE, percent: int = PERCENT, frequent_from: int = FREQUENT_FROM, frequent_most: int = FREQUENT_MOST) -> DataFrame:
@@ -395,9 +400,10 @@ def similar_texts(docs: DataFrame, size: int = SIZE, percent: int = PERCENT, fre
     )
     frequent = [r.token for r in often.collect()]  # at most frequent_most hashes
     # written before the shared keys are known: its rows are made once
-    index = stage(text.mapInArrow(_index(size, percent, frequent), "key long, node long"), f"{name}-all-keys")
-    shared = index.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high"), F.count(F.lit(1)).alias("c")).where("low < high").select("key", "c")
-    index = stage(index.join(stage(shared, f"{name}-keys"), "key").distinct(), f"{name}-index")
+    every = stage(text.mapInArrow(_index(size, percent, frequent), "key long, node long"), f"{name}-all-keys")
+    shared = every.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high"), F.count(F.lit(1)).alias("c")).where("low < high").select("key", "c")
+    index = stage(every.join(stage(shared, f"{name}-keys"), "key").distinct(), f"{name}-index")
+    discard(every)
 
     # the centre of a group is the member with the largest groups (of near copies, mostly the original)
     weight = stage(index.groupBy("node").agg(F.sum("c").alias("w")), f"{name}-weights")
@@ -406,14 +412,17 @@ def similar_texts(docs: DataFrame, size: int = SIZE, percent: int = PERCENT, fre
     centre = heavy.select("key", "node").join(tops, "key").where("node <> centre").groupBy("node", "centre").agg(F.max("w").alias("w"), F.count(F.lit(1)).alias("c"))
     centre = centre.groupBy("node").agg(F.max_by("centre", F.struct("w", "c", "centre")).alias("centre"))
     links = _links(centre.select(F.col("node").alias("a"), F.col("centre").alias("b")), nodes, docs, size, percent, f"{name}-centre")
+    discard(heavy, tops)
 
     # the nearest members of other components, then all possible links that are left
     for step, best in (("nearest", True), ("rest", False)):
         known = stage(components(links, name), f"{name}-known")
-        near = _cross(index, known, nodes, name).mapInArrow(_near(percent, best), "a long, b long, d double")
+        met, few = _cross(index, known, nodes, name)
+        near = met.mapInArrow(_near(percent, best), "a long, b long, d double")
         if best:
             near = near.groupBy("a").agg(F.min_by("b", F.struct("d", "b")).alias("b")).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
         pairs = stage(near.select("a", "b").distinct(), f"{name}-{step}")
+        discard(few)
         links = stage(links.union(_links(pairs, nodes, docs, size, percent, f"{name}-{step}")), f"{name}-links")
     joined = stage(components(links, name), f"{name}-components")
 

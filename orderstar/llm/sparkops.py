@@ -29,6 +29,15 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(*tables: DataFrame) -> None:
+    """Removes written hand-offs (of :func:`stage`) whose successors are wholly written: nothing reads them again."""
+    for df in tables:
+        files = df.inputFiles()
+        if files:
+            place = df.sparkSession._jvm.org.apache.hadoop.fs.Path(files[0]).getParent()
+            place.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def reachable(spark: SparkSession) -> None:
     """Lets Python workers import this package where it is not installed but lies at the same path (a local
     session, a shared folder); elsewhere the entry has no effect."""
