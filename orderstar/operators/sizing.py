@@ -58,15 +58,28 @@ def broadcast_if_within(
     """``broadcast(df)`` when ``sized_by`` (default ``df``; it must have at least ``df``'s rows) has at most
     ``max_rows`` rows and those rows, with ``df``'s fixed width and the measured bytes of its strings, fit in
     ``max_bytes``; else ``df`` unchanged (the planner keeps a shuffle join)."""
-    n = row_count(df if sized_by is None else sized_by)
-    small = n <= max_rows and n * row_width(df) + (string_bytes(df) if n <= max_rows else 0) <= max_bytes
+    whole = df if sized_by is None else sized_by
+    if whole in _row_counts or not _strings(df):
+        n = row_count(whole)
+        text = string_bytes(df) if n <= max_rows else 0
+    else:  # rows and bytes in one pass: a dimension that is still a plan is worked out once for both
+        n, text = df.agg(F.count(F.lit(1)), _text(df)).first()
+        if sized_by is None:
+            _row_counts[whole] = n
+    small = n <= max_rows and n * row_width(df) + int(text) <= max_bytes
     return F.broadcast(df) if small else df
 
 
+def _strings(df: DataFrame) -> list[str]:
+    return [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
+
+
+def _text(df: DataFrame):
+    """Aggregate: the bytes of all string values."""
+    each = [F.coalesce(F.sum(F.octet_length(c)), F.lit(0)) for c in _strings(df)]
+    return sum(each[1:], each[0])
+
+
 def string_bytes(df: DataFrame) -> int:
     """Bytes of all string values of ``df`` (one aggregate; none where it has no string column)."""
-    names = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
-    if not names:
-        return 0
-    total = sum((F.coalesce(F.sum(F.octet_length(c)), F.lit(0)) for c in names[1:]), F.coalesce(F.sum(F.octet_length(names[0])), F.lit(0)))
-    return int(df.agg(total.alias("n")).first()["n"])
+    return int(df.agg(_text(df).alias("n")).first()["n"]) if _strings(df) else 0

@@ -25,7 +25,8 @@ from orderstar.plans.medallion import run_medallion
 from orderstar.plans.registry import _DUP, _FEATURE_SQL_COLS, _HDR, _UPSERT_KEYS, _merge_sql, _tracked_out, _upsert_source, _upsert_target, comparable_features, register
 from orderstar.session import scratch_path
 from orderstar.sources import fixtures as fx
-from orderstar.sources.ledger import ingest_new, read_bronze
+from orderstar.sources.files import ingest_csv
+from orderstar.sources.ledger import ingest_new, preflight, read_bronze
 from orderstar.sources.writers import write_partitioned, write_table
 
 # ------------------------------------------------------------------ features from a monthly state
@@ -243,3 +244,22 @@ def q_partition_file_audit(spark, d) -> DataFrame:
     write_partitioned(fixture_silver(spark, d).fact_order_line, path, ["period"], max_records_per_file=500)
     own = F.floor(F.col("order_date_id") / 100) == F.col("period")
     return file_audit(spark, path, "period", own, 500).select("period", "rows", "files_over", "strays", "ok")
+
+
+# ------------------------------------------------------------------ pre-flight
+
+
+@register("source_preflight", """
+    SELECT 'customer' AS source, TRUE AS ok, COUNT(*) AS "rows" FROM customer UNION ALL
+    SELECT 'orders_header', TRUE, COUNT(*) FROM orders UNION ALL
+    SELECT 'orders_detail', FALSE, 0""")
+def q_source_preflight(spark, d) -> DataFrame:
+    """A landing zone without detail files: found and missing sources as rows, and the rows of those that are there."""
+    root = scratch_path(spark, "preflight")
+    fx.stage_csv(fx.raw_customers(spark, d), f"{root}/customers.csv")
+    fx.stage_csv(fx.raw_order_header(spark, d), f"{root}/orders_header")
+    layout = {name: fx.FIXTURE_LAYOUT[name] for name in ("customer", "orders_header", "orders_detail")}
+    report = preflight(spark, root, layout)
+    there = [r["source"] for r in report.where("ok").collect()]
+    counts = [ingest_csv(spark, f"{root}/{layout[n][0]}", layout[n][1]).agg(F.count(F.lit(1)).alias("rows")).withColumn("source", F.lit(n)) for n in there]
+    return report.join(counts[0].unionByName(counts[1]), "source", "left").select("source", "ok", F.coalesce("rows", F.lit(0)).alias("rows"))
