@@ -19,7 +19,8 @@ Instances count once per distinct word, so copies of a passage do not make a pat
 ``ACCEPT`` are found spans of their best kind. The edges are aggregated per pattern and per instance (combined on
 the map side); both sides of each join are written, so Spark can split a very common pattern.
 
-Cases: a null text counts as empty; a null id passes through; repeated rows get equal spans; ties between kinds go to the
+Cases: a null text counts as empty; very long texts are read whole, as a slice of their own; 
+a null id passes through; repeated rows get equal spans; ties between kinds go to the
 first listed; an empty table gives an empty result; further columns are ignored by :func:`find` and kept by :func:`mask`.
 """
 

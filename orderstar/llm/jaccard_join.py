@@ -22,7 +22,8 @@ and links with nothing).
   link, the rest is intersected exactly.
 
 Cases: null and blank texts keep their row with 0 shingles and a component of their own; repeated rows link like any
-copies; an empty table gives an empty result; a component's id is its smallest non-null doc_id; other columns are ignored.
+copies; rows that share an id, or have none, are told apart by their texts;
+very long texts are read whole, as a slice of their own; an empty table gives an empty result; a component's id is its smallest non-null doc_id; other columns are ignored.
 """
 
 from __future__ import annotations

@@ -17,7 +17,8 @@ An input is cut where no piece spans both sides (two bytes that are neighbours i
 path there; a slice of documents is encoded by its distinct parts, whose ids are kept up to ``CACHE_PARTS``.
 
 Cases: a null or empty text has no pieces and decodes to the empty text; invalid byte pieces decode to U+FFFD as the
-library's do; a null id and repeated rows pass through; an empty table gives an empty result; further columns are ignored.
+library's do; a null id and repeated rows pass through; very long texts are read whole, as a slice of their own; 
+ an empty table gives an empty result; further columns are ignored.
 """
 
 from __future__ import annotations

@@ -8,7 +8,8 @@ combined before the shuffle).
 
 Words are runs of characters other than ``\\x20 \\x09-\\x0D``; lines are split at ``\\n``.
 
-Cases: a null text has no words, fails ``few_words`` and is not kept; an empty table gives an empty ledger; repeated
+Cases: a null text has no words, fails ``few_words`` and is not kept; very long texts are measured whole;
+an empty table gives an empty ledger; repeated
 rows get equal ledger rows; other columns are not carried.
 """
 

@@ -17,7 +17,8 @@ tables on both sides, so Spark can split a hash with very many occurrences. A do
 Cases: null and empty texts stay as they are with 0 sentences; a text of fewer than ``RUN`` sentences or
 ``MIN_WORDS`` words has no span; a null id comes before all others; repeated rows (equal id and text) are one
 occurrence and stay alike; different texts under one id, a null id too, are documents of their own (a document is its id
-and the hash of its text, ``row``), ordered by the hash; an empty table gives an empty result; other columns are ignored.
+and the hash of its text, ``row``), ordered by the hash; very long texts are read whole, as a slice of their own; 
+an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations

@@ -21,7 +21,8 @@ one anchor occurrence are a range, and the bytes they span are its *context*.
 
 Cases: a null text counts as empty and keeps its row; texts under ``length`` bytes are kept whole; a null id
 comes before all others; repeated rows (equal id and text) are one occurrence and are kept alike; different texts under
-one id, a null id too, are documents of their own (a document is its id and the hash of its text, ``row``); an empty
+one id, a null id too, are documents of their own (a document is its id and the hash of its text, ``row``); 
+very long texts are read whole, as a slice of their own; an empty
 table gives an empty result; other columns are ignored.
 """
 

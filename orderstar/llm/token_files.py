@@ -15,7 +15,8 @@ punctuation and ASCII letters or digits. No pre-token of the tokenizer spans suc
 normaliser does not look across it, so the ids are those of the whole text (tests compare them).
 
 Cases: a null text counts as empty and has only the end id; a null doc_id sorts first; rows with equal ids
-are all written, in the order of their texts; an empty table writes no part; other columns are ignored.
+are all written, in the order of their texts; 
+very long texts are read whole, as a slice of their own; an empty table writes no part; other columns are ignored.
 """
 
 from __future__ import annotations

@@ -17,7 +17,8 @@ bounded. Scores depend on the text only.
 
 Cases: a null or empty text has no segment and gets the score of that; null labels are ignored, several
 labels of a document count as toxic if one is; without any toxic or any clean label every score is 0; a null
-doc_id is never held out; repeated rows get equal scores; an empty table gives an empty result; further columns are ignored by
+doc_id is never held out; repeated rows get equal scores;
+very long texts are read whole, as a slice of their own; an empty table gives an empty result; further columns are ignored by
 :func:`scores` and kept by :func:`keep_clean`.
 """
 
