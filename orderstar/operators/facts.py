@@ -223,16 +223,19 @@ def fact_order_line(
     id_type: str = "int",
     headers: DataFrame | None = None,
     heavy_rows: int | None = None,
+    lines: DataFrame | None = None,
 ) -> DataFrame:
     """Order-line fact with hashed key, dimension keys and ``period`` (yyyyMM of the header date).
 
     ``headers``: already deduplicated headers, best read from a written table (``bronze_header`` is then not
     read). Each side of the line join is then a sort directly over an exchange, which lets AQE split a hot order.
-    ``heavy_rows``: orders with more lines than this are joined by broadcast (``join_line_header_split``), in either form."""
+    ``heavy_rows``: orders with more lines than this are joined by broadcast (``join_line_header_split``), in either form.
+    ``lines``: already deduplicated lines (``bronze_detail`` is then not read)."""
     if headers is None:
         headers = latest_order_headers(bronze_header, header_tie_breakers, id_type)
     headers = enriched_headers(headers, dim_customer, dim_date, max_broadcast_rows)
-    lines = latest_order_lines(bronze_detail, line_tie_breakers, id_type)
+    if lines is None:
+        lines = latest_order_lines(bronze_detail, line_tie_breakers, id_type)
     joined = join_line_header(lines, headers) if heavy_rows is None else join_line_header_split(lines, headers, heavy_rows, max_broadcast_rows)
     kept = positive_line_filter(joined)
     pro = broadcast_if_within(dim_product.select(F.col("product_id").alias("pro_product_id")), max_broadcast_rows, dim_product)

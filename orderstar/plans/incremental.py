@@ -13,7 +13,7 @@ from orderstar.operators import features as feat
 from orderstar.operators.bitsets import bit_state, count_bits, dense_ids, merge_bits
 from orderstar.operators.dedupe import latest_parquet
 from orderstar.operators.dimensions import dim_customer, dim_date
-from orderstar.operators.facts import fact_order, fact_order_line
+from orderstar.operators.facts import FACT_ORDER_LINE_COLUMNS, fact_order, fact_order_line
 from orderstar.operators.monthly import features_from_months, refresh_months
 from orderstar.operators.merge import prepare_partitions, recover_partitions
 from orderstar.operators.quality import file_audit, order_report, write_and_reconcile_content
@@ -21,6 +21,7 @@ from orderstar.operators.sizing import broadcast_if_within
 from orderstar.operators.standardize import ORDER_HEADER_SPEC, parsed_rows, standardize_order_header
 from orderstar.plans import oracle as O
 from orderstar.plans.fixture_build import fixture_gold_inputs, fixture_params, fixture_silver
+from orderstar.plans.increments import run_increment
 from orderstar.plans.medallion import run_medallion
 from orderstar.plans.registry import _DUP, _FEATURE_SQL_COLS, _HDR, _UPSERT_KEYS, _merge_sql, _tracked_out, _upsert_source, _upsert_target, comparable_features, register
 from orderstar.session import scratch_path
@@ -263,3 +264,38 @@ def q_source_preflight(spark, d) -> DataFrame:
     there = [r["source"] for r in report.where("ok").collect()]
     counts = [ingest_csv(spark, f"{root}/{layout[n][0]}", layout[n][1]).agg(F.count(F.lit(1)).alias("rows")).withColumn("source", F.lit(n)) for n in there]
     return report.join(counts[0].unionByName(counts[1]), "source", "left").select("source", "ok", F.coalesce("rows", F.lit(0)).alias("rows"))
+
+
+# ------------------------------------------------------------------ the whole run by increments
+
+
+def stage_increment(spark, d, raw_root: str, i: int, customers="dup", products="dup", header="dirty_dup", detail="dirty") -> None:
+    """The i-th of two arrivals: versions of a customer, product or order and lines of one order come with different ones."""
+    mine = lambda *cols: F.pmod(F.xxhash64(*cols), F.lit(2)) == i
+    c, p = fx.raw_customers(spark, d, customers), fx.raw_products(spark, d, products)
+    h, li = fx.raw_order_header(spark, d, header), fx.raw_order_detail(spark, d, detail)
+    fx.stage_csv(c.where(mine("customer_name")), f"{raw_root}/customers.csv", mode="append")
+    fx.stage_csv(p.where(mine("brand", "sub_category")), f"{raw_root}/products.csv", mode="append")
+    fx.stage_csv(h.where(mine("order_id", "order_date")), f"{raw_root}/orders_header", mode="append")
+    fx.stage_csv(li.where(mine("order_id", "line_id")), f"{raw_root}/orders_detail", mode="append")
+
+
+def _increments(spark, d, root: str):
+    p, result = fixture_params(), None
+    for i in range(2):
+        stage_increment(spark, d, f"{root}/raw", i)
+        result = run_increment(spark, f"{root}/raw", root, p, fx.FIXTURE_CALENDAR, now=fx.FIXTURE_NOW, layout=fx.FIXTURE_LAYOUT)
+    return result
+
+
+@register("medallion_increments", O.over_pipeline(f"SELECT {_FEATURE_SQL_COLS} FROM features", "features", **_DUP))
+def q_medallion_increments(spark, d) -> DataFrame:
+    """The gold features after two arrivals of files, each merged into what is written."""
+    return comparable_features(_increments(spark, d, scratch_path(spark, "increments")).gold)
+
+
+@register("fact_from_increments", O.over_pipeline("SELECT * FROM fact_order_line", "fact_order_line", **_DUP))
+def q_fact_from_increments(spark, d) -> DataFrame:
+    """The line fact after two arrivals of files."""
+    result = _increments(spark, d, scratch_path(spark, "increments-fact"))
+    return spark.read.parquet(result.fact_path).select(*FACT_ORDER_LINE_COLUMNS)

@@ -15,9 +15,12 @@ from orderstar.operators import features as feat
 from orderstar.operators.bitsets import bit_members, bit_state, count_bits, dense_ids, merge_bits
 from orderstar.operators.dedupe import latest_parquet, latest_per_key, merge_latest
 from orderstar.operators.facts import enriched_headers, heavy_orders, join_line_header, join_line_header_split, latest_order_headers, latest_order_lines
+from orderstar.operators.merge import replace_rows
 from orderstar.operators.monthly import features_from_months, refresh_months, state_paths
 from orderstar.operators.quality import content_report, content_state, write_and_reconcile_content
+from orderstar.plans import increments
 from orderstar.plans.fixture_build import fixture_gold_inputs, fixture_params, fixture_silver
+from orderstar.plans.incremental import stage_increment
 from orderstar.sources import fixtures as fx
 from orderstar.sources.files import partition_values
 from orderstar.sources.writers import write_partitioned
@@ -181,3 +184,44 @@ def test_a_table_written_anew_is_read_anew(spark, tmp_root):
     assert fx.table(spark, tmp_root, "part").count() == 3 and fx.table(spark, tmp_root, "part") is fx.table(spark, tmp_root, "part")
     spark.range(5).write.mode("overwrite").parquet(f"{tmp_root}/part.parquet")
     assert fx.table(spark, tmp_root, "part").count() == 5
+
+
+def test_increments_give_the_run_over_all_files(spark, tmp_root, monkeypatch):
+    """Two arrivals with versions, members and lines of the same orders in both; the second run stops before it is recorded."""
+    p = fixture_params()
+    run = lambda: increments.run_increment(spark, f"{tmp_root}/raw", tmp_root, p, fx.FIXTURE_CALENDAR, now=fx.FIXTURE_NOW, layout=fx.FIXTURE_LAYOUT)
+    stage_increment(spark, SF_SMALL, f"{tmp_root}/raw", 0)
+    first = run()
+    assert first.affected_orders > 1000 and rows(first.gold)
+    stage_increment(spark, SF_SMALL, f"{tmp_root}/raw", 1)
+    real = increments.put_record
+
+    def stops(*args):
+        raise KeyboardInterrupt
+
+    monkeypatch.setattr(increments, "put_record", stops)
+    with pytest.raises(KeyboardInterrupt):
+        run()
+    monkeypatch.setattr(increments, "put_record", real)
+    second = run()
+    assert second.affected_orders > 0 and all(r.first()["files_new"] == 0 for n, r in second.reports.items() if not n.startswith("casts"))
+    s = fixture_silver(spark, SF_SMALL, customers="dup", products="dup", header="dirty_dup")
+    fact = spark.read.parquet(second.fact_path)
+    assert same(s.fact_order_line, fact, "order_id", "line_id", "order_line_key")
+    want = feat.customer_features(s.fact_order_line, s.dim_customer, s.dim_product, s.dim_date, p)
+    assert same(second.gold, want, "customer_id")
+    third = run()
+    assert (third.affected_orders, third.months) == (0, []) and same(third.gold, want, "customer_id")
+
+
+def test_replace_rows(spark, tmp_root):
+    """Keys with several rows, keys that go for good, keys that change partition."""
+    path = f"{tmp_root}/t"
+    make = lambda data: spark.createDataFrame(data, "k int, n int, p int")
+    gone = lambda *ks: spark.createDataFrame([(k,) for k in ks], "k int")
+    held = lambda: sorted((r.k, r.n, -1 if r.p is None else r.p) for r in spark.read.parquet(path).collect())
+    assert replace_rows(spark, make([(1, 1, 1), (1, 2, 1), (2, 1, 2), (3, 1, None), (4, 1, 9)]), gone(1), path, ["k"], ["p"]) == {(1,), (2,), (None,), (9,)}
+    untouched = os.listdir(f"{path}/p=2")
+    assert replace_rows(spark, make([(1, 7, 1), (3, 1, 4), (3, 2, 4)]), gone(1, 3, 4), path, ["k"], ["p"]) == {(1,), (None,), (9,), (4,)}
+    assert held() == [(1, 7, 1), (2, 1, 2), (3, 1, 4), (3, 2, 4)] and os.listdir(f"{path}/p=2") == untouched
+    assert sorted(x for x in os.listdir(path) if x.startswith("p=")) == ["p=1", "p=2", "p=4"]
