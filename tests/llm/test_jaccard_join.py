@@ -3,6 +3,7 @@
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from orderstar.llm import jaccard_join as J
@@ -106,3 +107,41 @@ def test_only_copies_go(spark):
     gone = {(r.doc_id, r.h) for r in J.copies(docs).collect()}
     h = {r.text: r.h for r in docs.selectExpr("text", "xxhash64(text) AS h").collect()}
     assert gone == {(2, h[a]), (3, h[a + " more"]), (5, h[b])}
+
+
+def test_keys_of_the_same_nodes_are_one_group(spark, monkeypatch):
+    """Near copies share many keys; the pairs these name are compared once."""
+    r = np.random.default_rng(6)
+    rows = []
+    for c in range(12):
+        base = [f"c{c}w{i}" for i in range(120)]
+        for k in range(1 + c % 4):
+            at = int(r.integers(0, 120))
+            rows.append((len(rows), " ".join([*base[:at], f"x{c}y{k}", *base[at + 1 :]])))
+    held, real = {}, J.stage
+    monkeypatch.setattr(J, "stage", lambda df, name: held.setdefault(name, real(df, name)))
+    monkeypatch.setattr(J, "discard", lambda *tables: None)
+    found = J.similar_texts(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    groups = {}
+    for x in held["op5-index"].collect():
+        groups.setdefault(x.key, set()).add(x.node)
+    assert groups and len(set(map(frozenset, groups.values()))) == len(groups)
+    shared = held["op5-keys"].agg({"key": "count", "c": "sum"}).first()
+    kept = held["op5-index"].select("key", "c", "times").distinct().agg({"times": "sum", "c": "sum"}).first()
+    assert sorted(shared) == sorted(kept) and kept["sum(times)"] > 2 * len(groups)
+    assert {x.doc_id: (x.n_shingles, x.component_id) for x in found} == brute(rows)
+
+
+def test_sets_and_keys_of_a_slice_are_those_of_each_text():
+    texts = [t for _, t in corpus(5)]
+    data, offsets = J.flat(pa.array(texts, pa.string()))
+    tokens, bounds = J.token_sets(data, offsets, 5)
+    alone = [J.token_sets(*J.flat(pa.array([t], pa.string())), 5)[0] for t in texts]
+    assert [len(x) for x in alone] == [n for _, (n, _) in sorted(brute(list(enumerate(texts))).items())]
+    assert np.array_equal(tokens, np.concatenate(alone)) and np.array_equal(np.diff(bounds), [len(x) for x in alone])
+    assert all((np.diff(x.astype(object)) > 0).all() for x in alone)
+    token, n = np.unique(tokens, return_counts=True)
+    for frequent in (token[:0], token[n >= 20], token[n >= 2]):
+        key, at = J.index_keys(tokens, bounds, frequent, 80)
+        for i, x in enumerate(alone):
+            assert np.array_equal(key[at == i], J.prefix_keys(x, frequent, 80))
