@@ -12,7 +12,9 @@ renames it when whole, so a lost task is simply repeated. The manifest has a row
 
 Encoding works on the distinct pieces of a slice of documents, cut at ASCII spaces and between ASCII
 punctuation and ASCII letters or digits. No pre-token of the tokenizer spans such a place and its
-normaliser does not look across it, so the ids are those of the whole text (tests compare them).
+normaliser does not look across it, so the ids are those of the whole text (tests compare them). A piece of letters only is
+a single pre-token, so it goes to the library's BPE model without the pattern search (its normaliser and byte alphabet are
+applied to many such pieces at once); other pieces, and other tokenizers, take the library's whole way.
 
 Cases: a null text counts as empty and has only the end id; a null doc_id sorts first; rows with equal ids
 are all written, in the order of their texts; 
@@ -21,9 +23,13 @@ very long texts are read whole, as a slice of their own; an empty table writes n
 
 from __future__ import annotations
 
+import json
 import os
+import re
+import unicodedata
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -32,31 +38,51 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from orderstar.llm.sparkops import stage
-from orderstar.llm.textops import LOWER, SPACE, flat, prefix_hash, range_hash, slices
+from orderstar.llm.textops import SPACE, flat, prefix_hash, range_hash, slices
 from orderstar.session import scratch_path
 
 SEQUENCE = 1024
 #: Sequences in a record batch, and pieces kept with their ids in each worker process.
 BATCH_ROWS = 256
-CACHE_PIECES = 1 << 19
-
-ALNUM = np.zeros(256, bool)
-ALNUM[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B)]] = True
-PUNCT = np.zeros(256, bool)
-PUNCT[[b for b in range(0x21, 0x7F) if not ALNUM[b] and b != 0x27]] = True
+CACHE_PIECES = 1 << 20
+
+#: Bytes by kind, and for the kinds of two neighbours (4 * before + after) whether a piece ends between them.
+BLANK, ALNUM, PUNCT, OTHER = range(4)
+KIND = np.full(256, OTHER, np.uint8)
+KIND[0x21:0x7F] = PUNCT
+KIND[0x27] = OTHER
+KIND[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B)]] = ALNUM
+KIND[SPACE] = BLANK
+CUT_SPACE = np.array([(a == BLANK) != (b == BLANK) for a in range(4) for b in range(4)])
+CUT_PLAIN = CUT_SPACE.copy()
+CUT_PLAIN[[4 * ALNUM + PUNCT, 4 * PUNCT + ALNUM]] = True
+
+#: The normaliser and pre-tokenizer for which a run of letters is one pre-token.
+NORMALIZER = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]}
+PRE_TOKENIZER = {
+    "type": "Sequence",
+    "pretokenizers": [
+        {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}, "behavior": "Removed", "invert": True},
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+    ],
+}
+
+
+def letter_runs() -> re.Pattern:
+    """Runs of letters: of Unicode 3.2 and still letters, so every version of the library's tables has them as such."""
+    old, new = unicodedata.ucd_3_2_0.category, unicodedata.category
+    return re.compile(f"[{''.join(c for c in map(chr, range(0x41, 0x10000)) if old(c)[0] == 'L' == new(c)[0])}]+")
 
 
 def pieces(data: np.ndarray, offsets: np.ndarray, plain: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Starts, ends and each document's first index of the pieces; ``plain`` also cuts at punctuation."""
-    inside = ~SPACE[data]
+    kind = KIND[data]
     cut = np.ones(len(data) + 1, bool)
-    cut[1:-1] = inside[1:] != inside[:-1]
-    if plain:
-        cut[1:-1] |= (ALNUM[data[1:]] & PUNCT[data[:-1]]) | (PUNCT[data[1:]] & ALNUM[data[:-1]])
+    cut[1:-1] = (CUT_PLAIN if plain else CUT_SPACE)[kind[:-1] << 2 | kind[1:]]
     cut[offsets] = True
     at = np.flatnonzero(cut)
     start, end = at[:-1], at[1:]
-    keep = inside[start] if len(start) else np.zeros(0, bool)
+    keep = kind[start] != BLANK if len(start) else np.zeros(0, bool)
     start, end = start[keep], end[keep]
     return start, end, np.searchsorted(start, offsets)
 
@@ -67,46 +93,112 @@ class Encoder:
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.marks = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
+        marks = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.marks = [m.encode() for m in marks]
         self.dtype = np.uint16 if self.tokenizer.get_vocab_size() <= 1 << 16 else np.uint32
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        self.letters = None
+        if (spec["normalizer"], spec["pre_tokenizer"], spec["model"]["type"]) == (NORMALIZER, PRE_TOKENIZER, "BPE"):
+            # a mark within letters would be found before the pre-tokenizer
+            self.letters = None if any(map(str.isalpha, marks)) else letter_runs()
+        self.model = self.tokenizer.model
+        # characters with all bytes of UTF-8 up to U+FFFF
+        text = "".join(map(chr, [*range(0x801), *range(0x1000, 0x10000, 0x1000)]))
+        self.alphabet = dict(zip(text.encode(), ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str(text)[0][0], strict=True))
         self.reset()
 
     def reset(self) -> None:
-        self.known: dict[int, int] = {}
+        self.n = 0
+        self.key = np.zeros(1 << 14, np.uint64)
+        #: numbers of the pieces by their hash, open addressing; -1: free
+        self.slot = np.full(1 << 15, -1, np.int32)
+        self.at = np.zeros((1 << 14) + 1, np.int64)
         self.pool = np.zeros(1 << 16, self.dtype)
-        self.at = [0]
-
-    def _learn(self, keys: list[int], texts: list[str]) -> None:
-        for key, e in zip(keys, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
-            ids = e.ids
-            begin = self.at[-1]
-            if begin + len(ids) > len(self.pool):
-                self.pool = np.concatenate((self.pool, np.zeros(max(len(self.pool), len(ids)), self.dtype)))
-            self.pool[begin : begin + len(ids)] = ids
-            self.at.append(begin + len(ids))
-            self.known[key] = len(self.at) - 2
+
+    def _find(self, key: np.ndarray) -> np.ndarray:
+        """Numbers of the pieces with these hashes, -1: not known."""
+        mask = len(self.slot) - 1
+        out = np.full(len(key), -1, np.int64)
+        todo, slot = np.arange(len(key)), (key & np.uint64(mask)).astype(np.int64)
+        while len(todo):
+            found = self.slot[slot]
+            taken = np.flatnonzero(found >= 0)
+            todo, slot, found = todo[taken], slot[taken], found[taken]
+            same = self.key[found] == key[todo]
+            out[todo[same]] = found[same]
+            todo, slot = todo[~same], slot[~same] + 1 & mask
+        return out
+
+    def _enter(self, numbers: np.ndarray) -> None:
+        mask = len(self.slot) - 1
+        slot = (self.key[numbers] & np.uint64(mask)).astype(np.int64)
+        while len(numbers):
+            free = self.slot[slot] < 0
+            self.slot[slot[free]] = numbers[free]
+            lost = self.slot[slot] != numbers
+            numbers, slot = numbers[lost], slot[lost] + 1 & mask
+
+    def _piece_ids(self, texts: list[str]) -> list[list[int]]:
+        if self.letters is None:
+            return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        words: list[str | None] = [t if t.isascii() and t.isalpha() and t.islower() else None for t in texts]
+        wide = [i for i, w in enumerate(words) if w is None and texts[i].isalpha()]
+        if wide:
+            joined = self.tokenizer.normalizer.normalize_str(" ".join([texts[i] for i in wide]))
+            mapped = joined.encode().decode("latin-1").translate(self.alphabet).split(self.alphabet[0x20])
+            for i, word, m in zip(wide, joined.split(" "), mapped, strict=True):
+                if self.letters.fullmatch(word):
+                    words[i] = m
+        tokenize = self.model.tokenize
+        out = [[t.id for t in tokenize(w)] if w is not None else None for w in words]
+        rest = [i for i, w in enumerate(words) if w is None]
+        for i, e in zip(rest, self.tokenizer.encode_batch_fast([texts[i] for i in rest], add_special_tokens=False)):
+            out[i] = e.ids
+        return out
+
+    def _learn(self, keys: np.ndarray, texts: list[str]) -> None:
+        found = self._piece_ids(texts)
+        sizes = np.fromiter(map(len, found), np.int64, len(found))
+        n, m, begin = self.n, self.n + len(keys), int(self.at[self.n])
+        end = begin + int(sizes.sum())
+        if end > len(self.pool):
+            self.pool = np.concatenate((self.pool, np.zeros(max(len(self.pool), end - len(self.pool)), self.dtype)))
+        if m > len(self.key):
+            more = max(len(self.key), m - len(self.key))
+            self.key, self.at = (np.concatenate((x, np.zeros(more, x.dtype))) for x in (self.key, self.at))
+        self.pool[begin:end] = np.fromiter(chain.from_iterable(found), self.dtype, end - begin)
+        self.at[n + 1 : m + 1] = begin + np.cumsum(sizes)
+        self.key[n:m] = keys
+        self.n = m
+        if 2 * m > len(self.slot):
+            self.slot, n = np.full(2 << (2 * m).bit_length(), -1, np.int32), 0
+        self._enter(np.arange(n, m, dtype=np.int32))
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all documents of a slice, and ``len + 1`` offsets."""
-        raw = data.tobytes()
-        plain = not any(m in raw.lower() for m in (b"<|", *self.marks))
-        folded = LOWER[data] if plain else data
+        text = data.tobytes()
+        low = text.lower()
+        plain = not any(m in low for m in (b"<|", *self.marks))
+        text = low if plain else text
+        folded = np.frombuffer(text, np.uint8)
         start, end, first = pieces(folded, offsets, plain)
         key = range_hash(prefix_hash(folded), start, end)
-        distinct, at, inverse = np.unique(key, return_index=True, return_inverse=True)
-        if len(self.known) > CACHE_PIECES:
+        if self.n > CACHE_PIECES:
             self.reset()
-        keys = distinct.tolist()
-        fresh = [i for i, k in enumerate(keys) if k not in self.known]
-        low = folded.tobytes()
-        for i in range(0, len(fresh), 4096):
-            part = fresh[i : i + 4096]
-            self._learn([keys[j] for j in part], [low[start[at[j]] : end[at[j]]].decode() for j in part])
-        where = np.fromiter(map(self.known.__getitem__, keys), np.int64, len(keys))
-        bounds = np.array(self.at, np.int64)
-        begin, size = bounds[where][inverse], (bounds[where + 1] - bounds[where])[inverse]
+        number = self._find(key)
+        fresh = np.flatnonzero(number < 0)
+        if len(fresh):
+            distinct, at, inverse = np.unique(key[fresh], return_index=True, return_inverse=True)
+            begin, close = start[fresh[at]].tolist(), end[fresh[at]].tolist()
+            number[fresh] = self.n + inverse
+            for i in range(0, len(distinct), 4096):
+                self._learn(distinct[i : i + 4096], [text[a:b].decode() for a, b in zip(begin[i : i + 4096], close[i : i + 4096])])
+        begin = self.at[number]
+        size = self.at[number + 1] - begin
         total = np.zeros(len(size) + 1, np.int64)
         np.cumsum(size, out=total[1:])
         ids = self.pool[np.arange(total[-1]) - np.repeat(total[:-1] - begin, size)]
