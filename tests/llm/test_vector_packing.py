@@ -8,7 +8,8 @@ import numpy as np
 import pytest
 
 from orderstar.llm import vector_packing as P
-from tests.llm.test_token_files import ODD, PATH, sample, whole
+from orderstar.llm.token_files import Encoder
+from tests.llm.test_token_files import ODD, PATH, Counted, sample, whole
 
 
 def one_by_one(lengths, tokens, documents, cost, weights, rule):
@@ -106,5 +107,23 @@ def test_pieces_and_sequences(spark):
     assert plain.columns == ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"] and plain.count() == len(rows)
 
 
+def test_pieces_send_letters_to_the_model(monkeypatch):
+    """Only pieces with other characters than letters take the tokenizer's whole way; ids and crc stay the library's."""
+    import pyarrow as pa
+    from types import SimpleNamespace
+
+    enc = Encoder(PATH)
+    enc.tokenizer = Counted(enc.tokenizer)
+    monkeypatch.setattr(P, "encoder", lambda path: enc)
+    monkeypatch.setattr(P, "TaskContext", SimpleNamespace(get=lambda: SimpleNamespace(partitionId=lambda: 0)))
+    texts = ["plain words of été 東京", "x1 and it's", None, "q " * 5000]
+    batch = pa.RecordBatch.from_arrays([pa.array([4, 4, None, 1], pa.int64()), pa.array(texts, pa.string())], names=["doc_id", "text"])
+    (out,) = P._pieces(PATH, 1, 4096, True)(iter([batch]))
+    want = [(d, ids[a : a + 4096]) for d, ids in zip([4, 4, None, 1], whole(texts)) for a in range(0, len(ids), 4096)]
+    got = [(r["doc_id"], np.frombuffer(r["ids"], "<u4").tolist()) for r in out.to_pylist()]
+    assert got == want and [zlib.crc32(r["ids"]) for r in out.to_pylist()] == out.column("ids_crc32").to_pylist()
+    assert {*enc.tokenizer.seen} == {"x1", "it's"}
+
+
 def test_empty(spark):
     assert P.digest(spark.createDataFrame([], "doc_id long, text string"), PATH).count() == 0
