@@ -7,6 +7,7 @@ import os
 import random
 import shutil
 from dataclasses import replace
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -225,3 +226,17 @@ def test_replace_rows(spark, tmp_root):
     assert replace_rows(spark, make([(1, 7, 1), (3, 1, 4), (3, 2, 4)]), gone(1, 3, 4), path, ["k"], ["p"]) == {(1,), (None,), (9,), (4,)}
     assert held() == [(1, 7, 1), (2, 1, 2), (3, 1, 4), (3, 2, 4)] and os.listdir(f"{path}/p=2") == untouched
     assert sorted(x for x in os.listdir(path) if x.startswith("p=")) == ["p=1", "p=2", "p=4"]
+
+
+def test_replaced_partitions_are_few_files_and_moved(spark, tmp_root):
+    """Many tasks with rows of every partition: a file a partition and not one a task; several pieces; nothing staged is left."""
+    path = f"{tmp_root}/t"
+    make = lambda i, n: spark.range(i, n, 1, 16).selectExpr("cast(id AS int) AS k", "cast(id % 5 AS int) AS p", "repeat('x', 3) AS v").select("k", "v", "p")
+    files = lambda: {str(f.relative_to(path)) for f in Path(path).rglob("*.parquet")}
+    none = spark.range(0).selectExpr("cast(id AS int) AS k")
+    assert replace_rows(spark, make(0, 2000), none, path, ["k"], ["p"]) == {(p,) for p in range(5)}
+    assert len(files()) == 5
+    gone = spark.range(1000, 2000).selectExpr("cast(id AS int) AS k")
+    assert replace_rows(spark, [make(3000, 3100), make(3100, 3500)], gone, path, ["k"], ["p"]) == {(p,) for p in range(5)}
+    assert len(files()) <= 15 and not any("_upsert" in f for f in files())
+    assert sorted(r.k for r in spark.read.parquet(path).collect()) == [*range(1000), *range(3000, 3500)]
