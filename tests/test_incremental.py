@@ -240,3 +240,17 @@ def test_replaced_partitions_are_few_files_and_moved(spark, tmp_root):
     assert replace_rows(spark, [make(3000, 3100), make(3100, 3500)], gone, path, ["k"], ["p"]) == {(p,) for p in range(5)}
     assert len(files()) <= 15 and not any("_upsert" in f for f in files())
     assert sorted(r.k for r in spark.read.parquet(path).collect()) == [*range(1000), *range(3000, 3500)]
+
+
+def test_increments_in_rounds_leave_only_what_is_read(spark, tmp_root, monkeypatch):
+    """Affected orders joined in several rounds; batches, lists of orders and superseded winners are gone afterwards."""
+    monkeypatch.setattr(increments, "ROUND_ORDERS", 500)
+    p = fixture_params()
+    for i in range(2):
+        stage_increment(spark, SF_SMALL, f"{tmp_root}/raw", i, header="dirty", customers="clean", products="clean")
+        result = increments.run_increment(spark, f"{tmp_root}/raw", tmp_root, p, fx.FIXTURE_CALENDAR, now=fx.FIXTURE_NOW, layout=fx.FIXTURE_LAYOUT)
+        assert result.affected_orders > 500
+    s = fixture_silver(spark, SF_SMALL, header="dirty")
+    assert same(s.fact_order_line, spark.read.parquet(result.fact_path), "order_id", "line_id", "order_line_key")
+    left = {str(f.relative_to(f"{tmp_root}/silver")) for v in (1, 2) for f in Path(f"{tmp_root}/silver/v{v}").glob("*")} | {str(f.relative_to(f"{tmp_root}/silver")) for f in Path(f"{tmp_root}/silver").glob("v*/batch/*")}
+    assert left == {"v1/batch", "v1/rejects", "v1/batch/customer", "v1/batch/product", "v2/batch", "v2/rejects", *(f"v2/{n}" for n in fx.FIXTURE_LAYOUT)}
